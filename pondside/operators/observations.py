@@ -5,7 +5,8 @@ from pyspark.sql import DataFrame, functions as F
 from pondside.functions.payload import with_payload
 from pondside.functions.text import joined_distinct
 from pondside.operators.joins import join_dimension, spread_join
-from pondside.schemas import COUNT_FIELDS, OBSERVATION_PAYLOAD, ints
+from pondside.operators.visits import visit_core
+from pondside.schemas import COUNT_FIELDS, OBSERVATION_PAYLOAD, OBSERVATION_VOCABULARY, ints
 from pondside.sources.tables import Survey
 
 
@@ -69,3 +70,18 @@ def with_visit(db: Survey, visits: DataFrame) -> DataFrame:
     hot = db.hot_keys("observations", "id_base_visit")
     known = known_observations(db)
     return spread_join(known, visits, "id_base_visit", ["id_observation"], hot)
+
+
+def observation_flow(db: Survey, module_code: str) -> DataFrame:
+    """Kept observations of a module with their taxon and counts."""
+    kept = visit_core(db, module_code).select("id_base_visit")
+    return with_visit(db, kept).select(
+        "id_observation",
+        "id_base_visit",
+        "cd_nom",
+        "lb_nom",
+        "nom_vern",
+        "nom_complet",
+        *OBSERVATION_VOCABULARY,
+        *COUNT_FIELDS,
+    )

@@ -16,7 +16,9 @@ from pondside.schemas import (
     GROUP_PAYLOAD,
     GROUP_VOCABULARY,
     METHODS_FIELD,
+    METHODS_PAYLOAD,
     METHODS_TYPE,
+    OBSERVATION_FORM_PAYLOAD,
     OBSERVATION_PAYLOAD,
     OBSERVATION_VOCABULARY,
     SITE_PAYLOAD,
@@ -78,7 +80,7 @@ def _forms(db: Survey) -> DataFrame:
 
 
 def _no_methods() -> Column:
-    return F.col(METHODS_FIELD).isNull() | (F.size(METHODS_FIELD) == 0)
+    return F.coalesce(METHODS_FIELD, F.lit("[]")) == "[]"
 
 
 def dq_required(db: Survey) -> DataFrame:
@@ -88,7 +90,7 @@ def dq_required(db: Survey) -> DataFrame:
         communes.withColumn("commune", F.lit(True)), "id_sites_group", "left"
     )
     visits = db["visits"].join(_forms(db), "id_base_visit", "left")
-    complements = with_payload(db["observation_complements"], OBSERVATION_PAYLOAD)
+    complements = with_payload(db["observation_complements"], OBSERVATION_FORM_PAYLOAD)
     observations = db["observations"].join(complements, "id_observation", "left")
     required = [
         (groups, "sites_group", "id_sites_group", ("id_inventor", "commune", "sites_group_name")),
@@ -315,7 +317,8 @@ def apply_defaults_visits(db: Survey) -> DataFrame:
     """Visit complements with the form defaults; a default that names no entry stays NULL."""
     default = constant_struct(db, DEFAULT_CODES)[METHODS_FIELD]
     methods = F.coalesce(METHODS_FIELD, F.when(default.isNotNull(), F.array(default)))
-    return _forms(db).select(
+    visits = with_payload(db["visit_complements"], f"accessibility STRING, {METHODS_PAYLOAD}")
+    return visits.select(
         "id_base_visit",
         F.coalesce("accessibility", F.lit(YES)).alias("accessibility"),
         methods.alias(METHODS_FIELD),

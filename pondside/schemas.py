@@ -102,14 +102,21 @@ def ints(names) -> str:
     return ", ".join(f"{name} INT" for name in names)
 
 
+def texts(names) -> str:
+    """DDL of JSON fields read as text."""
+    return ", ".join(f"{name} STRING" for name in names)
+
+
 GROUP_PAYLOAD = ints(GROUP_VOCABULARY)
 SITE_PAYLOAD = ints(SITE_VOCABULARY)
 VISIT_IDS_PAYLOAD = f"{ints(VISIT_VOCABULARY)}, {METHODS_FIELD} ARRAY<INT>"
 # VARIANT keeps the text as it stands in the document, so one parse serves both readings.
 VISIT_PAYLOAD = f"{', '.join(f'{f} VARIANT' for f in VISIT_TEXT_FIELDS)}, {ints(VISIT_VOCABULARY)}"
-VISIT_FORM_PAYLOAD = f"{', '.join(f'{f} STRING' for f in VISIT_TEXT_FIELDS)}, {VISIT_IDS_PAYLOAD}"
 METHODS_PAYLOAD = f"{METHODS_FIELD} ARRAY<INT>"
 OBSERVATION_PAYLOAD = ints([*OBSERVATION_VOCABULARY, *COUNT_FIELDS])
+# The form rules ask whether a field is filled, whatever its type: they read text.
+VISIT_FORM_PAYLOAD = texts([*VISIT_TEXT_FIELDS, *VISIT_VOCABULARY, METHODS_FIELD])
+OBSERVATION_FORM_PAYLOAD = texts(OBSERVATION_VOCABULARY)
 VOCABULARY_DOCUMENT = (
     "types ARRAY<STRUCT<mnemonique: STRING, label_default: STRING, definition_default: STRING>>, "
     "nomenclatures ARRAY<STRUCT<type: STRING, cd_nomenclature: STRING, mnemonique: STRING, "
