@@ -6,7 +6,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 # A lookup is broadcast only when measured within both bounds.
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 # A key is hot from this share of the rows on, so at most 1 / HOT_SHARE keys are; below

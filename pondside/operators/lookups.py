@@ -12,7 +12,7 @@ from pondside.sources.tables import Survey
 def of_module(db: Survey, visits: DataFrame, module_code: str) -> DataFrame:
     """Visits of one module; the code is compared as it is, case included."""
     wanted = db["modules"].where(F.col("module_code") == module_code).select("id_module")
-    return visits.join(wanted, "id_module")
+    return join_dimension(visits, wanted, "id_module", ["id_base_visit"], db.fits("modules"))
 
 
 def module_filter(db: Survey, module_code: str) -> DataFrame:

@@ -172,34 +172,31 @@ def dq_enum(db: Survey) -> DataFrame:
     )
 
 
+def _held(field: str, kind: str, entry: Column) -> Column:
+    """A vocabulary id found in a field, with the type it must have."""
+    return F.struct(
+        F.lit(field).alias("field"),
+        F.lit(kind).alias("type_code"),
+        entry.alias("id_nomenclature"),
+    )
+
+
 def _field_ids(frame: DataFrame, entity: str, key: str, types: Mapping[str, str]) -> DataFrame:
-    """One row per filled vocabulary field: entity, id, field, type it must have, entry id."""
-    entries = [
-        F.struct(
-            F.lit(field).alias("field"),
-            F.lit(kind).alias("type_code"),
-            F.col(field).alias("id_nomenclature"),
+    """One row per id in the vocabulary fields, methods included: entity, id, field, type, entry."""
+    held = F.array(*[_held(field, kind, F.col(field)) for field, kind in types.items()])
+    if METHODS_FIELD in frame.columns:
+        methods = F.coalesce(METHODS_FIELD, F.array().cast("array<int>"))
+        held = F.concat(
+            held, F.transform(methods, lambda entry: _held(METHODS_FIELD, METHODS_TYPE, entry))
         )
-        for field, kind in types.items()
-    ]
     rows = frame.select(
-        F.lit(entity).alias("entity"),
-        F.col(key).cast("string").alias("id"),
-        F.inline(F.array(*entries)),
+        F.lit(entity).alias("entity"), F.col(key).cast("string").alias("id"), F.inline(held)
     )
     return rows.where(F.col("id_nomenclature").isNotNull())
 
 
 def _vocabulary_ids(db: Survey) -> DataFrame:
     """All vocabulary ids the records hold."""
-    visits = with_payload(db["visit_complements"], VISIT_IDS_PAYLOAD)
-    methods = visits.select(
-        F.lit("visit").alias("entity"),
-        F.col("id_base_visit").cast("string").alias("id"),
-        F.lit(METHODS_FIELD).alias("field"),
-        F.lit(METHODS_TYPE).alias("type_code"),
-        F.explode(METHODS_FIELD).alias("id_nomenclature"),
-    )
     parts = [
         ("sites_groups", GROUP_PAYLOAD, "sites_group", "id_sites_group", GROUP_VOCABULARY),
         ("site_complements", SITE_PAYLOAD, "site", "id_base_site", SITE_VOCABULARY),
@@ -212,11 +209,12 @@ def _vocabulary_ids(db: Survey) -> DataFrame:
             OBSERVATION_VOCABULARY,
         ),
     ]
-    fields = [
-        _field_ids(with_payload(db[name], payload), entity, key, types)
-        for name, payload, entity, key, types in parts
-    ]
-    return _union([*fields, methods.where(F.col("id_nomenclature").isNotNull())])
+    return _union(
+        [
+            _field_ids(with_payload(db[name], payload), entity, key, types)
+            for name, payload, entity, key, types in parts
+        ]
+    )
 
 
 def dq_vocabulary(db: Survey) -> DataFrame:

@@ -4,12 +4,21 @@ from pyspark.sql import DataFrame, functions as F
 
 from pondside.functions.payload import json_text, unquoted, with_payload
 from pondside.functions.text import full_name, joined_distinct
-from pondside.operators.joins import join_dimension, spread_join
+from pondside.operators.joins import join_dimension
 from pondside.operators.lookups import of_module, with_labels
 from pondside.operators.sites import site_areas, site_dim
 from pondside.schemas import METHODS_FIELD, METHODS_PAYLOAD, VISIT_PAYLOAD, VISIT_VOCABULARY
 from pondside.sources.tables import Survey
 
+CORE_DIMENSIONS = (
+    "modules",
+    "datasets",
+    "nomenclature",
+    "sites_groups",
+    "altitude_cells",
+    "sites",
+)
+
 
 def visit_year(db: Survey) -> DataFrame:
     """Year of each visit."""
@@ -96,15 +105,24 @@ def visit_core(db: Survey, module_code: str, with_areas: bool = False) -> DataFr
 
     A visit is kept when it has a complement and its site has a complement and a group.
     The site comes first, while visit rows are narrow; everything after that is joined on
-    `id_base_visit`, so the wide rows move once.
+    `id_base_visit`, so the wide rows move once. There is one row per site, and its areas come
+    from the bridge, so the sizes of these two tables bound what is broadcast.
     """
-    db.measure("nomenclature", "altitude_cells", "sites_groups", "datasets")
+    db.measure(*CORE_DIMENSIONS)
     sites = site_dim(db)
+    few_sites = db.fits("sites")
     if with_areas:
         sites = sites.join(site_areas(db), "id_base_site", "left")
+        few_sites = few_sites and db.fits("site_areas")
     visits = _with_dataset(db, of_module(db, db["visits"], module_code))
-    hot = db.hot_keys("visits", "id_base_site")
-    placed = spread_join(visits, sites, "id_base_site", ["id_base_visit"], hot)
+    placed = join_dimension(
+        visits,
+        sites,
+        "id_base_site",
+        ["id_base_visit"],
+        few_sites,
+        hot=lambda: db.hot_keys("visits", "id_base_site"),
+    )
     complements = _with_texts(with_payload(db["visit_complements"], VISIT_PAYLOAD))
     return placed.join(complements, "id_base_visit")
 

@@ -7,19 +7,16 @@ from pyspark.sql import DataFrame, functions as F
 from pondside.operators.lookups import with_labels
 from pondside.operators.observations import visit_summary, with_visit
 from pondside.operators.sites import protected_text, with_places, with_protected_by_name
-from pondside.operators.visits import visit_core, with_conditions, with_people_and_methods
+from pondside.operators.visits import (
+    CORE_DIMENSIONS,
+    visit_core,
+    with_conditions,
+    with_people_and_methods,
+)
 from pondside.schemas import ANALYSES_COLUMNS, STANDARD_COLUMNS
 from pondside.sources.tables import Survey
 
-DIMENSIONS = (
-    "nomenclature",
-    "altitude_cells",
-    "sites_groups",
-    "areas",
-    "datasets",
-    "roles",
-    "taxref",
-)
+DIMENSIONS = (*CORE_DIMENSIONS, "areas", "site_areas", "roles", "taxref")
 
 
 def _export_visits(db: Survey, module_code: str) -> DataFrame:

@@ -4,7 +4,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pondside.operators.lookups import constant_struct, source_id
 from pondside.operators.observations import with_visit
-from pondside.operators.visits import visit_core, visit_observers, with_conditions
+from pondside.operators.visits import (
+    CORE_DIMENSIONS,
+    visit_core,
+    visit_observers,
+    with_conditions,
+)
 from pondside.schemas import ADDITIONAL_KEYS, FEED_COLUMNS, FEED_CONSTANTS
 from pondside.sources.tables import Survey
 
@@ -27,9 +32,7 @@ def additional_data(db: Survey, module_code: str) -> DataFrame:
 
 def synthesis_feed(db: Survey, module_code: str) -> DataFrame:
     """One row per kept observation, keyed by source and observation id."""
-    db.measure(
-        "nomenclature", "altitude_cells", "sites_groups", "datasets", "roles", "taxref"
-    )
+    db.measure(*CORE_DIMENSIONS, "roles", "taxref")
     people = visit_observers(db).drop("organismes_rattaches")
     visits = visit_core(db, module_code).join(people, "id_base_visit", "left")
     described = with_conditions(db, visits).withColumn("additional_data", _additional_data())

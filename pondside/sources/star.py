@@ -31,15 +31,12 @@ _OBSERVATION_KEY = """concat_ws('-', CAST(l_orderkey AS STRING), CAST(l_linenumb
     CAST(CAST(l_quantity AS INT) AS STRING))"""
 
 DERIVED = {
+    # The two modules and their sources.
     "modules": """
-        SELECT DISTINCT CASE WHEN o_orderstatus = 'P' THEN 2 ELSE 1 END AS id_module,
-            CASE WHEN o_orderstatus = 'P' THEN 'suivi_b' ELSE 'suivi_a' END AS module_code
-        FROM $orders""",
+        SELECT * FROM (VALUES (1, 'suivi_a'), (2, 'suivi_b')) t(id_module, module_code)""",
     "sources": """
-        SELECT DISTINCT CASE WHEN o_orderstatus = 'P' THEN 11 ELSE 10 END AS id_source,
-            CASE WHEN o_orderstatus = 'P' THEN 'MONITORING_SUIVI_B'
-                ELSE 'MONITORING_SUIVI_A' END AS name_source
-        FROM $orders""",
+        SELECT * FROM (VALUES (10, 'MONITORING_SUIVI_A'), (11, 'MONITORING_SUIVI_B'))
+            t(id_source, name_source)""",
     "datasets": """
         SELECT r_regionkey + 1 AS id_dataset,
             concat('Jeu ', CAST(r_regionkey + 1 AS STRING)) AS dataset_name
