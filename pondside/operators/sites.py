@@ -28,10 +28,10 @@ def site_coordinates(db: Survey) -> DataFrame:
 
 
 def _with_cell(frame: DataFrame, x: str, y: str) -> DataFrame:
-    """Add the key of the grid cell a point lies in."""
+    """Add the key of the grid cell a point lies in: column number above, row number below."""
     column = F.floor((F.col(x) - GRID_X) / CELL_WIDTH)
     row = F.floor((F.col(y) - GRID_Y) / CELL_HEIGHT)
-    return frame.withColumn("_cell", F.struct(column.alias("i"), row.alias("j")))
+    return frame.withColumn("_cell", F.shiftleft(column, 32) + row)
 
 
 def site_altitude(db: Survey) -> DataFrame:
