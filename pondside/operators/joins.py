@@ -10,10 +10,12 @@ BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 # A key is hot from this share of the rows on, so at most 1 / HOT_SHARE keys are; below
-# HOT_ROWS rows a task copes anyway. TRACKED bounds the sketch each task keeps.
+# HOT_ROWS rows a task copes anyway. TRACKED bounds the sketch each task keeps; MERGERS tasks
+# merge the sketches before one task sees them.
 HOT_SHARE = 0.01
 HOT_ROWS = 100_000
 TRACKED = 1000
+MERGERS = 256
 
 
 def measure(frames: Mapping[str, DataFrame]) -> dict[str, bool]:
@@ -42,13 +44,26 @@ def _row_bytes(frame: DataFrame) -> Column:
 
 def hot_keys(frame: DataFrame, key: str) -> list:
     """The few key values (NULL included) holding more than HOT_SHARE of the rows."""
-    top = F.expr(f"approx_top_k({key}, {round(1 / HOT_SHARE)}, {TRACKED})")
-    found = frame.agg(top.alias("top"), F.count(F.lit(1)).alias("total"))
+    sketches = frame.groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGERS)).alias("merger")).agg(
+        F.expr(f"approx_top_k_accumulate({key}, {TRACKED})").alias("sketch"),
+        F.count(F.lit(1)).alias("n_rows"),
+    )
+    top = F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch), {round(1 / HOT_SHARE)})")
+    # Grouped, so that an empty table gives no group instead of a sketch of nothing.
+    found = sketches.groupBy(F.lit("all")).agg(top.alias("top"), F.sum("n_rows").alias("total"))
     floor = F.greatest(F.col("total") * HOT_SHARE, F.lit(HOT_ROWS))
     rows = found.select(F.explode("top").alias("entry"), floor.alias("floor"))
     return [row["item"] for row in rows.where("entry.count > floor").select("entry.item").collect()]
 
 
+def fact_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join on a key that is unique on the right, both sides growing with the data.
+
+    Spark may take a compressed file for small; the hint keeps it from broadcasting a fact.
+    """
+    return left.join(right.hint("merge"), key, how)
+
+
 def spread_join(
     left: DataFrame,
     right: DataFrame,
@@ -63,7 +78,7 @@ def spread_join(
     Only rows of hot keys are repeated on the right, once per piece.
     """
     if not hot:
-        return left.join(right, key, how)
+        return fact_join(left, right, key, how)
     pieces = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     known = [value for value in hot if value is not None]
     is_hot = F.col(key).isin(known) if known else F.lit(False)
@@ -71,15 +86,10 @@ def spread_join(
     piece = F.pmod(F.xxhash64(*row_id), F.lit(pieces)).cast("int")
     every = F.sequence(F.lit(0), F.lit(pieces - 1))
     none = F.lit(0)
-    return (
-        left.withColumn("_piece", F.when(left_hot, piece).otherwise(none))
-        .join(
-            right.withColumn("_piece", F.explode(F.when(is_hot, every).otherwise(F.array(none)))),
-            [key, "_piece"],
-            how,
-        )
-        .drop("_piece")
-    )
+    cut = left.withColumn("_piece", F.when(left_hot, piece).otherwise(none))
+    pieced = F.explode(F.when(is_hot, every).otherwise(F.array(none)))
+    repeated = right.withColumn("_piece", pieced).hint("merge")
+    return cut.join(repeated, [key, "_piece"], how).drop("_piece")
 
 
 def join_dimension(

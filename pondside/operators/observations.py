@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pondside.functions.payload import with_payload
 from pondside.functions.text import joined_distinct
-from pondside.operators.joins import join_dimension, spread_join
+from pondside.operators.joins import fact_join, join_dimension, spread_join
 from pondside.operators.visits import visit_core
 from pondside.schemas import COUNT_FIELDS, OBSERVATION_PAYLOAD, OBSERVATION_VOCABULARY, ints
 from pondside.sources.tables import Survey
@@ -20,7 +20,7 @@ def visit_summary(db: Survey) -> DataFrame:
     observations = db["observations"].select("id_observation", "id_base_visit", "cd_nom")
     counts = with_payload(db["observation_complements"], ints(COUNT_FIELDS))
     per_taxon = (
-        observations.join(counts, "id_observation", "left")
+        fact_join(observations, counts, "id_observation", "left")
         .groupBy("id_base_visit", "cd_nom")
         .agg(*[F.sum(field).alias(field) for field in COUNT_FIELDS])
     )
@@ -45,11 +45,8 @@ def visit_summary(db: Survey) -> DataFrame:
 def known_observations(db: Survey) -> DataFrame:
     """Observations with a complement and a known taxon; vocabulary columns still hold ids."""
     complements = with_payload(db["observation_complements"], OBSERVATION_PAYLOAD)
-    described = (
-        db["observations"]
-        .withColumnRenamed("comments", "commentaire_obs")
-        .join(complements, "id_observation")
-    )
+    observations = db["observations"].withColumnRenamed("comments", "commentaire_obs")
+    described = fact_join(observations, complements, "id_observation")
     taxa = db["taxref"].select("cd_nom", "lb_nom", "nom_vern", "nom_complet")
     return join_dimension(
         described,

@@ -9,7 +9,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pondside.functions.payload import with_payload
-from pondside.operators.joins import join_dimension, measure
+from pondside.operators.joins import fact_join, join_dimension, measure
 from pondside.operators.lookups import constant_struct
 from pondside.schemas import (
     COUNT_FIELDS,
@@ -86,12 +86,12 @@ def _no_methods() -> Column:
 def dq_required(db: Survey) -> DataFrame:
     """Fields every record must fill, point geometry included."""
     communes = db["group_communes"].select("id_sites_group").distinct()
-    groups = db["sites_groups"].join(
-        communes.withColumn("commune", F.lit(True)), "id_sites_group", "left"
+    groups = fact_join(
+        db["sites_groups"], communes.withColumn("commune", F.lit(True)), "id_sites_group", "left"
     )
-    visits = db["visits"].join(_forms(db), "id_base_visit", "left")
+    visits = fact_join(db["visits"], _forms(db), "id_base_visit", "left")
     complements = with_payload(db["observation_complements"], OBSERVATION_FORM_PAYLOAD)
-    observations = db["observations"].join(complements, "id_observation", "left")
+    observations = fact_join(db["observations"], complements, "id_observation", "left")
     required = [
         (groups, "sites_group", "id_sites_group", ("id_inventor", "commune", "sites_group_name")),
         (db["sites"], "site", "id_base_site", ("base_site_name", "x", "y")),

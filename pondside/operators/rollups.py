@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
+from pondside.operators.joins import fact_join
 from pondside.sources.tables import Survey
 
 
@@ -15,7 +16,7 @@ def rollup_site(db: Survey) -> DataFrame:
         F.count(F.lit(1)).alias("nb_visits"), F.max("visit_date_min").alias("last_visit")
     )
     sites = db["sites"].select("id_base_site")
-    return sites.join(visits, "id_base_site", "left").select(
+    return fact_join(sites, visits, "id_base_site", "left").select(
         "id_base_site", _zero("nb_visits"), "last_visit"
     )
 
@@ -25,12 +26,12 @@ def rollup_group(db: Survey) -> DataFrame:
     sites = db["site_complements"].select("id_base_site", "id_sites_group")
     visits = db["visits"].groupBy("id_base_site").agg(F.count(F.lit(1)).alias("visits"))
     counts = (
-        sites.join(visits, "id_base_site", "left")
+        fact_join(sites, visits, "id_base_site", "left")
         .groupBy("id_sites_group")
         .agg(F.count(F.lit(1)).alias("nb_sites"), F.sum("visits").alias("nb_visits"))
     )
     groups = db["sites_groups"].select("id_sites_group")
-    return groups.join(counts, "id_sites_group", "left").select(
+    return fact_join(groups, counts, "id_sites_group", "left").select(
         "id_sites_group", _zero("nb_sites"), _zero("nb_visits")
     )
 
@@ -41,6 +42,6 @@ def rollup_visit(db: Survey) -> DataFrame:
         F.count(F.lit(1)).alias("nb_observations")
     )
     visits = db["visits"].select("id_base_visit")
-    return visits.join(counts, "id_base_visit", "left").select(
+    return fact_join(visits, counts, "id_base_visit", "left").select(
         "id_base_visit", _zero("nb_observations")
     )

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from pondside.functions.text import full_name, joined_distinct
-from pondside.operators.joins import join_dimension
+from pondside.operators.joins import fact_join, join_dimension
 from pondside.sources.tables import Survey
 
 
@@ -27,7 +27,7 @@ def group_sheet(db: Survey) -> DataFrame:
     headed = join_dimension(
         groups, people, "id_inventor", ["id_sites_group"], db.fits("roles"), how="left"
     )
-    return headed.join(communes, "id_sites_group", "left").select(
+    return fact_join(headed, communes, "id_sites_group", "left").select(
         "id_sites_group", "sites_group_name", "observateur_principal", "communes"
     )
 
@@ -35,7 +35,7 @@ def group_sheet(db: Survey) -> DataFrame:
 def group_sheet_points(db: Survey) -> DataFrame:
     """The map layer: one row per site of a group, so a group of any size stays distributed."""
     members = db["site_complements"].select("id_base_site", "id_sites_group")
-    sites = db["sites"].join(members, "id_base_site")
+    sites = fact_join(db["sites"], members, "id_base_site")
     groups = db["sites_groups"].select("id_sites_group", "sites_group_name")
     placed = join_dimension(
         sites, groups, "id_sites_group", ["id_base_site"], db.fits("sites_groups")

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pondside.functions.payload import with_payload
 from pondside.functions.text import joined
-from pondside.operators.joins import join_dimension
+from pondside.operators.joins import fact_join, join_dimension
 from pondside.operators.lookups import with_labels
 from pondside.schemas import COMMUNE, DEPARTMENT, PROTECTED, SITE_PAYLOAD, SITE_VOCABULARY
 from pondside.sources.tables import Survey
@@ -34,23 +34,31 @@ def _with_cell(frame: DataFrame, x: str, y: str) -> DataFrame:
     return frame.withColumn("_cell", F.shiftleft(column, 32) + row)
 
 
-def site_altitude(db: Survey) -> DataFrame:
-    """Lowest and highest altitude at each site; NULL outside the cells."""
+def _with_altitude(db: Survey, sites: DataFrame) -> DataFrame:
+    """Add the lowest and highest altitude at (x, y); NULL outside the cells."""
     cells = (
         _with_cell(db["altitude_cells"], "x0", "y0")
         .groupBy("_cell")
         .agg(F.min("val").alias("altitude_min"), F.max("val").alias("altitude_max"))
     )
-    sites = _with_cell(db["sites"].select("id_base_site", "x", "y"), "x", "y")
     fits = db.fits("altitude_cells")
-    found = join_dimension(sites, cells, "_cell", ["id_base_site"], fits, how="left")
-    return found.select("id_base_site", "altitude_min", "altitude_max")
+    keyed = _with_cell(sites, "x", "y")
+    return join_dimension(keyed, cells, "_cell", ["id_base_site"], fits, how="left").drop("_cell")
+
+
+def site_altitude(db: Survey) -> DataFrame:
+    """Lowest and highest altitude at each site."""
+    sites = _with_altitude(db, db["sites"].select("id_base_site", "x", "y"))
+    return sites.select("id_base_site", "altitude_min", "altitude_max")
 
 
 def _typed_areas(db: Survey) -> DataFrame:
     """Communes, departments and protected areas of each site, one pass over the bridge."""
     kinds = db["area_types"].where(F.col("type_code").isin(COMMUNE, DEPARTMENT, *PROTECTED))
-    areas = db["areas"].join(kinds, "id_type").drop("id_type")
+    db.measure("areas", "area_types")
+    areas = join_dimension(
+        db["areas"], kinds, "id_type", ["id_area"], db.fits("area_types")
+    ).drop("id_type")
     bridge = db["site_areas"]
     return join_dimension(
         bridge,
@@ -131,15 +139,15 @@ def with_places(frame: DataFrame) -> DataFrame:
 def site_dim(db: Survey) -> DataFrame:
     """Sites that belong to a group: names, coordinates, altitude and labels, one row each."""
     db.measure("nomenclature", "altitude_cells", "sites_groups")
-    sites = db["sites"].join(with_payload(db["site_complements"], SITE_PAYLOAD), "id_base_site")
+    complements = with_payload(db["site_complements"], SITE_PAYLOAD)
+    sites = fact_join(db["sites"], complements, "id_base_site")
     groups = db["sites_groups"].select(
         "id_sites_group", F.col("sites_group_name").alias("aire_etude")
     )
     grouped = join_dimension(
         sites, groups, "id_sites_group", ["id_base_site"], db.fits("sites_groups")
     )
-    placed = grouped.join(site_altitude(db), "id_base_site", "left")
-    labelled = with_labels(db, placed, {f: f for f in SITE_VOCABULARY}, ["id_base_site"])
+    labelled = with_labels(db, _with_altitude(db, grouped), {f: f for f in SITE_VOCABULARY}, ["id_base_site"])
     return labelled.select(
         "id_base_site",
         "aire_etude",

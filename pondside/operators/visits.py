@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pondside.functions.payload import json_text, unquoted, with_payload
 from pondside.functions.text import full_name, joined_distinct
-from pondside.operators.joins import join_dimension
+from pondside.operators.joins import fact_join, join_dimension
 from pondside.operators.lookups import of_module, with_labels
 from pondside.operators.sites import site_areas, site_dim
 from pondside.schemas import METHODS_FIELD, METHODS_PAYLOAD, VISIT_PAYLOAD, VISIT_VOCABULARY
@@ -39,10 +39,18 @@ def visit_dataset(db: Survey) -> DataFrame:
 
 def visit_observers(db: Survey) -> DataFrame:
     """Observers of each visit that has one, in the order of their ids, and their organisations."""
-    people = (
-        db["roles"]
-        .join(db["organisations"], "id_organisme", "left")
-        .select("id_role", full_name("nom_role", "prenom_role").alias("name"), "nom_organisme")
+    db.measure("roles", "organisations")
+    members = join_dimension(
+        db["roles"],
+        db["organisations"],
+        "id_organisme",
+        ["id_role"],
+        db.fits("organisations"),
+        how="left",
+        hot=lambda: db.hot_keys("roles", "id_organisme"),
+    )
+    people = members.select(
+        "id_role", full_name("nom_role", "prenom_role").alias("name"), "nom_organisme"
     )
     bridge = db["visit_observers"]
     listed = join_dimension(
@@ -78,7 +86,7 @@ def _method_labels(db: Survey) -> DataFrame:
 def visit_methods(db: Survey) -> DataFrame:
     """Methods of each visit with a complement, as text; NULL when it names none."""
     visits = db["visit_complements"].select("id_base_visit")
-    return visits.join(_method_labels(db), "id_base_visit", "left")
+    return fact_join(visits, _method_labels(db), "id_base_visit", "left")
 
 
 def _with_texts(complements: DataFrame) -> DataFrame:
@@ -112,7 +120,7 @@ def visit_core(db: Survey, module_code: str, with_areas: bool = False) -> DataFr
     sites = site_dim(db)
     few_sites = db.fits("sites")
     if with_areas:
-        sites = sites.join(site_areas(db), "id_base_site", "left")
+        sites = fact_join(sites, site_areas(db), "id_base_site", "left")
         few_sites = few_sites and db.fits("site_areas")
     visits = _with_dataset(db, of_module(db, db["visits"], module_code))
     placed = join_dimension(
@@ -124,7 +132,7 @@ def visit_core(db: Survey, module_code: str, with_areas: bool = False) -> DataFr
         hot=lambda: db.hot_keys("visits", "id_base_site"),
     )
     complements = _with_texts(with_payload(db["visit_complements"], VISIT_PAYLOAD))
-    return placed.join(complements, "id_base_visit")
+    return fact_join(placed, complements, "id_base_visit")
 
 
 def with_conditions(db: Survey, visits: DataFrame) -> DataFrame:
@@ -134,9 +142,8 @@ def with_conditions(db: Survey, visits: DataFrame) -> DataFrame:
 
 def with_people_and_methods(db: Survey, visits: DataFrame) -> DataFrame:
     """Add observers, organisations and methods."""
-    return visits.join(visit_observers(db), "id_base_visit", "left").join(
-        _method_labels(db), "id_base_visit", "left"
-    )
+    observed = fact_join(visits, visit_observers(db), "id_base_visit", "left")
+    return fact_join(observed, _method_labels(db), "id_base_visit", "left")
 
 
 def visit_flow(db: Survey, module_code: str) -> DataFrame:

@@ -4,6 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
+from pondside.operators.joins import fact_join
 from pondside.operators.lookups import with_labels
 from pondside.operators.observations import visit_summary, with_visit
 from pondside.operators.sites import protected_text, with_places, with_protected_by_name
@@ -16,7 +17,15 @@ from pondside.operators.visits import (
 from pondside.schemas import ANALYSES_COLUMNS, STANDARD_COLUMNS
 from pondside.sources.tables import Survey
 
-DIMENSIONS = (*CORE_DIMENSIONS, "areas", "site_areas", "roles", "taxref")
+DIMENSIONS = (
+    *CORE_DIMENSIONS,
+    "area_types",
+    "areas",
+    "site_areas",
+    "organisations",
+    "roles",
+    "taxref",
+)
 
 
 def _export_visits(db: Survey, module_code: str) -> DataFrame:
@@ -59,7 +68,7 @@ def export_analyses(db: Survey, module_code: str) -> DataFrame:
         F.year("date_visite").alias("annee"),
         F.col("presence").alias("presence_amphibien"),
     )
-    rows = visits.join(summary, "id_base_visit", "left")
+    rows = fact_join(visits, summary, "id_base_visit", "left")
     return with_places(with_protected_by_name(rows)).select(*ANALYSES_COLUMNS)
 
 

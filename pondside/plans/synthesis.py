@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pondside.operators.joins import fact_join
 from pondside.operators.lookups import constant_struct, source_id
 from pondside.operators.observations import with_visit
 from pondside.operators.visits import (
@@ -34,7 +35,7 @@ def synthesis_feed(db: Survey, module_code: str) -> DataFrame:
     """One row per kept observation, keyed by source and observation id."""
     db.measure(*CORE_DIMENSIONS, "roles", "taxref")
     people = visit_observers(db).drop("organismes_rattaches")
-    visits = visit_core(db, module_code).join(people, "id_base_visit", "left")
+    visits = fact_join(visit_core(db, module_code), people, "id_base_visit", "left")
     described = with_conditions(db, visits).withColumn("additional_data", _additional_data())
     needed = described.select(
         "id_base_visit",

@@ -65,3 +65,17 @@ def test_measure_checks_rows_and_bytes(spark, monkeypatch):
     monkeypatch.setattr(joins, "BROADCAST_ROWS", 10)
     monkeypatch.setattr(joins, "BROADCAST_BYTES", 10 * (8 + 100) - 1)
     assert joins.measure({"a": frame}) == {"a": False}
+
+
+def test_hot_keys_of_empty_and_null_columns(spark, tight):
+    frame = spark.createDataFrame([(None, "é")] * 40 + [(5, "a")] * 60, "k bigint, s string")
+    assert joins.hot_keys(frame.limit(0), "k") == []
+    assert joins.hot_keys(frame, "k") == [5, None]
+    assert set(joins.hot_keys(frame, "s")) == {"a", "é"}
+
+
+def test_a_fact_is_never_broadcast(spark, capsys):
+    left, right = spark.range(10), spark.range(3)
+    joins.fact_join(left, right, "id", "left").explain()
+    text = capsys.readouterr().out
+    assert "SortMergeJoin" in text and "Broadcast" not in text
