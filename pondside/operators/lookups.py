@@ -1,10 +1,11 @@
 """Lookups by module, source and vocabulary."""
 
 from collections.abc import Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pondside.operators.joins import join_dimension
+from pondside.operators.joins import hot_keys, join_dimension
 from pondside.schemas import FEED_CONSTANTS
 from pondside.sources.tables import Survey
 
@@ -57,11 +58,12 @@ def constant_struct(
 
 
 def with_labels(
-    db: Survey, frame: DataFrame, fields: Mapping[str, str], row_id: Sequence[str]
+    db: Survey, frame: DataFrame, fields: Mapping[str, str], row_id: Sequence[str], ids: DataFrame
 ) -> DataFrame:
     """Replace id columns by labels: `fields` maps id column -> label column.
 
-    An id that is NULL or unknown gives a NULL label.
+    An id that is NULL or unknown gives a NULL label. `ids` holds the same id columns and is
+    cheap to read; it is looked at only if the vocabulary is too large to broadcast.
     """
     entries = db["nomenclature"]
     fits = db.fits("nomenclature")
@@ -69,7 +71,9 @@ def with_labels(
         labels = entries.select(
             F.col("id_nomenclature").alias(field), F.col("label_fr").alias(f"_label_{field}")
         )
-        frame = join_dimension(frame, labels, field, row_id, fits, how="left")
+        frame = join_dimension(
+            frame, labels, field, row_id, fits, how="left", hot=partial(hot_keys, ids, field)
+        )
     kept = [name for name in frame.columns if name not in fields and not name.startswith("_label_")]
     return frame.select(
         *kept, *[F.col(f"_label_{field}").alias(label) for field, label in fields.items()]

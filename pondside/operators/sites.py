@@ -147,7 +147,9 @@ def site_dim(db: Survey) -> DataFrame:
     grouped = join_dimension(
         sites, groups, "id_sites_group", ["id_base_site"], db.fits("sites_groups")
     )
-    labelled = with_labels(db, _with_altitude(db, grouped), {f: f for f in SITE_VOCABULARY}, ["id_base_site"])
+    labels = {field: field for field in SITE_VOCABULARY}
+    placed = _with_altitude(db, grouped)
+    labelled = with_labels(db, placed, labels, ["id_base_site"], ids=complements)
     return labelled.select(
         "id_base_site",
         "aire_etude",

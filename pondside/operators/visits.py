@@ -7,7 +7,13 @@ from pondside.functions.text import full_name, joined_distinct
 from pondside.operators.joins import fact_join, join_dimension
 from pondside.operators.lookups import of_module, with_labels
 from pondside.operators.sites import site_areas, site_dim
-from pondside.schemas import METHODS_FIELD, METHODS_PAYLOAD, VISIT_PAYLOAD, VISIT_VOCABULARY
+from pondside.schemas import (
+    METHODS_FIELD,
+    METHODS_PAYLOAD,
+    VISIT_PAYLOAD,
+    VISIT_VOCABULARY,
+    ints,
+)
 from pondside.sources.tables import Survey
 
 CORE_DIMENSIONS = (
@@ -77,7 +83,8 @@ def _method_labels(db: Survey) -> DataFrame:
     """Labels of the methods of each visit that names one."""
     documents = with_payload(db["visit_complements"], METHODS_PAYLOAD)
     one_each = documents.select("id_base_visit", F.explode(METHODS_FIELD).alias("method"))
-    labelled = with_labels(db, one_each, {"method": "label"}, ["id_base_visit", "method"])
+    row_id = ["id_base_visit", "method"]
+    labelled = with_labels(db, one_each, {"method": "label"}, row_id, ids=one_each)
     return labelled.groupBy("id_base_visit").agg(
         joined_distinct("label", " ; ").alias("methodes_prospection")
     )
@@ -137,7 +144,9 @@ def visit_core(db: Survey, module_code: str, with_areas: bool = False) -> DataFr
 
 def with_conditions(db: Survey, visits: DataFrame) -> DataFrame:
     """Replace the ids of the eight visit conditions by labels."""
-    return with_labels(db, visits, {f: f for f in VISIT_VOCABULARY}, ["id_base_visit"])
+    labels = {field: field for field in VISIT_VOCABULARY}
+    ids = with_payload(db["visit_complements"], ints(VISIT_VOCABULARY))
+    return with_labels(db, visits, labels, ["id_base_visit"], ids)
 
 
 def with_people_and_methods(db: Survey, visits: DataFrame) -> DataFrame:

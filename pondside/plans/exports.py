@@ -4,6 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
+from pondside.functions.payload import with_payload
 from pondside.operators.joins import fact_join
 from pondside.operators.lookups import with_labels
 from pondside.operators.observations import visit_summary, with_visit
@@ -14,7 +15,7 @@ from pondside.operators.visits import (
     with_conditions,
     with_people_and_methods,
 )
-from pondside.schemas import ANALYSES_COLUMNS, STANDARD_COLUMNS
+from pondside.schemas import ANALYSES_COLUMNS, STANDARD_COLUMNS, ints
 from pondside.sources.tables import Survey
 
 DIMENSIONS = (
@@ -48,7 +49,8 @@ def export_standard(db: Survey, module_code: str) -> DataFrame:
         "id_nomenclature_stade": "stade_vie",
         "id_nomenclature_sex": "sexe",
     }
-    labelled = with_labels(db, rows, labels, ["id_observation"])
+    ids = with_payload(db["observation_complements"], ints(labels))
+    labelled = with_labels(db, rows, labels, ["id_observation"], ids)
     shown = labelled.select(
         "*",
         protected_text(F.col("protected")).alias("site_protege"),

@@ -16,8 +16,9 @@ def spark():
         "tests",
         spark__master="local[4]",
         spark__driver__memory="4g",
-        spark__sql__shuffle__partitions="4",
+        spark__sql__shuffle__partitions="3",
         spark__ui__showConsoleProgress="false",
+        spark__sql__adaptive__enabled="false",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

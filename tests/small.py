@@ -117,14 +117,19 @@ ROWS = {
     ],
 }
 
+_FRAMES: dict = {}
+
 
 def small_survey(spark, **changed) -> Survey:
     """The survey above; `changed` replaces the rows of relations."""
     rows = {**ROWS, **changed}
 
     def load(name):
-        schema = ", ".join(f"{column} {kind}" for column, kind in RELATIONS[name].items())
-        return spark.createDataFrame(rows[name], schema)
+        key = (spark.sparkContext.applicationId, name, repr(rows[name]))
+        if key not in _FRAMES:
+            schema = ", ".join(f"{column} {kind}" for column, kind in RELATIONS[name].items())
+            _FRAMES[key] = spark.createDataFrame(rows[name], schema)
+        return _FRAMES[key]
 
     return Survey(load)
 

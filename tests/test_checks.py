@@ -24,12 +24,20 @@ def duck():
     return connection
 
 
+@pytest.fixture
+def adaptive(spark):
+    """Adaptive execution, which the other tests leave out to spare time."""
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    yield
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+
+
 def test_every_query_has_a_check():
     assert set(QUERIES) == set(CHECKS)
 
 
 @pytest.mark.parametrize("name", QUERIES)
-def test_equals_sql(spark, duck, name):
+def test_equals_sql(spark, adaptive, duck, name):
     assert differences(QUERIES[name](spark, SF_DIR), duck, CHECKS[name]) is None
 
 
@@ -47,13 +55,7 @@ def test_plan_stays_declarative(spark, capsys, name):
 
 
 def test_feed_moves_observations_once_per_key(spark, capsys):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        text = plan(QUERIES["synthesis_feed"](spark, SF_DIR), capsys)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    text = plan(QUERIES["synthesis_feed"](spark, SF_DIR), capsys)
     moves = [line for line in text.splitlines() if " Exchange hashpartitioning(" in line]
     assert sum("(id_observation#" in line for line in moves) == 2
     # Observations, visits, visit complements and observers, each once by visit.
