@@ -251,10 +251,15 @@ def dq_allowed_codes(db: Survey) -> DataFrame:
 
 
 def _mistyped(frame: DataFrame, entity: str, key: str, fields: Mapping[str, str]) -> DataFrame:
-    """Fields with a value in the document that the typed reading does not accept."""
+    """Fields with a value in the document that the typed reading does not accept.
+
+    Only documents with a field that reads as NULL are parsed a second time.
+    """
     typed = F.from_json("data", ", ".join(f"{name} {kind}" for name, kind in fields.items()))
     plain = F.from_json("data", ", ".join(f"{name} VARIANT" for name in fields))
-    both = frame.select(key, typed.alias("typed"), plain.alias("plain"))
+    suspect = F.greatest(*[F.col(f"typed.{name}").isNull() for name in fields])
+    parsed = frame.select(key, "data", typed.alias("typed"))
+    both = parsed.select(key, "typed", F.when(suspect, plain).alias("plain"))
     broken = {
         name: F.col(f"plain.{name}").isNotNull()
         & ~F.is_variant_null(F.col(f"plain.{name}"))

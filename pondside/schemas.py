@@ -67,6 +67,17 @@ RELATIONS = {
     "altitude_cells": {"x0": "double", "y0": "double", "val": "int"},
 }
 
+# Relations that are joined on a key of their own rows. Bucketed by it they join without a shuffle,
+# and as the key is unique no bucket is larger than the others.
+BUCKET_KEYS = {
+    "observations": "id_observation",
+    "observation_complements": "id_observation",
+    "visits": "id_base_visit",
+    "visit_complements": "id_base_visit",
+    "sites": "id_base_site",
+    "site_complements": "id_base_site",
+}
+
 # JSON keys holding one vocabulary id, with the vocabulary type each belongs to.
 GROUP_VOCABULARY = {"categories_paysageres": "CATEGORIE_PAYSAGERE"}
 SITE_VOCABULARY = {

@@ -1,9 +1,10 @@
-"""Where results go: CSV files, named views, and the stored feed."""
+"""Where results go: CSV files, named views, the stored feed, and relations kept as tables."""
 
 from pyspark.sql import DataFrame, functions as F
 
 from pondside.plans.exports import export
 from pondside.plans.synthesis import synthesis_feed
+from pondside.schemas import BUCKET_KEYS, RELATIONS
 from pondside.sources.tables import Survey
 
 
@@ -35,3 +36,20 @@ def write_feed(db: Survey, module_code: str, path: str) -> None:
     """Write the feed as Parquet by year, for a store that merges on source and observation."""
     feed = synthesis_feed(db, module_code).withColumn("year", F.year("date_min"))
     feed.write.partitionBy("year").parquet(path)
+
+
+def store_tables(db: Survey, database: str) -> None:
+    """Keep the relations as Parquet tables, those of `BUCKET_KEYS` bucketed.
+
+    There are as many buckets as shuffle partitions, so that shuffled rows meet buckets where they
+    land. Rows are moved to their bucket first, so a bucket is one file.
+    """
+    settings = db["visits"].sparkSession.conf
+    buckets = int(settings.get("spark.sql.shuffle.partitions"))
+    for name in RELATIONS:
+        key = BUCKET_KEYS.get(name)
+        if key is None:
+            writer = db[name].write
+        else:
+            writer = db[name].repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+        writer.format("parquet").saveAsTable(f"{database}.{name}")

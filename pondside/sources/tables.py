@@ -45,6 +45,11 @@ def read_survey(spark: SparkSession, root: str) -> Survey:
     return Survey(lambda name: spark.read.parquet(f"{root}/{name}.parquet"))
 
 
+def read_tables(spark: SparkSession, database: str) -> Survey:
+    """Relations stored as tables of a database, as `sinks.store_tables` leaves them."""
+    return Survey(lambda name: spark.table(f"{database}.{name}"))
+
+
 def checked(name: str, frame: DataFrame) -> DataFrame:
     """The contract columns of a relation; an error names the columns that break it."""
     found = dict(frame.dtypes)

@@ -4,8 +4,9 @@ import csv
 import glob
 
 from pondside import sinks
-from pondside.sources.tables import read_survey
+from pondside.plans.synthesis import synthesis_feed
 from pondside.schemas import RELATIONS, STANDARD_COLUMNS
+from pondside.sources.tables import read_survey, read_tables
 from small import small_survey
 
 
@@ -46,3 +47,20 @@ def test_stored_relations_give_the_same_export(spark, db, tmp_path):
     stored = read_survey(spark, str(tmp_path))
     expected = sorted(map(repr, sinks.export(small_survey(spark), "standard", "mares").collect()))
     assert sorted(map(repr, sinks.export(stored, "standard", "mares").collect())) == expected
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, db, tmp_path, capsys):
+    spark.sql(f"CREATE DATABASE kept LOCATION '{tmp_path}'")
+    try:
+        sinks.store_tables(db, "kept")
+        feed = synthesis_feed(read_tables(spark, "kept"), "mares")
+        capsys.readouterr()
+        feed.explain()
+        text = capsys.readouterr().out
+        rows = sorted(map(repr, feed.collect()))
+    finally:
+        spark.sql("DROP DATABASE kept CASCADE")
+    assert rows == sorted(map(repr, synthesis_feed(small_survey(spark), "mares").collect()))
+    assert "Exchange hashpartitioning(id_observation" not in text
+    # Observations and observers move to the visits, which lie by their key already.
+    assert text.count("Exchange hashpartitioning(id_base_visit") == 2
