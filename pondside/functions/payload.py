@@ -1,5 +1,7 @@
 """Reading the JSON document of a complement."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -14,6 +16,16 @@ def with_payload(frame: DataFrame, schema: str) -> DataFrame:
     return parsed.select(*kept, "_payload.*")
 
 
+def one_each(frame: DataFrame, kept: Sequence[Column | str], values: Column, name: str) -> DataFrame:
+    """The `kept` columns and one row per element of an array, as `name`; none for no element.
+
+    Written with the outer form: for the inner one Spark adds a filter on the size of the array,
+    and pushes it below the parse, so that every document would be parsed again for it.
+    """
+    rows = frame.select(*kept, F.posexplode_outer(values).alias("_position", name))
+    return rows.where(F.col("_position").isNotNull()).drop("_position")
+
+
 def json_text(value: Column | str) -> Column:
     """A VARIANT field as the JSON text it had: quotes kept, JSON null as `null`."""
     return F.to_json(value)

@@ -8,7 +8,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pondside.functions.payload import with_payload
+from pondside.functions.payload import one_each, with_payload
 from pondside.operators.joins import fact_join, join_dimension, measure
 from pondside.operators.lookups import constant_struct
 from pondside.schemas import (
@@ -63,12 +63,17 @@ def _violations(
 ) -> DataFrame:
     """One row per record and field whose condition holds; one pass, no shuffle."""
     fields = [F.when(condition, F.lit(field)) for field, condition in broken.items()]
-    return frame.select(
+    kept = [
         F.lit(rule).alias("rule"),
         F.lit(entity).alias("entity"),
         F.col(key).cast("string").alias("id"),
-        F.explode(F.array_compact(F.array(*fields))).alias("field"),
-    )
+    ]
+    return one_each(frame, kept, F.array_compact(F.array(*fields)), "field")
+
+
+def _only(condition: Column, broken: Mapping[str, Column]) -> dict[str, Column]:
+    """The conditions, for records that meet another; not a filter, which would parse them anew."""
+    return {field: condition & wrong for field, wrong in broken.items()}
 
 
 def _missing(*fields: str) -> dict[str, Column]:
@@ -126,22 +131,23 @@ def dq_required_first_pass(db: Survey) -> DataFrame:
     """Conditions that an accessible first pass must describe."""
     first = (F.col("accessibility") == YES) & (F.col("num_passage") == FIRST_PASS)
     return _violations(
-        _forms(db).where(first),
+        _forms(db),
         "required_first_pass",
         "visit",
         "id_base_visit",
-        _missing(*FIRST_PASS_FIELDS),
+        _only(first, _missing(*FIRST_PASS_FIELDS)),
     )
 
 
 def dq_required_accessible(db: Survey) -> DataFrame:
     """Methods and presence of an accessible visit; an empty list counts as missing."""
+    missing = {METHODS_FIELD: _no_methods(), **_missing(PRESENCE)}
     return _violations(
-        _forms(db).where(F.col("accessibility") == YES),
+        _forms(db),
         "required_accessible",
         "visit",
         "id_base_visit",
-        {METHODS_FIELD: _no_methods(), **_missing(PRESENCE)},
+        _only(F.col("accessibility") == YES, missing),
     )
 
 
@@ -149,11 +155,11 @@ def dq_hidden(db: Survey) -> DataFrame:
     """Fields that hold a value although the site was not accessible."""
     filled = {field: F.col(field).isNotNull() for field in (*VISIT_VOCABULARY, PRESENCE)}
     return _violations(
-        _forms(db).where(F.col("accessibility") == NO),
+        _forms(db),
         "hidden",
         "visit",
         "id_base_visit",
-        {**filled, METHODS_FIELD: ~_no_methods()},
+        _only(F.col("accessibility") == NO, {**filled, METHODS_FIELD: ~_no_methods()}),
     )
 
 
@@ -189,9 +195,8 @@ def _field_ids(frame: DataFrame, entity: str, key: str, types: Mapping[str, str]
         held = F.concat(
             held, F.transform(methods, lambda entry: _held(METHODS_FIELD, METHODS_TYPE, entry))
         )
-    rows = frame.select(
-        F.lit(entity).alias("entity"), F.col(key).cast("string").alias("id"), F.inline(held)
-    )
+    kept = [F.lit(entity).alias("entity"), F.col(key).cast("string").alias("id")]
+    rows = one_each(frame, kept, held, "held").select("entity", "id", "held.*")
     return rows.where(F.col("id_nomenclature").isNotNull())
 
 
@@ -311,9 +316,8 @@ def dq_vocabulary_integrity(documents: DataFrame) -> DataFrame:
         "foreign_code": ~F.startswith("code", "type"),
     }
     rules = [F.when(condition, F.lit(rule)) for rule, condition in broken.items()]
-    return checked.select(
-        F.explode(F.array_compact(F.array(*rules))).alias("rule"), "type", "code"
-    )
+    found = one_each(checked, ["type", "code"], F.array_compact(F.array(*rules)), "rule")
+    return found.select("rule", "type", "code")
 
 
 def apply_defaults_visits(db: Survey) -> DataFrame:

@@ -7,14 +7,7 @@ from pondside.functions.text import joined
 from pondside.operators.joins import fact_join, join_dimension
 from pondside.operators.lookups import with_labels
 from pondside.schemas import COMMUNE, DEPARTMENT, PROTECTED, SITE_PAYLOAD, SITE_VOCABULARY
-from pondside.sources.tables import Survey
-
-# Grid of the altitude cells: a cell covers [x0, x0 + width) by [y0, y0 + height).
-CELL_WIDTH = 55_000.0
-CELL_HEIGHT = 50_000.0
-GRID_X = 100_000.0
-GRID_Y = 6_050_000.0
-
+from pondside.sources.tables import Grid, Survey
 
 def site_coordinates(db: Survey) -> DataFrame:
     """Projected and centroid coordinates; the centroid of a point is the point."""
@@ -27,22 +20,22 @@ def site_coordinates(db: Survey) -> DataFrame:
     )
 
 
-def _with_cell(frame: DataFrame, x: str, y: str) -> DataFrame:
+def _with_cell(frame: DataFrame, grid: Grid, x: str, y: str) -> DataFrame:
     """Add the key of the grid cell a point lies in: column number above, row number below."""
-    column = F.floor((F.col(x) - GRID_X) / CELL_WIDTH)
-    row = F.floor((F.col(y) - GRID_Y) / CELL_HEIGHT)
+    column = F.floor((F.col(x) - grid.x) / grid.width)
+    row = F.floor((F.col(y) - grid.y) / grid.height)
     return frame.withColumn("_cell", F.shiftleft(column, 32) + row)
 
 
 def _with_altitude(db: Survey, sites: DataFrame) -> DataFrame:
     """Add the lowest and highest altitude at (x, y); NULL outside the cells."""
     cells = (
-        _with_cell(db["altitude_cells"], "x0", "y0")
+        _with_cell(db["altitude_cells"], db.grid, "x0", "y0")
         .groupBy("_cell")
         .agg(F.min("val").alias("altitude_min"), F.max("val").alias("altitude_max"))
     )
     fits = db.fits("altitude_cells")
-    keyed = _with_cell(sites, "x", "y")
+    keyed = _with_cell(sites, db.grid, "x", "y")
     return join_dimension(keyed, cells, "_cell", ["id_base_site"], fits, how="left").drop("_cell")
 
 

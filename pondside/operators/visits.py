@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from pondside.functions.payload import json_text, unquoted, with_payload
+from pondside.functions.payload import json_text, one_each, unquoted, with_payload
 from pondside.functions.text import full_name, joined_distinct
 from pondside.operators.joins import fact_join, join_dimension
 from pondside.operators.lookups import of_module, with_labels
@@ -82,9 +82,9 @@ def visit_observers(db: Survey) -> DataFrame:
 def _method_labels(db: Survey) -> DataFrame:
     """Labels of the methods of each visit that names one."""
     documents = with_payload(db["visit_complements"], METHODS_PAYLOAD)
-    one_each = documents.select("id_base_visit", F.explode(METHODS_FIELD).alias("method"))
+    methods = one_each(documents, ["id_base_visit"], F.col(METHODS_FIELD), "method")
     row_id = ["id_base_visit", "method"]
-    labelled = with_labels(db, one_each, {"method": "label"}, row_id, ids=one_each)
+    labelled = with_labels(db, methods, {"method": "label"}, row_id, ids=methods)
     return labelled.groupBy("id_base_visit").agg(
         joined_distinct("label", " ; ").alias("methodes_prospection")
     )

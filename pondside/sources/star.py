@@ -11,7 +11,9 @@ from string import Template
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pondside.sources.tables import Survey
+from pondside.sources.tables import Grid, Survey
+
+GRID = Grid(width=55_000, height=50_000, x=100_000, y=6_050_000)
 
 # The tables read, with their types, so that opening one runs no job.
 TABLES = {
@@ -256,7 +258,7 @@ def _derive(spark: SparkSession, tables: dict[str, DataFrame], name: str) -> Dat
 def derive_survey(spark: SparkSession, root: str) -> Survey:
     """The relations over the tables below `root`; nothing is read until a plan asks for it."""
     tables = _read_tables(spark, root)
-    return Survey(lambda name: _derive(spark, tables, name))
+    return Survey(lambda name: _derive(spark, tables, name), GRID)
 
 
 def derive_documents(spark: SparkSession, root: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """The relations of one monitoring database as DataFrames."""
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -8,11 +9,22 @@ from pondside.operators.joins import hot_keys, measure
 from pondside.schemas import RELATIONS
 
 
+@dataclass(frozen=True)
+class Grid:
+    """Raster of the altitude cells: a cell covers [x0, x0 + width) by [y0, y0 + height)."""
+
+    width: float = 25.0
+    height: float = 25.0
+    x: float = 0.0
+    y: float = 0.0
+
+
 class Survey:
     """Relations by name, loaded on first use, with the sizes and hot keys measured so far."""
 
-    def __init__(self, load: Callable[[str], DataFrame]):
+    def __init__(self, load: Callable[[str], DataFrame], grid: Grid = Grid()):
         self._load = load
+        self.grid = grid
         self._tables: dict[str, DataFrame] = {}
         self._fits: dict[str, bool] = {}
         self._hot: dict[tuple[str, str], list] = {}
@@ -40,14 +52,14 @@ class Survey:
         return self._hot[name, key]
 
 
-def read_survey(spark: SparkSession, root: str) -> Survey:
+def read_survey(spark: SparkSession, root: str, grid: Grid = Grid()) -> Survey:
     """Relations stored as `<root>/<relation>.parquet`."""
-    return Survey(lambda name: spark.read.parquet(f"{root}/{name}.parquet"))
+    return Survey(lambda name: spark.read.parquet(f"{root}/{name}.parquet"), grid)
 
 
-def read_tables(spark: SparkSession, database: str) -> Survey:
+def read_tables(spark: SparkSession, database: str, grid: Grid = Grid()) -> Survey:
     """Relations stored as tables of a database, as `sinks.store_tables` leaves them."""
-    return Survey(lambda name: spark.table(f"{database}.{name}"))
+    return Survey(lambda name: spark.table(f"{database}.{name}"), grid)
 
 
 def checked(name: str, frame: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from pondside.functions.payload import one_each
 from pondside.schemas import VOCABULARY_DOCUMENT
 
 
@@ -10,14 +11,14 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).withColumnRenamed("value", "document")
 
 
-def _parsed(documents: DataFrame) -> DataFrame:
-    content = F.from_json("document", VOCABULARY_DOCUMENT).alias("content")
-    return documents.select(content).select("content.*")
+def _items(documents: DataFrame, part: str) -> DataFrame:
+    parsed = documents.select(F.from_json("document", VOCABULARY_DOCUMENT).alias("content"))
+    return one_each(parsed, [], F.col(f"content.{part}"), "item").select("item.*")
 
 
 def vocabulary_types(documents: DataFrame) -> DataFrame:
     """The types of all documents: code, label, definition."""
-    return _parsed(documents).select(F.inline("types")).select(
+    return _items(documents, "types").select(
         F.col("mnemonique").alias("type"),
         F.col("label_default").alias("label"),
         F.trim("definition_default").alias("definition"),
@@ -26,7 +27,7 @@ def vocabulary_types(documents: DataFrame) -> DataFrame:
 
 def vocabulary_entries(documents: DataFrame) -> DataFrame:
     """The entries of all documents: type, code, mnemonic, label, definition."""
-    return _parsed(documents).select(F.inline("nomenclatures")).select(
+    return _items(documents, "nomenclatures").select(
         "type",
         F.col("cd_nomenclature").alias("code"),
         F.col("mnemonique").alias("mnemonic"),

@@ -3,6 +3,7 @@
 from datetime import date
 
 from pondside.schemas import RELATIONS
+from pondside.sources.star import GRID
 from pondside.sources.tables import Survey
 
 ROWS = {
@@ -131,7 +132,7 @@ def small_survey(spark, **changed) -> Survey:
             _FRAMES[key] = spark.createDataFrame(rows[name], schema)
         return _FRAMES[key]
 
-    return Survey(load)
+    return Survey(load, GRID)
 
 
 def as_dicts(frame, *key) -> list[dict]:

@@ -68,3 +68,11 @@ def test_feed_moves_observations_once_per_key(spark, capsys):
 def test_facts_are_read_narrow(spark, capsys):
     text = plan(QUERIES["rollup_visit"](spark, SF_DIR), capsys)
     assert "ReadSchema: struct<l_orderkey:bigint>" in text
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_documents_are_not_parsed_by_filters(spark, capsys, name):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    lines = plan(QUERIES[name](spark, SF_DIR), capsys).splitlines()
+    filters = [line.split("Format:")[0] for line in lines if "Filter" in line]
+    assert not any("from_json" in line for line in filters)

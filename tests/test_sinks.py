@@ -6,6 +6,7 @@ import glob
 from pondside import sinks
 from pondside.plans.synthesis import synthesis_feed
 from pondside.schemas import RELATIONS, STANDARD_COLUMNS
+from pondside.sources.star import GRID
 from pondside.sources.tables import read_survey, read_tables
 from small import small_survey
 
@@ -44,7 +45,7 @@ def test_stored_feed_has_one_row_per_source_and_observation(spark, db, tmp_path)
 def test_stored_relations_give_the_same_export(spark, db, tmp_path):
     for name in RELATIONS:
         db[name].write.parquet(str(tmp_path / f"{name}.parquet"))
-    stored = read_survey(spark, str(tmp_path))
+    stored = read_survey(spark, str(tmp_path), GRID)
     expected = sorted(map(repr, sinks.export(small_survey(spark), "standard", "mares").collect()))
     assert sorted(map(repr, sinks.export(stored, "standard", "mares").collect())) == expected
 
@@ -53,7 +54,7 @@ def test_bucketed_tables_join_without_a_shuffle(spark, db, tmp_path, capsys):
     spark.sql(f"CREATE DATABASE kept LOCATION '{tmp_path}'")
     try:
         sinks.store_tables(db, "kept")
-        feed = synthesis_feed(read_tables(spark, "kept"), "mares")
+        feed = synthesis_feed(read_tables(spark, "kept", GRID), "mares")
         capsys.readouterr()
         feed.explain()
         text = capsys.readouterr().out
