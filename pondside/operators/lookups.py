@@ -21,6 +21,23 @@ def module_filter(db: Survey, module_code: str) -> DataFrame:
     return of_module(db, db["visits"], module_code).select("id_base_visit")
 
 
+def few_visits(db: Survey, module_code: str) -> bool:
+    """Whether the keys of a module's visits were measured to fit a broadcast."""
+    return db.frame_fits(f"visits of {module_code}", lambda: module_filter(db, module_code))
+
+
+def for_module(db: Survey, frame: DataFrame, module_code: str | None) -> DataFrame:
+    """Rows by visit, cut down to a module whose visits are few; otherwise as they are.
+
+    A small module among much data is cut out of a table while it is read. The rows left over
+    for a large one are dropped by the join to its visits that follows in any case.
+    """
+    if module_code is None or not few_visits(db, module_code):
+        return frame
+    visits = module_filter(db, module_code)
+    return frame.join(F.broadcast(visits), "id_base_visit", "left_semi")
+
+
 def source_id(db: Survey, module_code: str) -> Column:
     """Id of the module's source: NULL when unknown, an error when there are several."""
     name = F.concat(F.lit("MONITORING_"), F.upper(F.lit(module_code)))

@@ -5,20 +5,34 @@ from pyspark.sql import DataFrame, functions as F
 from pondside.functions.payload import with_payload
 from pondside.functions.text import joined_distinct
 from pondside.operators.joins import fact_join, join_dimension, spread_join
+from pondside.operators.lookups import few_visits, for_module
 from pondside.operators.visits import visit_core
 from pondside.schemas import COUNT_FIELDS, OBSERVATION_PAYLOAD, OBSERVATION_VOCABULARY, ints
 from pondside.sources.tables import Survey
 
 
-def visit_summary(db: Survey) -> DataFrame:
+def _records(db: Survey, module_code: str | None) -> tuple[DataFrame, DataFrame]:
+    """Observations and their complements, both cut down to a module that is small enough."""
+    observations = for_module(db, db["observations"], module_code)
+    complements = db["observation_complements"]
+    if module_code is None or not few_visits(db, module_code):
+        return observations, complements
+    ids = observations.select("id_observation")
+    if db.frame_fits(f"observations of {module_code}", lambda: ids):
+        complements = complements.join(F.broadcast(ids), "id_observation", "left_semi")
+    return observations, complements
+
+
+def visit_summary(db: Survey, module_code: str | None = None) -> DataFrame:
     """Diversity, taxon names and summed counts of each visit with an observation.
 
     Observations without a complement or a known taxon still count. Rows are first reduced to
     one per visit and taxon, so a visit or taxon holding much of the data is summed before it
-    is looked up and gathered.
+    is looked up and gathered. With a module, other visits may be left out.
     """
-    observations = db["observations"].select("id_observation", "id_base_visit", "cd_nom")
-    counts = with_payload(db["observation_complements"], ints(COUNT_FIELDS))
+    records, complements = _records(db, module_code)
+    observations = records.select("id_observation", "id_base_visit", "cd_nom")
+    counts = with_payload(complements, ints(COUNT_FIELDS))
     per_taxon = (
         fact_join(observations, counts, "id_observation", "left")
         .groupBy("id_base_visit", "cd_nom")
@@ -42,11 +56,16 @@ def visit_summary(db: Survey) -> DataFrame:
     )
 
 
-def known_observations(db: Survey) -> DataFrame:
-    """Observations with a complement and a known taxon; vocabulary columns still hold ids."""
-    complements = with_payload(db["observation_complements"], OBSERVATION_PAYLOAD)
-    observations = db["observations"].withColumnRenamed("comments", "commentaire_obs")
-    described = fact_join(observations, complements, "id_observation")
+def known_observations(db: Survey, module_code: str | None = None) -> DataFrame:
+    """Observations with a complement and a known taxon; vocabulary columns still hold ids.
+
+    With a module, those of others may be left out.
+    """
+    records, complements = _records(db, module_code)
+    observations = records.withColumnRenamed("comments", "commentaire_obs")
+    described = fact_join(
+        observations, with_payload(complements, OBSERVATION_PAYLOAD), "id_observation"
+    )
     taxa = db["taxref"].select("cd_nom", "lb_nom", "nom_vern", "nom_complet")
     return join_dimension(
         described,
@@ -58,21 +77,21 @@ def known_observations(db: Survey) -> DataFrame:
     )
 
 
-def with_visit(db: Survey, visits: DataFrame) -> DataFrame:
-    """Known observations joined to the given visits, which carry all that is known of them.
+def with_visit(db: Survey, visits: DataFrame, module_code: str) -> DataFrame:
+    """Known observations joined to visits of a module, which carry all that is known of them.
 
     This comes last: the observation rows move while narrow, and the visits already lie by
     their key.
     """
     hot = db.hot_keys("observations", "id_base_visit")
-    known = known_observations(db)
+    known = known_observations(db, module_code)
     return spread_join(known, visits, "id_base_visit", ["id_observation"], hot)
 
 
 def observation_flow(db: Survey, module_code: str) -> DataFrame:
     """Kept observations of a module with their taxon and counts."""
     kept = visit_core(db, module_code).select("id_base_visit")
-    return with_visit(db, kept).select(
+    return with_visit(db, kept, module_code).select(
         "id_observation",
         "id_base_visit",
         "cd_nom",

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 from pondside.functions.payload import json_text, one_each, unquoted, with_payload
 from pondside.functions.text import full_name, joined_distinct
 from pondside.operators.joins import fact_join, join_dimension
-from pondside.operators.lookups import of_module, with_labels
+from pondside.operators.lookups import for_module, of_module, with_labels
 from pondside.operators.sites import site_areas, site_dim
 from pondside.schemas import (
     METHODS_FIELD,
@@ -43,8 +43,11 @@ def visit_dataset(db: Survey) -> DataFrame:
     return visits.select("id_base_visit", "id_dataset", "jeu_de_donnees")
 
 
-def visit_observers(db: Survey) -> DataFrame:
-    """Observers of each visit that has one, in the order of their ids, and their organisations."""
+def visit_observers(db: Survey, module_code: str | None = None) -> DataFrame:
+    """Observers of each visit that has one, in the order of their ids, and their organisations.
+
+    With a module, other visits may be left out.
+    """
     db.measure("roles", "organisations")
     members = join_dimension(
         db["roles"],
@@ -58,7 +61,7 @@ def visit_observers(db: Survey) -> DataFrame:
     people = members.select(
         "id_role", full_name("nom_role", "prenom_role").alias("name"), "nom_organisme"
     )
-    bridge = db["visit_observers"]
+    bridge = for_module(db, db["visit_observers"], module_code)
     listed = join_dimension(
         bridge,
         people,
@@ -79,9 +82,10 @@ def visit_observers(db: Survey) -> DataFrame:
     )
 
 
-def _method_labels(db: Survey) -> DataFrame:
+def _method_labels(db: Survey, module_code: str | None = None) -> DataFrame:
     """Labels of the methods of each visit that names one."""
-    documents = with_payload(db["visit_complements"], METHODS_PAYLOAD)
+    complements = for_module(db, db["visit_complements"], module_code)
+    documents = with_payload(complements, METHODS_PAYLOAD)
     methods = one_each(documents, ["id_base_visit"], F.col(METHODS_FIELD), "method")
     row_id = ["id_base_visit", "method"]
     labelled = with_labels(db, methods, {"method": "label"}, row_id, ids=methods)
@@ -138,7 +142,8 @@ def visit_core(db: Survey, module_code: str, with_areas: bool = False) -> DataFr
         few_sites,
         hot=lambda: db.hot_keys("visits", "id_base_site"),
     )
-    complements = _with_texts(with_payload(db["visit_complements"], VISIT_PAYLOAD))
+    documents = for_module(db, db["visit_complements"], module_code)
+    complements = _with_texts(with_payload(documents, VISIT_PAYLOAD))
     return fact_join(placed, complements, "id_base_visit")
 
 
@@ -149,10 +154,10 @@ def with_conditions(db: Survey, visits: DataFrame) -> DataFrame:
     return with_labels(db, visits, labels, ["id_base_visit"], ids)
 
 
-def with_people_and_methods(db: Survey, visits: DataFrame) -> DataFrame:
-    """Add observers, organisations and methods."""
-    observed = fact_join(visits, visit_observers(db), "id_base_visit", "left")
-    return fact_join(observed, _method_labels(db), "id_base_visit", "left")
+def with_people_and_methods(db: Survey, visits: DataFrame, module_code: str) -> DataFrame:
+    """Add observers, organisations and methods to the visits of a module."""
+    observed = fact_join(visits, visit_observers(db, module_code), "id_base_visit", "left")
+    return fact_join(observed, _method_labels(db, module_code), "id_base_visit", "left")
 
 
 def visit_flow(db: Survey, module_code: str) -> DataFrame:

@@ -34,7 +34,7 @@ def additional_data(db: Survey, module_code: str) -> DataFrame:
 def synthesis_feed(db: Survey, module_code: str) -> DataFrame:
     """One row per kept observation, keyed by source and observation id."""
     db.measure(*CORE_DIMENSIONS, "roles", "taxref")
-    people = visit_observers(db).drop("organismes_rattaches")
+    people = visit_observers(db, module_code).drop("organismes_rattaches")
     visits = fact_join(visit_core(db, module_code), people, "id_base_visit", "left")
     described = with_conditions(db, visits).withColumn("additional_data", _additional_data())
     needed = described.select(
@@ -49,7 +49,7 @@ def synthesis_feed(db: Survey, module_code: str) -> DataFrame:
         *["lon", "lat", "x_lambert93", "y_lambert93", "altitude_min", "altitude_max"],
         *["ids_observers", "observers", "additional_data"],
     )
-    rows = with_visit(db, needed)
+    rows = with_visit(db, needed, module_code)
     constants = constant_struct(db)
     point = F.struct(F.col("lon").alias("x"), F.col("lat").alias("y"))
     derived = {

@@ -34,6 +34,12 @@ class Survey:
             self._tables[name] = checked(name, self._load(name))
         return self._tables[name]
 
+    def frame_fits(self, name: str, build: Callable[[], DataFrame]) -> bool:
+        """The same for a frame derived from the relations, sized once under the name given."""
+        if name not in self._fits:
+            self._fits.update(measure({name: build()}))
+        return self._fits[name]
+
     def measure(self, *names: str) -> None:
         """Size several relations in one job, ahead of the joins that ask for them."""
         todo = {name: self[name] for name in names if name not in self._fits}

@@ -185,3 +185,12 @@ def test_protected_text_is_null_without_parts(spark):
 def test_visits_without_observer_are_absent_from_the_list(db):
     rows = as_dicts(visits.visit_observers(db), "id_base_visit")
     assert [r["id_base_visit"] for r in rows] == [1, 3]
+
+
+def test_small_module_is_cut_out_while_reading(db, capsys):
+    frame = synthesis_feed(db, "mares")
+    capsys.readouterr()
+    frame.explain()
+    # Visit complements, the observer bridge, observations and their complements.
+    assert capsys.readouterr().out.count("LeftSemi, BuildRight") >= 4
+    assert {r["id_observation"] for r in as_dicts(synthesis_feed(db, "MARES"))} == {"h"}
