@@ -12,11 +12,14 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 # A key is hot from this share of the rows on, so at most 1 / HOT_SHARE keys are; below
 # HOT_ROWS rows a task copes anyway. TRACKED bounds the sketch each task keeps; MERGERS tasks
 # merge the sketches before one task sees them.
-HOT_SHARE = 0.01
+HOT_SHARE = 0.001
 HOT_ROWS = 100_000
-TRACKED = 1000
+TRACKED = 10_000
 MERGERS = 256
 
+# A hot key is cut into as many pieces as there are shuffle partitions, up to this.
+MOST_PIECES = 1000
+
 
 def measure(frames: Mapping[str, DataFrame]) -> dict[str, bool]:
     """One job that counts rows and bytes of each frame, and tells which fit a broadcast."""
@@ -79,7 +82,8 @@ def spread_join(
     """
     if not hot:
         return fact_join(left, right, key, how)
-    pieces = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pieces = min(partitions, MOST_PIECES)
     known = [value for value in hot if value is not None]
     is_hot = F.col(key).isin(known) if known else F.lit(False)
     left_hot = is_hot | F.col(key).isNull() if None in hot else is_hot
