@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 from compare import differences
+from pondside.schemas import ANALYSES_COLUMNS
 from pondside.sources.star import TABLES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -32,6 +33,12 @@ def adaptive(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
 
 
+def test_entry_has_rows_in_the_export_columns(spark):
+    frame = entry_points.entry(spark)
+    assert frame.columns == ANALYSES_COLUMNS
+    assert frame.limit(1).count() == 1
+
+
 def test_every_query_has_a_check():
     assert set(QUERIES) == set(CHECKS)
 
