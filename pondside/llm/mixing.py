@@ -15,11 +15,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pondside.llm.common import words_of
+from pondside.llm.common import stored, words_of
 
 BLOCK = 16
 SHARD_WORDS = 50_000
 MOST_SHARDS = 4096
+# Up to so many sources, a row of some 60 bytes each, are sent to every executor.
+SENT_SOURCES = 100_000
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 LIMIT = 2.0
@@ -124,7 +126,9 @@ def mix(rows: DataFrame) -> DataFrame:
     plan = plan.withColumn(
         "shards", F.least(F.lit(MOST_SHARDS), F.greatest(F.lit(1), F.ceil(F.col("source_size") / SHARD_WORDS)))
     )
-    # One row per source; it is broadcast only where Spark's own limit allows.
+    # Few sources go to the documents, so that those of a hot source stay where they are.
+    plan = stored(plan, "mix-sources")
+    plan = F.broadcast(plan) if plan.count() <= SENT_SOURCES else plan
     placed = rows.join(plan, [*_SOURCE]).withColumn("shard", F.pmod(F.xxhash64(F.lit(SEED), "draw"), F.col("shards")))
     shards = sainte_lague(
         placed.groupBy(*_SOURCE, "shard").agg(F.sum("size").alias("shard_size"), F.first("blocks").alias("blocks")),

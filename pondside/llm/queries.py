@@ -7,9 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pondside.llm import bpe, mixing
-from pondside.llm.common import stored, table
+from pondside.llm import bpe, langid, mixing, simhash
+from pondside.llm.common import fold, stored, table
 
+SHINGLE, BITS = 3, 3
 TOKENIZER = "byte_bpe_50k.json"
 
 
@@ -19,6 +20,15 @@ def tokenizer_spec(path: str | None = None) -> str:
         return file.read()
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = simhash.fingerprints(table(spark, sf_dir, "documents"), "text", SHINGLE, ["doc_id"])
+    prints = stored(rows.select(F.col("row.doc_id").alias("doc_id"), "fp"), "fingerprints")
+    named = simhash.near_duplicates(prints, "doc_id", BITS)
+    return prints.join(named, "fp").select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     sizes = mixing.sized(docs, F.col("text"), F.col("source"), F.col("doc_id"))
@@ -26,6 +36,14 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(F.col("row").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    model = langid.train(docs.filter(~held_out), "text", "lang")
+    predicted = langid.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model, "text")
+    return predicted.select("row.doc_id", "row.held_out", "lang_pred", "score")
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     coded = bpe.round_trip(docs, "doc_id", "text", tokenizer_spec())
@@ -38,7 +56,9 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_simhash": op6_simhash,
     "op7_mixing": op7_mixing,
+    "op9_langid": op9_langid,
     "op10_bpe": op10_bpe,
 }
 
