@@ -14,60 +14,52 @@ an empty table gives no rows. Only the columns asked for are read.
 
 from __future__ import annotations
 
-import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, functions as F
 
 from pondside.llm.common import stored
 
-MAX_WORDS = 150_000
-MAX_GRAMS = 40_000
+MAX_WORDS = 30_000
+MAX_GRAMS = 20_000
 MAX_LANGS = 256
 LONGEST = 4
 SMOOTH = 0.5
 CACHE = 200_000
 UNKNOWN = "und"
-LETTERS = regex.compile(r"\p{L}+")
+LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def words(text: str | None) -> list[str]:
     return LETTERS.findall(text.lower()) if text else []
 
 
-def grams(word: str, size: int) -> list[str]:
-    """The n-grams of a word between two blanks."""
-    padded = f" {word} "
-    return [padded[i : i + size] for i in range(len(padded) - size + 1)]
-
-
 @dataclass
 class Model:
-    """Log frequencies per language: of words, and of n-grams by length."""
+    """Log frequencies by row and language: words first, then n-grams of each length."""
 
     langs: list[str]
-    words: dict[str, np.ndarray]
-    grams: list[dict[str, np.ndarray]]
-    unseen: dict[str, np.ndarray] = field(default_factory=dict)
+    words: dict[str, int]
+    grams: list[dict[str, int]]
+    table: np.ndarray
+    unseen: dict[str, list[int]] = field(default_factory=dict)
 
-    def backoff(self, word: str) -> np.ndarray:
+    def backoff(self, word: str) -> list[int]:
+        """At each place the row of the longest n-gram known there."""
         found = self.unseen.get(word)
         if found is None:
-            padded, found, places = f" {word} ", np.zeros(len(self.langs)), 0
+            padded, found = f" {word} ", []
             for at in range(len(padded) - 1):
                 for size in range(min(LONGEST, len(padded) - at), 0, -1):
-                    score = self.grams[size - 1].get(padded[at : at + size])
-                    if score is not None:
-                        found = found + score
-                        places += 1
+                    row = self.grams[size - 1].get(padded[at : at + size])
+                    if row is not None:
+                        found.append(row)
                         break
-            # As one word: the mean of its places.
-            found = found / max(1, places)
             if len(self.unseen) >= CACHE:
                 self.unseen.clear()
             self.unseen[word] = found
@@ -75,11 +67,20 @@ class Model:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         counted = Counter(words(text))
-        if not counted or not self.langs:
+        if not self.langs or not any(c.isalpha() for w in counted for c in w):
             return UNKNOWN, 0.0
+        rows, weights = [], []
         known = self.words
-        rows = [r if (r := known.get(w)) is not None else self.backoff(w) for w in counted]
-        total = np.fromiter(counted.values(), float, len(rows)) @ np.array(rows)
+        for word, n in counted.items():
+            row = known.get(word)
+            if row is not None:
+                rows.append(row)
+                weights.append(n)
+            elif found := self.backoff(word):
+                # Counts as one word: the mean of its places.
+                rows += found
+                weights += [n / len(found)] * len(found)
+        total = np.array(weights, float) @ self.table[np.array(rows, np.int64)]
         share = np.exp(total - total.max())
         best = int(total.argmax())
         return self.langs[best], float(share[best] / share.sum())
@@ -108,22 +109,19 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flushed()
 
 
-def _top(counts: DataFrame, unit: str, most: int, langs: list[str]) -> dict[str, np.ndarray]:
-    """Log frequencies of the `most` most frequent units."""
-    totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+def _top(counts: DataFrame, unit: str, most: int, langs: list[str], totals: list[int]) -> tuple[list[str], np.ndarray]:
+    """The `most` most frequent units and their log frequencies."""
+    per_lang = [F.coalesce(F.sum(F.when(F.col("lang") == x, F.col("n"))), F.lit(0)) for x in langs]
     rows = (
         counts.groupBy(unit)
-        .agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
+        .agg(F.sum("n").alias("total"), F.array(*per_lang).alias("by"))
         .orderBy(F.col("total").desc(), unit)
         .limit(most)
-        .collect()
+        .toArrow()
     )
-    size = max(1, len(rows))
-    base = [math.log(totals.get(lang, 0) + SMOOTH * size) for lang in langs]
-    return {
-        r[unit]: np.array([math.log(r["by"].get(lang, 0) + SMOOTH) - b for lang, b in zip(langs, base, strict=True)])
-        for r in rows
-    }
+    by = rows.column("by").combine_chunks().flatten().to_numpy().reshape(rows.num_rows, len(langs))
+    base = np.log(np.array(totals) + SMOOTH * max(1, rows.num_rows))
+    return rows.column(unit).to_pylist(), (np.log(by + SMOOTH) - base).astype(np.float32)
 
 
 def train(docs: DataFrame, text: str, lang: str) -> Model:
@@ -131,17 +129,23 @@ def train(docs: DataFrame, text: str, lang: str) -> Model:
     rows = docs.filter(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     counts = rows.mapInArrow(_counted, "lang string, word string, n long")
     counts = stored(counts.groupBy("lang", "word").agg(F.sum("n").alias("n")), "langid-words")
-    per_lang = counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "lang").limit(MAX_LANGS)
-    langs = [r["lang"] for r in per_lang.collect()]
+    sizes = range(1, LONGEST + 1)
+    room = [F.sum(F.col("n") * F.greatest(F.length("word") + 3 - size, F.lit(0))).alias(f"g{size}") for size in sizes]
+    per_lang = counts.groupBy("lang").agg(F.sum("n").alias("n"), *room).orderBy(F.col("n").desc(), "lang")
+    totals = per_lang.limit(MAX_LANGS).collect()
+    langs = [r["lang"] for r in totals]
+    if not langs:
+        return Model([], {}, [{} for _ in sizes], np.zeros((0, 0), np.float32))
     counts = counts.filter(F.col("lang").isin(langs))
-    by_length = []
+    found = [_top(counts, "word", MAX_WORDS, langs, [r["n"] for r in totals])]
     padded = F.concat(F.lit(" "), "word", F.lit(" "))
-    for size in range(1, LONGEST + 1):
-        places = F.sequence(F.lit(1), F.length("word") + 3 - size)
-        cut = F.transform(places, lambda i, size=size: padded.substr(i, F.lit(size)))
+    for size in sizes:
+        cut = F.transform(F.sequence(F.lit(1), F.length("word") + 3 - size), lambda i, size=size: padded.substr(i, F.lit(size)))
         gram = counts.filter(F.length("word") + 2 >= size).select("lang", "n", F.explode(cut).alias("gram"))
-        by_length.append(_top(gram.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "gram", MAX_GRAMS, langs))
-    return Model(langs, _top(counts, "word", MAX_WORDS, langs), by_length)
+        found.append(_top(gram, "gram", MAX_GRAMS, langs, [r[f"g{size}"] for r in totals]))
+    starts = np.cumsum([0, *(len(units) for units, _ in found)])
+    rows_of = [{u: int(at) + k for k, u in enumerate(units)} for (units, _), at in zip(found, starts[:-1], strict=True)]
+    return Model(langs, rows_of[0], rows_of[1:], np.concatenate([scores for _, scores in found]))
 
 
 def predict(docs: DataFrame, model: Model, text: str) -> DataFrame:

@@ -7,9 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pondside.llm import bpe, langid, mixing, simhash
+from pondside.llm import bpe, crosspolytope, langid, mixing, simhash, vafile
 from pondside.llm.common import fold, stored, table
 
+NEAREST = 20
 SHINGLE, BITS = 3, 3
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -20,6 +21,16 @@ def tokenizer_spec(path: str | None = None) -> str:
         return file.read()
 
 
+def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return vafile.top_k(rows, "vec_id", "embedding", F.col("vec_id") % 20 == 0, 64, NEAREST)
+
+
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return crosspolytope.nearest(rows, "vec_id", "embedding", F.col("vec_id") % 20 == 0, NEAREST)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.fingerprints(table(spark, sf_dir, "documents"), "text", SHINGLE, ["doc_id"])
     prints = stored(rows.select(F.col("row.doc_id").alias("doc_id"), "fp"), "fingerprints")
@@ -56,6 +67,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_exact_top_k": op3_exact_top_k,
+    "op4_nearest": op4_nearest,
     "op6_simhash": op6_simhash,
     "op7_mixing": op7_mixing,
     "op9_langid": op9_langid,
