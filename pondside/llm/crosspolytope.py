@@ -7,7 +7,7 @@ inner product. Largest inner product is made nearest angle by one more component
 longest one's length; where all have unit length it is zero.
 
 The buckets of a table are twice the padded length, whatever the number of rows; a bucket of more than PIECE rows is cut into
-pieces that its queries all visit, so a task holds one piece. Recall against brute force at 64 components, 8 tables, 16
+pieces that its queries all visit, so a task holds one piece. Recall against brute force at 64 components, 12 tables, 16
 probes: see README.
 
 Defined results: rows without id, NULL, empty and zero vectors and those with NULL or non-finite components take no part;
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pondside.llm.vectors import best, usable
 
-TABLES = 8
+TABLES = 12
 PROBES = 16
 PIECE = 16_384
 ROUNDS = 3

@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from pondside.llm.common import stored
 
-MAX_WORDS = 30_000
-MAX_GRAMS = 20_000
+MAX_WORDS = 100_000
+MAX_GRAMS = 30_000
 MAX_LANGS = 256
 LONGEST = 4
 SMOOTH = 0.5
@@ -45,7 +45,7 @@ class Model:
 
     langs: list[str]
     words: dict[str, int]
-    grams: list[dict[str, int]]
+    grams: dict[str, int]
     table: np.ndarray
     unseen: dict[str, list[int]] = field(default_factory=dict)
 
@@ -53,13 +53,15 @@ class Model:
         """At each place the row of the longest n-gram known there."""
         found = self.unseen.get(word)
         if found is None:
-            padded, found = f" {word} ", []
+            padded, found, row_of = f" {word} ", [], self.grams.get
             for at in range(len(padded) - 1):
-                for size in range(min(LONGEST, len(padded) - at), 0, -1):
-                    row = self.grams[size - 1].get(padded[at : at + size])
-                    if row is not None:
-                        found.append(row)
-                        break
+                gram = padded[at : at + LONGEST]
+                row = row_of(gram)
+                while row is None and len(gram) > 1:
+                    gram = gram[:-1]
+                    row = row_of(gram)
+                if row is not None:
+                    found.append(row)
             if len(self.unseen) >= CACHE:
                 self.unseen.clear()
             self.unseen[word] = found
@@ -135,7 +137,7 @@ def train(docs: DataFrame, text: str, lang: str) -> Model:
     totals = per_lang.limit(MAX_LANGS).collect()
     langs = [r["lang"] for r in totals]
     if not langs:
-        return Model([], {}, [{} for _ in sizes], np.zeros((0, 0), np.float32))
+        return Model([], {}, {}, np.zeros((0, 0), np.float32))
     counts = counts.filter(F.col("lang").isin(langs))
     found = [_top(counts, "word", MAX_WORDS, langs, [r["n"] for r in totals])]
     padded = F.concat(F.lit(" "), "word", F.lit(" "))
@@ -145,7 +147,8 @@ def train(docs: DataFrame, text: str, lang: str) -> Model:
         found.append(_top(gram, "gram", MAX_GRAMS, langs, [r[f"g{size}"] for r in totals]))
     starts = np.cumsum([0, *(len(units) for units, _ in found)])
     rows_of = [{u: int(at) + k for k, u in enumerate(units)} for (units, _), at in zip(found, starts[:-1], strict=True)]
-    return Model(langs, rows_of[0], rows_of[1:], np.concatenate([scores for _, scores in found]))
+    grams = {gram: row for rows in rows_of[1:] for gram, row in rows.items()}
+    return Model(langs, rows_of[0], grams, np.concatenate([scores for _, scores in found]))
 
 
 def predict(docs: DataFrame, model: Model, text: str) -> DataFrame:

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pondside.llm import bpe, crosspolytope, langid, mixing, simhash, vafile
+from pondside.llm import bpe, crosspolytope, langid, mixing, quality, simhash, toxicity, vafile
 from pondside.llm.common import fold, stored, table
 
+GOOD, TOXIC = 0.3, 0.7
 NEAREST = 20
 SHINGLE, BITS = 3, 3
 TOKENIZER = "byte_bpe_50k.json"
@@ -21,6 +22,10 @@ def tokenizer_spec(path: str | None = None) -> str:
         return file.read()
 
 
+def _at_least(score: str, bound: float) -> Column:
+    return (F.col(score) >= bound).cast("int").alias("predicted")
+
+
 def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     return vafile.top_k(rows, "vec_id", "embedding", F.col("vec_id") % 20 == 0, 64, NEAREST)
@@ -31,6 +36,15 @@ def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crosspolytope.nearest(rows, "vec_id", "embedding", F.col("vec_id") % 20 == 0, NEAREST)
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    model = quality.train(docs.filter(~held_out), table(spark, sf_dir, "labels"), "doc_id", "text", "quality")
+    scored = quality.scored(docs, model, "text").withColumn("doc_id", F.col("row.doc_id"))
+    held_out = fold(F.col("doc_id"), 5) == 0
+    return scored.select("doc_id", held_out.alias("held_out"), "score", _at_least("score", GOOD))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.fingerprints(table(spark, sf_dir, "documents"), "text", SHINGLE, ["doc_id"])
     prints = stored(rows.select(F.col("row.doc_id").alias("doc_id"), "fp"), "fingerprints")
@@ -47,6 +61,14 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(F.col("row").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold(F.col("doc_id"), 3) == 1
+    model = toxicity.train(docs.filter(~held_out), table(spark, sf_dir, "labels"), "doc_id", "text", "toxic")
+    scored = toxicity.scored(docs.withColumn("held_out", held_out), model, "text")
+    return scored.select("row.doc_id", "row.held_out", "score", _at_least("score", TOXIC))
+
+
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = fold(F.col("doc_id"), 4) == 2
@@ -69,8 +91,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_top_k": op3_exact_top_k,
     "op4_nearest": op4_nearest,
+    "op5_quality": op5_quality,
     "op6_simhash": op6_simhash,
     "op7_mixing": op7_mixing,
+    "op8_toxicity": op8_toxicity,
     "op9_langid": op9_langid,
     "op10_bpe": op10_bpe,
 }
