@@ -34,8 +34,13 @@ LEXICONS, PATTERNS, VOTERS = 6, 4, 12
 PREFIXES = (4, 5, 6)
 MAX_TERMS = 600
 MAX_FEATURES = 2_000
-LEAST_ROWS = 3
-LEAST_SHARE = 0.6
+LEAST_ROWS = 6
+LEAST_SHARE = 0.7
+# Standard deviations by which a term's share of toxic rows must stand out to become a feature.
+LEAST_PULL = 8.0
+PENALTY, LASSO = 0.005, 1.0
+# Of the toxic rows a voter's term marks at least this share, else it may be a word of a few copies.
+LEAST_PART = 0.01
 CORRELATED = 4.0
 LARGEST_GROUP = 3
 ROUNDS = 200
@@ -131,7 +136,9 @@ def _term_counts(rows: DataFrame) -> DataFrame:
 def draw_voters(labelled: DataFrame) -> Voters:
     """Terms that stand mostly in toxic rows, dealt to the lexicons and patterns in turn by how many rows they mark."""
     share = F.col("weight") / (F.col("n") + 1)
-    marked = _term_counts(labelled).filter((F.col("n") >= LEAST_ROWS) & (share >= LEAST_SHARE))
+    toxic = labelled.agg(F.coalesce(F.sum("label"), F.lit(0.0))).first()[0]
+    least = max(LEAST_ROWS, LEAST_PART * toxic)
+    marked = _term_counts(labelled).filter((F.col("n") >= least) & (share >= LEAST_SHARE))
     rows = marked.orderBy((F.col("weight") * share).desc(), "term").limit(MAX_TERMS).collect()
     terms, voter_of, dealt = [], [], [0, 0]
     for r in rows:
@@ -219,19 +226,23 @@ class Model:
 NOTHING = Model(Finder([]), np.zeros(0), -500.0)
 
 
-def _logistic(rows: list[np.ndarray], target: np.ndarray, size: int, penalty: float = 1.0, steps: int = 400) -> tuple[np.ndarray, float]:
-    """Weights and intercept by accelerated gradient steps on the penalised likelihood of fractional targets."""
+def _logistic(rows: list[np.ndarray], target: np.ndarray, size: int, steps: int = 600) -> tuple[np.ndarray, float]:
+    """Weights and intercept by accelerated proximal steps on the likelihood of fractional targets.
+
+    The lasso leaves out terms whose rows others explain, such as the words of a group of copies."""
     at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     columns = np.concatenate(rows).astype(np.int64) if len(at) else np.zeros(0, np.int64)
     # Columns are scaled by how often they occur, so that rare terms are learned as fast as common ones.
-    scale = 1 / np.sqrt(np.bincount(columns, minlength=size) + penalty)
+    scale = 1 / np.sqrt(np.bincount(columns, minlength=size) + 1)
     weights, intercept = np.zeros(size), float(np.log((target.mean() + 1e-6) / (1 - target.mean() + 1e-6)))
     ahead, ahead_b, rate = weights.copy(), intercept, 1.0 / max(1.0, max((len(r) for r in rows), default=1) / 4)
     for step in range(steps):
         total = ahead_b + np.bincount(at, (ahead * scale)[columns], minlength=len(rows))
         error = 1 / (1 + np.exp(-np.clip(total, -500, 500))) - target
-        slope = np.bincount(columns, error[at], minlength=size) * scale + penalty * ahead * scale**2
-        new, new_b = ahead - rate * slope, ahead_b - rate * error.sum() / len(rows) * 4
+        slope = np.bincount(columns, error[at], minlength=size) * scale + PENALTY * ahead * scale**2
+        moved = ahead - rate * slope
+        new = np.sign(moved) * np.maximum(np.abs(moved) - rate * LASSO * scale, 0)
+        new_b = ahead_b - rate * error.sum() / len(rows) * 4
         push = step / (step + 3)
         ahead, ahead_b = new + push * (new - weights), new_b + push * (new_b - intercept)
         weights, intercept = new, new_b
@@ -259,7 +270,7 @@ def train(docs: DataFrame, labels: DataFrame, identity: str, text: str, label: s
     n, toxic = learned.agg(F.count("*"), F.sum("label")).first()
     base = (toxic + 0.5) / (n + 1)
     pull = F.abs(F.col("weight") - F.col("n") * base) / F.sqrt(F.col("n") * base * (1 - base) + 1)
-    counts = _term_counts(learned).filter(F.col("n") >= LEAST_ROWS)
+    counts = _term_counts(learned).filter((F.col("n") >= LEAST_ROWS) & (pull >= LEAST_PULL))
     features = [r["term"] for r in counts.orderBy(pull.desc(), "term").limit(MAX_FEATURES).collect()]
     finder = Finder(features)
 
