@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pondside.llm import bpe, crosspolytope, langid, mixing, quality, simhash, toxicity, vafile
+from pondside.llm import bpe, crosspolytope, langid, linededup, mixing, quality, simhash, toxicity, vafile
 from pondside.llm.common import fold, stored, table
 
 GOOD, TOXIC = 0.3, 0.7
@@ -26,6 +26,16 @@ def _at_least(score: str, bound: float) -> Column:
     return (F.col(score) >= bound).cast("int").alias("predicted")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.deduped(docs, "doc_id", "text").select(
+        "row.doc_id",
+        F.col("lines").cast("long").alias("n_lines"),
+        F.size("removed").cast("long").alias("n_removed"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     return vafile.top_k(rows, "vec_id", "embedding", F.col("vec_id") % 20 == 0, 64, NEAREST)
@@ -89,6 +99,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op3_exact_top_k": op3_exact_top_k,
     "op4_nearest": op4_nearest,
     "op5_quality": op5_quality,
