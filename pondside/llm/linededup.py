@@ -1,15 +1,15 @@
 """Line dedup by a deletion-neighbourhood join, on DataFrame functions alone.
 
 A line goes if an earlier one, in the order of document id and line number, is within one edit of it: one
-character inserted, removed or replaced, after runs of blanks are made one blank. Lines of fewer than LEAST_CHARS characters stay.
+character inserted, removed or replaced, blanks at both ends aside. Lines of fewer than LEAST_CHARS characters stay.
 
-Equal lines are one class from the start. Neighbourhoods come in two steps, so that a line of any length has few keys.
-First whole runs of SEGMENT words are deleted: the hash of what is left is the key, and also of what is
-left with one word more gone, since an edited blank joins two words. Two lines within one edit share such a key
-whose deleted run holds the edit. Only lines that share a key then delete single characters, from that run
-alone. Lines with equal remains (of the same place, or one a remain of the other) are within one edit; each
-remain passes on its earliest line only, so no pairs of a group are listed. The edit distance to that line is
-verified on the texts.
+Neighbourhoods come in steps, so that a line of any length has few keys. First whole runs of RUN characters
+are deleted: the hash of what is left is a key, and so is what is left with one character more gone. Two
+lines within one edit share such a key whose deleted run holds the edit. Lines that share a key with another
+do the same inside that run, with runs of FINE characters, and those that still share one delete single
+characters from what is left of it. Lines with equal remains (of the same place, or one a remain of the other) are within
+one edit; each remain passes on its earliest line only, so no pairs of a group are listed. The edit distance to
+that line is verified on the texts.
 
 Defined results: NULL texts are empty, with one empty line; rows without id come before all others; equal rows are
 told apart by their place in the table, the first of them is the earliest; an empty table gives no rows. Other
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pondside.llm.common import stored
 
-SEGMENT = 16
+RUN, FINE = 96, 24
 LEAST_CHARS = 40
 EDITS = 1
 # Up to so many rows of two or three numbers (some 24 MB) are sent to every executor.
@@ -44,39 +44,51 @@ def _numbered(docs: DataFrame, identity: str, text: str) -> DataFrame:
 
 
 def _lines(numbered: DataFrame) -> DataFrame:
-    """(`at`: id, place and number; `line`) of the lines that take part, blanks made one."""
+    """(`id`, `place`, `number`, `line`) of the lines that take part."""
     split = numbered.select("id", "place", F.posexplode(F.split("text", "\n")).alias("number", "raw"))
-    line = F.trim(F.regexp_replace("raw", r"[\x20\x09-\x0D]+", " "))
-    return split.select(F.struct("id", "place", "number").alias("at"), line.alias("line")).filter(F.length("line") >= LEAST_CHARS)
+    blanks = F.lit(" \t\n\x0b\x0c\r")
+    return split.select("id", "place", "number", F.trim("raw", blanks).alias("line")).filter(F.length("line") >= LEAST_CHARS)
 
 
-def _runs(words: Column, count: Column, shift: int) -> Column:
-    """Hashes of the runs of SEGMENT words after the first `shift` ones; `count` words in all."""
-    last = F.ceil((count - shift) / SEGMENT).cast("int")
+def _runs(text: Column, run: int, shift: int) -> Column:
+    """Hashes of the runs of `run` characters after the first `shift` ones."""
+    size = F.length(text) - shift
     hashed = F.transform(
-        F.sequence(F.lit(0), F.greatest(last - 1, F.lit(0))),
-        lambda j: F.xxhash64(F.slice(words, j * SEGMENT + 1 + shift, F.lit(SEGMENT))),
+        F.sequence(F.lit(0), F.greatest(F.ceil(size / run).cast("int") - 1, F.lit(0))),
+        lambda j: F.xxhash64(text.substr(j * run + 1 + shift, F.lit(run))),
     )
-    return F.when(last > 0, hashed).otherwise(F.array().cast("array<bigint>"))
+    return F.when(size > 0, hashed).otherwise(F.array().cast("array<bigint>"))
 
 
-def _keys(count: Column, runs: Column, after: Column, shift: int) -> Column:
-    """(`key`, `run`, `more`) for each run deleted, with `shift` words more."""
+def _keys(within: list[Column], size: Column, runs: Column, after: Column, shift: int) -> Column:
+    """The key of each run deleted, with `shift` characters more."""
+
     def key(_, j):
         before = F.slice(runs, F.lit(1), j)
         rest = F.slice(after, j + 2, F.greatest(F.size(after) - j - 1, F.lit(0)))
-        return F.struct(
-            F.xxhash64(count - shift, j, before, rest).alias("key"), j.alias("run"), F.lit(shift).alias("more")
-        )
+        return F.xxhash64(*within, size - shift, j, before, rest)
 
     return F.transform(after, key)
 
 
-def _neighbours(classes: DataFrame) -> DataFrame:
-    """(`key`, `run`, `more`, `one`, `other`, `first`) of the classes that share a key with another class."""
-    keyed = classes.select("one", "other", "first", F.inline("keys"))
-    shared = keyed.groupBy("key").agg(F.min("one").alias("a"), F.max("one").alias("b")).filter("a != b").select("key")
-    return keyed.join(shared, "key")
+def _keyed(rows: DataFrame, text: Column, run: int, within: list[Column]) -> DataFrame:
+    """`rows` with `size`, and `keys`: those of the runs, then those of the runs with one character more."""
+    rows = rows.withColumns({"size": F.length(text), "runs": _runs(text, run, 0), "after": _runs(text, run, 1)})
+    size, runs, after = F.col("size"), F.col("runs"), F.col("after")
+    keys = F.concat(_keys(within, size, runs, runs, 0), _keys(within, size, runs, after, 1))
+    return rows.withColumn("keys", keys).drop("runs", "after")
+
+
+def _sharing(rows: DataFrame, run: int) -> DataFrame:
+    """`rows` once for each key that another class shares, with `key`, and `begin` and `length` of the deleted run."""
+    listed = rows.select("*", F.posexplode("keys").alias("at_key", "key")).drop("keys")
+    shared = listed.groupBy("key").agg(F.min("one").alias("a"), F.max("one").alias("b")).filter("a != b").select("key")
+    shared = stored(shared, "line-keys")
+    plain = F.ceil(F.col("size") / run)
+    more = (F.col("at_key") >= plain).cast("int")
+    return listed.join(_sent(shared), "key").select(
+        "*", ((F.col("at_key") - more * plain) * run + 1).cast("int").alias("begin"), (more + run).alias("length")
+    ).drop("at_key", "size")
 
 
 def _earlier(near: DataFrame) -> DataFrame:
@@ -104,37 +116,32 @@ def _earlier(near: DataFrame) -> DataFrame:
 def removed_lines(numbered: DataFrame) -> DataFrame:
     """(`place`, `number`) of every line that goes."""
     lines = _lines(numbered)
-    words = F.split("line", " ")
-    count = F.size("words")
     identity = [F.xxhash64("line").alias("one"), F.xxhash64(F.lit(EDITS), "line").alias("other")]
-    shaped = lines.select("at", *identity, words.alias("words")).withColumns(
-        {"runs": _runs(F.col("words"), count, 0), "after": _runs(F.col("words"), count, 1)}
-    )
-    keys = F.concat(_keys(count, F.col("runs"), F.col("runs"), 0), _keys(count, F.col("runs"), F.col("after"), 1))
-    # Earliest place, number of lines and keys of each class; equal lines have equal keys.
-    classes = stored(
-        shaped.select("at", "one", "other", keys.alias("keys"))
-        .groupBy("one", "other")
-        .agg(F.min("at").alias("first"), F.count("*").alias("lines"), F.first("keys").alias("keys")),
-        "line-classes",
-    )
-    near = stored(_neighbours(classes), "line-neighbours")
-    wanted = near.select("first.place", "first.number").distinct()
-    texts = lines.select("line", "at.place", "at.number").join(_sent(wanted), ["place", "number"])
-    texts = stored(
-        texts.select(F.xxhash64("line").alias("one"), F.xxhash64(F.lit(EDITS), "line").alias("other"), "line"), "line-texts"
-    )
-    begin = F.col("run") * SEGMENT + 1
-    run_text = F.array_join(F.slice(F.split("line", " "), begin, F.lit(SEGMENT) + F.col("more")), " ")
-    found = stored(_earlier(near.join(texts, ["one", "other"]).withColumn("run_text", run_text)), "line-earlier")
+    shaped = _keyed(lines.select("*", *identity), F.col("line"), RUN, []).drop("line")
+    shaped = stored(shaped, "line-shapes")
+    at = F.struct("id", "place", "number")
+    classes = shaped.groupBy("one", "other").agg(F.min(at).alias("first"), F.count("*").alias("lines"))
+    classes = stored(classes, "line-classes")
+    near = stored(_sharing(shaped, RUN), "line-neighbours")
+    wanted = near.select("place", "number").distinct()
+    texts = lines.select("place", "number", "line").join(_sent(wanted), ["place", "number"])
+    texts = stored(texts.select(*identity, "line").dropDuplicates(["one", "other"]), "line-texts")
+    # One row for each class and key; the run that the key deletes takes the line's place.
+    run_text = F.col("line").substr(F.col("begin"), F.col("length"))
+    once = near.select("key", "one", "other", "begin", "length").distinct().join(texts, ["one", "other"])
+    inner = once.select("one", "other", F.col("key").alias("outer"), run_text.alias("text"))
+    inner = _sharing(_keyed(inner, F.col("text"), FINE, [F.col("outer")]), FINE)
+    inner = inner.select("key", "one", "other", F.col("text").substr(F.col("begin"), F.col("length")).alias("run_text"))
+    inner = stored(inner.distinct().join(classes, ["one", "other"]), "line-inner")
+    found = stored(_earlier(inner), "line-earlier")
     mine = found.join(texts, ["one", "other"]).withColumnRenamed("line", "mine")
     theirs = texts.select(F.col("one").alias("to_one"), F.col("other").alias("to_other"), F.col("line").alias("theirs"))
     pairs = mine.withColumns({"to_one": F.col("to.one"), "to_other": F.col("to.other")}).join(theirs, ["to_one", "to_other"])
     gone = pairs.filter(F.levenshtein("mine", "theirs", EDITS) >= 0).select("one", "other", F.lit(True).alias("gone"))
-    acting = classes.select("one", "other", "first", "lines").join(gone, ["one", "other"], "left")
-    acting = acting.filter("lines > 1 or gone").select("one", "other", "first", F.coalesce("gone", F.lit(False)).alias("gone"))
-    every = lines.select("at", *identity).join(acting, ["one", "other"])
-    return every.filter(F.col("gone") | (F.col("at") != F.col("first"))).select("at.place", "at.number")
+    acting = classes.join(gone, ["one", "other"], "left").filter("lines > 1 or gone")
+    acting = acting.select("one", "other", "first", F.coalesce("gone", F.lit(False)).alias("gone"))
+    every = shaped.select("one", "other", "place", "number", at.alias("at")).join(acting, ["one", "other"])
+    return every.filter(F.col("gone") | (F.col("at") != F.col("first"))).select("place", "number")
 
 
 def deduped(docs: DataFrame, identity: str, text: str) -> DataFrame:
