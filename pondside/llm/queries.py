@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pondside.llm import bpe, crosspolytope, langid, linededup, mixing, quality, simhash, toxicity, vafile
+from pondside.llm import bpe, crosspolytope, langid, linededup, mixing, quality, simhash, suffixdedup, toxicity, vafile
 from pondside.llm.common import fold, stored, table
 
 GOOD, TOXIC = 0.3, 0.7
@@ -36,6 +36,18 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffixdedup.without_repeats(table(spark, sf_dir, "documents"), "doc_id", "text")
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
+    return left.select(
+        F.col("id").alias("doc_id"),
+        F.col("bytes").alias("n_bytes"),
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     return vafile.top_k(rows, "vec_id", "embedding", F.col("vec_id") % 20 == 0, 64, NEAREST)
@@ -100,6 +112,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_exact_top_k": op3_exact_top_k,
     "op4_nearest": op4_nearest,
     "op5_quality": op5_quality,
