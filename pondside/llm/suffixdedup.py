@@ -32,7 +32,6 @@ GRAM = 16
 SYMBOL = 2
 # Windows merged at a time, unless one anchor alone has more.
 TOGETHER = 1_000_000
-SENT_ROWS = 1_500_000
 _PLACE_BITS = 28
 _STRETCH = 1 << 26
 
@@ -204,12 +203,6 @@ def _rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _sent(rows: DataFrame, size: str) -> DataFrame:
-    """Broadcast where its lists are counted to be short in all; else the join shuffles."""
-    total = rows.agg(F.coalesce(F.sum(F.size(size) + 2), F.lit(0))).first()[0]
-    return F.broadcast(rows) if total <= SENT_ROWS else rows
-
-
 def without_repeats(docs: DataFrame, identity: str, text: str) -> DataFrame:
     """(`id`, `bytes`, `spans`, `kept`): size of each text, its removed runs, and the bytes left."""
     placed = docs.select(F.monotonically_increasing_id().alias("place"), F.col(identity).alias("id"), F.col(text).alias("text"))
@@ -226,7 +219,7 @@ def without_repeats(docs: DataFrame, identity: str, text: str) -> DataFrame:
     )
     where = where.groupBy("place").agg(F.collect_list(F.struct("key", "content", "first", "windows")).alias("wanted"))
     where = stored(where, "suffix-wanted")
-    cut = placed.select("place", "text").join(_sent(where, "wanted"), "place").select("text", "wanted")
+    cut = placed.select("place", "text").join(where, "place").select("text", "wanted")
     cut = cut.mapInArrow(_cut_out, "key long, content long, piece binary")
     runs = cut.repartition("key").sortWithinPartitions("key").mapInArrow(
         _merged, "key long, content long, runs array<struct<a:int,b:int>>"
@@ -242,6 +235,6 @@ def without_repeats(docs: DataFrame, identity: str, text: str) -> DataFrame:
         F.struct((F.col("first") + F.col("run.a")).alias("begin"), (F.col("first") + F.col("run.b") + WINDOW).alias("end")).alias("run"),
     )
     gone = stored(found.groupBy("place").agg(F.collect_list("run").alias("runs")), "suffix-gone")
-    joined = placed.join(_sent(gone, "runs"), "place", "left").select("id", "text", "runs")
+    joined = placed.join(gone, "place", "left").select("id", "text", "runs")
     kind = docs.schema[identity].dataType.simpleString()
     return joined.mapInArrow(_rest, f"id {kind}, bytes long, spans array<struct<begin:int,end:int>>, kept binary")
