@@ -3,11 +3,10 @@
 A line goes if an earlier one, in the order of document id and line number, is within one edit of it: one
 character inserted, removed or replaced, blanks at both ends aside. Lines of fewer than LEAST_CHARS characters stay.
 
-Neighbourhoods come in steps, so that a line of any length has few keys. First whole runs of RUN characters
-are deleted: the hash of what is left is a key, and so is what is left with one character more gone. Two
-lines within one edit share such a key whose deleted run holds the edit. Lines that share a key with another
-do the same inside that run, with runs of FINE characters, and those that still share one delete single
-characters from what is left of it. Lines with equal remains (of the same place, or one a remain of the other) are within
+Neighbourhoods come in steps, so that a line of any length has few keys. First every quarter of the line is deleted: the hash of what is left is a key, and so is what is left with one character
+more gone. Two lines within one edit share such a key whose deleted run holds the edit. Lines that share a key with
+another do the same inside that quarter, with runs of its length's square root, and those that still share one delete single
+characters from that run. Lines with equal remains (of the same place, or one a remain of the other) are within
 one edit; each remain passes on its earliest line only, so no pairs of a group are listed. The edit distance to
 that line is verified on the texts.
 
@@ -22,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pondside.llm.common import stored
 
-RUN, FINE = 96, 24
+PARTS, SHORTEST = 4, 6
 LEAST_CHARS = 40
 EDITS = 1
 # Up to so many rows of two or three numbers (some 24 MB) are sent to every executor.
@@ -50,45 +49,31 @@ def _lines(numbered: DataFrame) -> DataFrame:
     return split.select("id", "place", "number", F.trim("raw", blanks).alias("line")).filter(F.length("line") >= LEAST_CHARS)
 
 
-def _runs(text: Column, run: int, shift: int) -> Column:
-    """Hashes of the runs of `run` characters after the first `shift` ones."""
-    size = F.length(text) - shift
-    hashed = F.transform(
-        F.sequence(F.lit(0), F.greatest(F.ceil(size / run).cast("int") - 1, F.lit(0))),
-        lambda j: F.xxhash64(text.substr(j * run + 1 + shift, F.lit(run))),
-    )
-    return F.when(size > 0, hashed).otherwise(F.array().cast("array<bigint>"))
-
-
-def _keys(within: list[Column], size: Column, runs: Column, after: Column, shift: int) -> Column:
-    """The key of each run deleted, with `shift` characters more."""
+def _left(within: list[Column], text: Column, size: Column, run: Column, shift: int) -> Column:
+    """(`key`, `begin`, `length`) of each run deleted with `shift` characters more; the key stands for what is left."""
 
-    def key(_, j):
-        before = F.slice(runs, F.lit(1), j)
-        rest = F.slice(after, j + 2, F.greatest(F.size(after) - j - 1, F.lit(0)))
-        return F.xxhash64(*within, size - shift, j, before, rest)
+    def key(j):
+        kept = [text.substr(F.lit(1), j * run), text.substr((j + 1) * run + 1 + shift, size)]
+        return F.struct(
+            F.xxhash64(*within, size - shift, j, *kept).alias("key"), (j * run + 1).alias("begin"), (run + shift).alias("length")
+        )
 
-    return F.transform(after, key)
+    return F.transform(F.sequence(F.lit(0), F.ceil((size - shift) / run).cast("int") - 1), key)
 
 
-def _keyed(rows: DataFrame, text: Column, run: int, within: list[Column]) -> DataFrame:
-    """`rows` with `size`, and `keys`: those of the runs, then those of the runs with one character more."""
-    rows = rows.withColumns({"size": F.length(text), "runs": _runs(text, run, 0), "after": _runs(text, run, 1)})
-    size, runs, after = F.col("size"), F.col("runs"), F.col("after")
-    keys = F.concat(_keys(within, size, runs, runs, 0), _keys(within, size, runs, after, 1))
-    return rows.withColumn("keys", keys).drop("runs", "after")
+def _keyed(rows: DataFrame, text: Column, run, within: list[Column]) -> DataFrame:
+    """`rows` with `keys`: of every run, alone and with one character more. `run` gives a run's length from a size."""
+    length = [F.greatest(F.lit(SHORTEST), F.ceil(run(F.col("size") - shift))).cast("int") for shift in (0, EDITS)]
+    rows = rows.withColumn("size", F.length(text)).withColumns({"run0": length[0], "run1": length[1]})
+    keys = [_left(within, text, F.col("size"), F.col(f"run{shift}"), shift) for shift in (0, EDITS)]
+    return rows.withColumn("keys", F.concat(*keys)).drop("size", "run0", "run1")
 
 
-def _sharing(rows: DataFrame, run: int) -> DataFrame:
+def _sharing(rows: DataFrame) -> DataFrame:
     """`rows` once for each key that another class shares, with `key`, and `begin` and `length` of the deleted run."""
-    listed = rows.select("*", F.posexplode("keys").alias("at_key", "key")).drop("keys")
+    listed = rows.select(*(c for c in rows.columns if c != "keys"), F.inline("keys"))
     shared = listed.groupBy("key").agg(F.min("one").alias("a"), F.max("one").alias("b")).filter("a != b").select("key")
-    shared = stored(shared, "line-keys")
-    plain = F.ceil(F.col("size") / run)
-    more = (F.col("at_key") >= plain).cast("int")
-    return listed.join(_sent(shared), "key").select(
-        "*", ((F.col("at_key") - more * plain) * run + 1).cast("int").alias("begin"), (more + run).alias("length")
-    ).drop("at_key", "size")
+    return listed.join(_sent(stored(shared, "line-keys")), "key")
 
 
 def _earlier(near: DataFrame) -> DataFrame:
@@ -117,12 +102,12 @@ def removed_lines(numbered: DataFrame) -> DataFrame:
     """(`place`, `number`) of every line that goes."""
     lines = _lines(numbered)
     identity = [F.xxhash64("line").alias("one"), F.xxhash64(F.lit(EDITS), "line").alias("other")]
-    shaped = _keyed(lines.select("*", *identity), F.col("line"), RUN, []).drop("line")
+    shaped = _keyed(lines.select("*", *identity), F.col("line"), lambda size: size / PARTS, []).drop("line")
     shaped = stored(shaped, "line-shapes")
     at = F.struct("id", "place", "number")
     classes = shaped.groupBy("one", "other").agg(F.min(at).alias("first"), F.count("*").alias("lines"))
     classes = stored(classes, "line-classes")
-    near = stored(_sharing(shaped, RUN), "line-neighbours")
+    near = stored(_sharing(shaped), "line-neighbours")
     wanted = near.select("place", "number").distinct()
     texts = lines.select("place", "number", "line").join(_sent(wanted), ["place", "number"])
     texts = stored(texts.select(*identity, "line").dropDuplicates(["one", "other"]), "line-texts")
@@ -130,8 +115,8 @@ def removed_lines(numbered: DataFrame) -> DataFrame:
     run_text = F.col("line").substr(F.col("begin"), F.col("length"))
     once = near.select("key", "one", "other", "begin", "length").distinct().join(texts, ["one", "other"])
     inner = once.select("one", "other", F.col("key").alias("outer"), run_text.alias("text"))
-    inner = _sharing(_keyed(inner, F.col("text"), FINE, [F.col("outer")]), FINE)
-    inner = inner.select("key", "one", "other", F.col("text").substr(F.col("begin"), F.col("length")).alias("run_text"))
+    inner = stored(_keyed(inner, F.col("text"), F.sqrt, [F.col("outer")]), "line-runs")
+    inner = _sharing(inner).select("key", "one", "other", F.col("text").substr(F.col("begin"), F.col("length")).alias("run_text"))
     inner = stored(inner.distinct().join(classes, ["one", "other"]), "line-inner")
     found = stored(_earlier(inner), "line-earlier")
     mine = found.join(texts, ["one", "other"]).withColumnRenamed("line", "mine")
