@@ -162,10 +162,17 @@ def near_duplicates(prints: DataFrame, identity: str, bits: int) -> DataFrame:
 
 
 def first_of_each(docs: DataFrame, identity: str, text: str, shingle: int, bits: int) -> DataFrame:
-    """The document of the smallest id of each component; of several rows of that id, the one of the smallest text."""
-    rows = fingerprints(docs, text, shingle)
-    prints = stored(rows.select(F.col(f"row.{identity}").alias("id"), "fp"), "fingerprints")
-    named = near_duplicates(prints, "id", bits)
-    mine = F.col(f"row.{identity}").eqNullSafe(F.col("component_id"))
-    best = F.min_by("row", F.coalesce(F.col(f"row.{text}"), F.lit(""))).alias("row")
-    return rows.join(named, "fp").filter(mine).groupBy("group").agg(best).select("row.*")
+    """The row of the smallest id of each component, with all its columns; of several rows of that id the one whose text
+    has the smallest hash, once."""
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"),
+        F.col(identity).alias("id"),
+        F.xxhash64(F.coalesce(text, F.lit(""))).alias("digest"),
+        F.col(text).alias("text"),
+    )
+    printed = fingerprints(rows, "text", shingle, ["id", "digest"])
+    prints = stored(printed.select("row.id", "row.digest", "fp"), "fingerprints")
+    mine = prints.join(near_duplicates(prints, "id", bits), "fp").filter(F.col("id").eqNullSafe(F.col("component_id")))
+    chosen = mine.groupBy("group").agg(F.first("component_id").alias("chosen_id"), F.min("digest").alias("chosen"))
+    same = F.col("id").eqNullSafe(F.col("chosen_id")) & (F.col("digest") == F.col("chosen"))
+    return rows.join(chosen, same, "left_semi").dropDuplicates(["id", "digest"]).select("row.*")
