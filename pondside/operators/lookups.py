@@ -27,15 +27,16 @@ def few_visits(db: Survey, module_code: str) -> bool:
 
 
 def for_module(db: Survey, frame: DataFrame, module_code: str | None) -> DataFrame:
-    """Rows by visit, cut down to a module whose visits are few; otherwise as they are.
+    """Rows by visit, cut down to a module, or all without one.
 
-    A small module among much data is cut out of a table while it is read. The rows left over
-    for a large one are dropped by the join to its visits that follows in any case.
+    A small module among much data is cut out of a table while it is read; the visits of a
+    large one are merged with it. The rows are the same either way.
     """
-    if module_code is None or not few_visits(db, module_code):
+    if module_code is None:
         return frame
     visits = module_filter(db, module_code)
-    return frame.join(F.broadcast(visits), "id_base_visit", "left_semi")
+    visits = F.broadcast(visits) if few_visits(db, module_code) else visits.hint("merge")
+    return frame.join(visits, "id_base_visit", "left_semi")
 
 
 def source_id(db: Survey, module_code: str) -> Column:

@@ -12,7 +12,7 @@ from pondside.sources.tables import Survey
 
 
 def _records(db: Survey, module_code: str | None) -> tuple[DataFrame, DataFrame]:
-    """Observations and their complements, both cut down to a module that is small enough."""
+    """Observations of a module and, where they are few, their complements alone; the rest of these joins nothing."""
     observations = for_module(db, db["observations"], module_code)
     complements = db["observation_complements"]
     if module_code is None or not few_visits(db, module_code):
@@ -28,7 +28,7 @@ def visit_summary(db: Survey, module_code: str | None = None) -> DataFrame:
 
     Observations without a complement or a known taxon still count. Rows are first reduced to
     one per visit and taxon, so a visit or taxon holding much of the data is summed before it
-    is looked up and gathered. With a module, other visits may be left out.
+    is looked up and gathered. With a module, only its visits have a row.
     """
     records, complements = _records(db, module_code)
     observations = records.select("id_observation", "id_base_visit", "cd_nom")
@@ -59,7 +59,7 @@ def visit_summary(db: Survey, module_code: str | None = None) -> DataFrame:
 def known_observations(db: Survey, module_code: str | None = None) -> DataFrame:
     """Observations with a complement and a known taxon; vocabulary columns still hold ids.
 
-    With a module, those of others may be left out.
+    With a module, only those of its visits.
     """
     records, complements = _records(db, module_code)
     observations = records.withColumnRenamed("comments", "commentaire_obs")

@@ -46,7 +46,7 @@ def visit_dataset(db: Survey) -> DataFrame:
 def visit_observers(db: Survey, module_code: str | None = None) -> DataFrame:
     """Observers of each visit that has one, in the order of their ids, and their organisations.
 
-    With a module, other visits may be left out.
+    With a module, only those of its visits.
     """
     db.measure("roles", "organisations")
     members = join_dimension(

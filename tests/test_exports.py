@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pondside.operators import lookups, observations, sites, visits
+from pondside.operators.lookups import module_filter
 from pondside.plans.exports import EXPORTS, export
 from pondside.plans.synthesis import additional_data, synthesis_feed
 from pondside.schemas import ANALYSES_COLUMNS, FEED_COLUMNS, STANDARD_COLUMNS
@@ -160,6 +161,19 @@ def test_same_rows_without_broadcast_and_with_hot_keys(spark, build, request):
     assert sorted(map(repr, found.collect())) == expected
 
 
+@pytest.mark.parametrize(
+    "build", [observations.visit_summary, observations.known_observations, visits.visit_observers]
+)
+def test_module_cut_gives_the_same_rows_at_every_size(spark, build, request):
+    everything = small_survey(spark)
+    mine = {r["id_base_visit"] for r in module_filter(everything, "mares").collect()}
+    assert mine < {r["id_base_visit"] for r in everything["visits"].collect()}
+    expected = sorted(map(repr, build(small_survey(spark), "mares").collect()))
+    assert {r["id_base_visit"] for r in build(small_survey(spark), "mares").collect()} <= mine
+    request.getfixturevalue("tight")
+    assert sorted(map(repr, build(small_survey(spark), "mares").collect())) == expected
+
+
 def test_removing_records_removes_their_rows_only(spark):
     build = EXPORTS["standard"]
     rows = as_dicts(build(small_survey(spark), "mares"), "uuid_observation", "commune")
