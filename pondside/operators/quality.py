@@ -21,11 +21,12 @@ from pondside.schemas import (
     OBSERVATION_FORM_PAYLOAD,
     OBSERVATION_PAYLOAD,
     OBSERVATION_VOCABULARY,
-    SITE_PAYLOAD,
+    SITE_TYPE,
     SITE_VOCABULARY,
     VISIT_FORM_PAYLOAD,
     VISIT_IDS_PAYLOAD,
     VISIT_VOCABULARY,
+    ints,
 )
 from pondside.sources.tables import Survey
 from pondside.sources.vocabulary import vocabulary_entries, vocabulary_types
@@ -99,7 +100,7 @@ def dq_required(db: Survey) -> DataFrame:
     observations = fact_join(db["observations"], complements, "id_observation", "left")
     required = [
         (groups, "sites_group", "id_sites_group", ("id_inventor", "commune", "sites_group_name")),
-        (db["sites"], "site", "id_base_site", ("base_site_name", "x", "y")),
+        (db["sites"], "site", "id_base_site", ("base_site_name", "lon", "lat", "x", "y")),
         (
             visits,
             "visit",
@@ -202,9 +203,10 @@ def _field_ids(frame: DataFrame, entity: str, key: str, types: Mapping[str, str]
 
 def _vocabulary_ids(db: Survey) -> DataFrame:
     """All vocabulary ids the records hold."""
+    site_types = SITE_VOCABULARY | SITE_TYPE
     parts = [
         ("sites_groups", GROUP_PAYLOAD, "sites_group", "id_sites_group", GROUP_VOCABULARY),
-        ("site_complements", SITE_PAYLOAD, "site", "id_base_site", SITE_VOCABULARY),
+        ("site_complements", ints(site_types), "site", "id_base_site", site_types),
         ("visit_complements", VISIT_IDS_PAYLOAD, "visit", "id_base_visit", VISIT_VOCABULARY),
         (
             "observation_complements",

@@ -85,6 +85,8 @@ SITE_VOCABULARY = {
     "variation_eau": "VARIATION_EAU",
     "courant": "COURANT_EAU",
 }
+# Fixed value: the type of the site itself, a field that the form sets and no export shows.
+SITE_TYPE = {"id_nomenclature_type_site": "TYPE_SITE"}
 VISIT_VOCABULARY = {
     "pluviosite": "PLUVIOSITE",
     "couverture_nuageuse": "COUVERTURE_NUAGEUSE",

@@ -1,4 +1,4 @@
-"""Where results go: CSV files, named views, the stored feed, and relations kept as tables."""
+"""Where results go: CSV files, named views and tables, the stored feed, and relations kept as tables."""
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -7,6 +7,10 @@ from pondside.plans.synthesis import synthesis_feed
 from pondside.schemas import BUCKET_KEYS, RELATIONS
 from pondside.sources.tables import Survey
 
+FEED_KEY = ("id_source", "entity_source_pk_value")
+# So many broken keys are named in an error.
+SHOWN_KEYS = 5
+
 
 def write_csv(frame: DataFrame, path: str) -> None:
     """CSV part files with a header; quotes are doubled, and NULL differs from empty text."""
@@ -32,10 +36,40 @@ def publish_feed(db: Survey, module_code: str) -> str:
     return name
 
 
-def write_feed(db: Survey, module_code: str, path: str) -> None:
-    """Write the feed as Parquet by year, for a store that merges on source and observation."""
+def _save(frame: DataFrame, database: str, name: str) -> str:
+    full = ".".join("`" + part.replace("`", "``") + "`" for part in (database, name))
+    frame.write.mode("overwrite").format("parquet").saveAsTable(full)
+    return f"{database}.{name}"
+
+
+def save_export(db: Survey, method: str, module_code: str, database: str) -> str:
+    """Keep an export as a table that outlives the session, replacing one of that name; returns the name."""
+    return _save(export(db, method, module_code), database, f"v_export_{module_code}_{method}")
+
+
+def save_feed(db: Survey, module_code: str, database: str) -> str:
+    """Keep the feed as a table that outlives the session, replacing one of that name; returns the name."""
+    return _save(synthesis_feed(db, module_code), database, f"v_synthese_{module_code}")
+
+
+def broken_feed_keys(feed: DataFrame) -> DataFrame:
+    """Keys of a feed that are NULL or stand in several rows, with the number of `rows`."""
+    counted = feed.groupBy(*FEED_KEY).agg(F.count(F.lit(1)).alias("rows"))
+    missing = F.col(FEED_KEY[0]).isNull() | F.col(FEED_KEY[1]).isNull()
+    return counted.where(missing | (F.col("rows") > 1))
+
+
+def write_feed(db: Survey, module_code: str, path: str, replace: bool = False) -> None:
+    """Write the feed as Parquet by year, for a store that merges on source and observation.
+
+    `replace` writes over an earlier feed. The keys are checked on what was written, two narrow columns; a key that
+    is NULL or doubled is an error, and the files stay for inspection.
+    """
     feed = synthesis_feed(db, module_code).withColumn("year", F.year("date_min"))
-    feed.write.partitionBy("year").parquet(path)
+    feed.write.mode("overwrite" if replace else "error").partitionBy("year").parquet(path)
+    broken = broken_feed_keys(feed.sparkSession.read.schema(feed.schema).parquet(path)).limit(SHOWN_KEYS).collect()
+    if broken:
+        raise ValueError(f"feed {path}: keys that are NULL or doubled: {[tuple(row) for row in broken]}")
 
 
 def store_tables(db: Survey, database: str) -> None:

@@ -96,7 +96,8 @@ DERIVED = {
         SELECT n_nationkey, 100 + (n_nationkey + 1) % 24 FROM $nation WHERE n_nationkey % 2 = 0""",
     "sites": """
         SELECT c_custkey AS id_base_site, c_name AS base_site_name,
-            CAST(c_custkey % 14 - 5 AS DOUBLE) AS lon, CAST(41 + c_custkey % 10 AS DOUBLE) AS lat,
+            CAST(c_custkey % 14 - 5 AS DOUBLE) AS lon,
+            CASE WHEN c_custkey % 89 = 0 THEN NULL ELSE CAST(41 + c_custkey % 10 AS DOUBLE) END AS lat,
             CAST(100000 + (c_custkey * 7919) % 1100000 AS DOUBLE) AS x,
             CAST(6050000 + (c_custkey * 104729) % 1000000 AS DOUBLE) AS y
         FROM $customer""",
@@ -108,6 +109,8 @@ DERIVED = {
                     ELSE concat(',"variation_eau":', CAST(13 + c_custkey % 4 AS STRING)) END,
                 CASE WHEN c_custkey % 5 = 0 THEN ''
                     ELSE concat(',"courant":', CAST(17 + c_custkey % 3 AS STRING)) END,
+                CASE WHEN c_custkey % 6 = 1 THEN ',"id_nomenclature_type_site":82'
+                    WHEN c_custkey % 6 = 2 THEN ',"id_nomenclature_type_site":81' ELSE '' END,
                 '}') AS data
         FROM $customer""",
     "visits": """

@@ -3,7 +3,7 @@
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pondside.operators.joins import hot_keys, measure
 from pondside.schemas import RELATIONS
@@ -68,14 +68,33 @@ def read_tables(spark: SparkSession, database: str, grid: Grid = Grid()) -> Surv
     return Survey(lambda name: spark.table(f"{database}.{name}"), grid)
 
 
+# Types that hold every value of another.
+_WIDER = {
+    "int": {"tinyint", "smallint"},
+    "bigint": {"tinyint", "smallint", "int"},
+    "double": {"float", "tinyint", "smallint", "int"},
+}
+_INTEGERS = {"tinyint", "smallint", "int", "bigint"}
+
+
+def _holds(column: str, kind: str, found: str | None) -> bool:
+    """Whether a column of type `found` can be read as `kind` without loss; observation ids may be integers or text."""
+    if column == "id_observation" and found in _INTEGERS:
+        return True
+    return found == kind or found in _WIDER.get(kind, ())
+
+
 def checked(name: str, frame: DataFrame) -> DataFrame:
-    """The contract columns of a relation; an error names the columns that break it."""
+    """The contract columns of a relation, narrower types widened; an error names the columns that break it."""
     found = dict(frame.dtypes)
     wrong = {
         column: (kind, found.get(column))
         for column, kind in RELATIONS[name].items()
-        if found.get(column) != kind
+        if not _holds(column, kind, found.get(column))
     }
     if wrong:
         raise ValueError(f"relation {name}: expected and found types differ: {wrong}")
-    return frame.select(*RELATIONS[name])
+    kinds = RELATIONS[name].items()
+    return frame.select(
+        *(F.col(c) if found[c] == kind else F.col(c).cast(kind).alias(c) for c, kind in kinds)
+    )

@@ -32,14 +32,14 @@ ROWS = {
         (1, "Mare 1", 5.0, 45.0, 110_000.0, 6_060_000.0),
         (2, "Sans aire", 5.1, 45.1, 120_000.0, 6_060_000.0),
         (3, "Mare 3", 5.2, 45.2, 155_000.0, 6_060_000.0),
-        (4, "Sans complément", 5.3, 45.3, 110_000.0, 6_060_000.0),
+        (4, "Sans complément", 5.3, None, 110_000.0, 6_060_000.0),
         (5, "Hors raster", 5.4, 45.4, 10.0, 10.0),
     ],
     "site_complements": [
         (1, 10, '{"milieu_aquatique": 1, "variation_eau": null}'),
         (2, None, "{}"),
         (3, 10, '{"milieu_aquatique": 99, "courant": "3"}'),
-        (5, 10, "{}"),
+        (5, 10, '{"id_nomenclature_type_site": 1}'),
     ],
     "visits": [
         (1, "v1", 1, 1, 1, 9, date(2022, 4, 18), "beau"),

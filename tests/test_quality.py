@@ -15,6 +15,7 @@ def test_required(db):
         ("sites_group", "11", "commune"),
         ("sites_group", "11", "id_inventor"),
     ]
+    assert [row for row in rows if row[0] == "site"] == [("site", "4", "lat")]
     assert [row for row in rows if row[0] == "visit"] == [
         ("visit", "2", "accessibility"),
         ("visit", "2", "num_passage"),
@@ -56,9 +57,10 @@ def test_enum_ignores_missing_answers(db):
 
 
 def test_vocabulary_membership(db):
-    # Group 10 uses an id of another type, site 3 an unknown id.
+    # Group 10 and site 5 use an id of another type, site 3 an unknown id.
     assert found(quality.dq_vocabulary(db)) == [
         ("site", "3", "milieu_aquatique"),
+        ("site", "5", "id_nomenclature_type_site"),
         ("sites_group", "10", "categories_paysageres"),
     ]
 
@@ -96,8 +98,8 @@ def test_defaults(db):
     assert visits[2]["accessibility"] == "Oui" and visits[2]["methode_de_prospection"] == []
     # The default method names no entry.
     assert visits[4]["methode_de_prospection"] is None
-    types = {r["id_nomenclature_type_site"] for r in as_dicts(quality.apply_defaults_sites(db))}
-    assert types == {10}
+    types = {r["id_base_site"]: r["id_nomenclature_type_site"] for r in as_dicts(quality.apply_defaults_sites(db))}
+    assert types == {1: 10, 2: 10, 3: 10, 5: 1}
 
 
 def test_rollups_keep_parents_without_children(db):

@@ -3,6 +3,10 @@
 import csv
 import glob
 
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
 from pondside import sinks
 from pondside.plans.synthesis import synthesis_feed
 from pondside.schemas import RELATIONS, STANDARD_COLUMNS
@@ -40,6 +44,51 @@ def test_stored_feed_has_one_row_per_source_and_observation(spark, db, tmp_path)
     assert {r["year"] for r in feed.select("year").distinct().collect()} == {2022, 2023}
     keys = feed.select("id_source", "entity_source_pk_value")
     assert keys.distinct().count() == keys.count() == 4
+    sinks.write_feed(db, "mares", path, replace=True)
+    assert spark.read.parquet(path).count() == 4
+    with pytest.raises(AnalysisException):
+        sinks.write_feed(db, "mares", path)
+
+
+def test_feed_with_doubled_or_missing_keys_is_refused(spark, tmp_path):
+    db = small_survey(spark)
+    load = db._load
+    twice = lambda name: load(name).unionAll(load(name)) if name == "observations" else load(name)
+    db._load = twice
+    with pytest.raises(ValueError, match="doubled"):
+        sinks.write_feed(db, "mares", str(tmp_path / "feed"))
+    kind = "id_source int, entity_source_pk_value string"
+    feed = spark.createDataFrame([(1, "a"), (1, "b"), (1, "b"), (None, "c"), (2, "b")], kind)
+    rows = {tuple(r) for r in sinks.broken_feed_keys(feed).collect()}
+    assert rows == {(1, "b", 2), (None, "c", 1)}
+
+
+def test_saved_results_are_tables(spark, db, tmp_path):
+    spark.sql(f"CREATE DATABASE saved LOCATION '{tmp_path}'")
+    try:
+        for _ in range(2):
+            assert sinks.save_feed(db, "mares", "saved") == "saved.v_synthese_mares"
+            assert sinks.save_export(db, "analyses", "mares", "saved") == "saved.v_export_mares_analyses"
+        assert spark.table("saved.v_synthese_mares").count() == 4
+        assert spark.table("saved.v_export_mares_analyses").count() == 7
+    finally:
+        spark.sql("DROP DATABASE saved CASCADE")
+
+
+def test_narrower_key_types_give_the_same_export(spark, db, tmp_path):
+    ids = {letter: 100 + at for at, letter in enumerate("abcdefghijklmnopqrstuvwxyz")}
+    number = F.create_map(*(F.lit(x) for pair in ids.items() for x in pair))
+    for name in RELATIONS:
+        frame = db[name]
+        for column, kind in frame.dtypes:
+            if column == "id_observation":
+                frame = frame.withColumn(column, F.try_element_at(number, F.col(column)).cast("int"))
+            elif kind == "bigint":
+                frame = frame.withColumn(column, F.col(column).cast("int"))
+        frame.write.parquet(str(tmp_path / f"{name}.parquet"))
+    narrow = read_survey(spark, str(tmp_path), GRID)
+    expected = sorted(map(repr, sinks.export(small_survey(spark), "standard", "mares").collect()))
+    assert sorted(map(repr, sinks.export(narrow, "standard", "mares").collect())) == expected
 
 
 def test_stored_relations_give_the_same_export(spark, db, tmp_path):
