@@ -50,6 +50,13 @@ def test_equals_sql(spark, adaptive, duck, name):
     assert differences(QUERIES[name](spark, SF_DIR), duck, CHECKS[name]) is None
 
 
+@pytest.mark.parametrize("name", QUERIES)
+def test_equals_sql_without_broadcasts(spark, duck, tight, monkeypatch, name):
+    """The plans for data of which nothing fits a broadcast, adaptive execution off."""
+    monkeypatch.setattr(entry_points, "_surveys", {})
+    assert differences(QUERIES[name](spark, SF_DIR), duck, CHECKS[name]) is None
+
+
 def plan(frame, capsys) -> str:
     capsys.readouterr()
     frame.explain()
