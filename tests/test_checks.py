@@ -54,7 +54,11 @@ def test_equals_sql(spark, adaptive, duck, name):
 def test_equals_sql_without_broadcasts(spark, duck, tight, monkeypatch, name):
     """The plans for data of which nothing fits a broadcast, adaptive execution off."""
     monkeypatch.setattr(entry_points, "_surveys", {})
-    assert differences(QUERIES[name](spark, SF_DIR), duck, CHECKS[name]) is None
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert differences(QUERIES[name](spark, SF_DIR), duck, CHECKS[name]) is None
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def plan(frame, capsys) -> str:
