@@ -11,6 +11,11 @@ orders by it alone, stably: the interleave of all classes is refined by one symb
 falls where symbol or former block changes, so its round is the common prefix of its neighbours; suffixes alone in
 their block are settled and leave. Blocks left when WINDOW bytes are read are the repeated intervals.
 
+An anchor at the edge of a passage that very many texts hold has as many classes as contexts, more windows than one
+task should merge. Beyond `together` windows its rounds are not run one by one: the block of a window is the hash of all
+its bytes, and a block that two classes share is a repeated interval. Blocks are dealt by anchor and hash and reduced before
+they are shuffled, so no task holds an anchor whole.
+
 Defined results: a NULL text is empty; texts shorter than a window lose nothing; equal rows are repeats of
 each other; rows without id keep a NULL id; an empty table gives no rows. Only the columns asked for are read. `docs`
 must be a table that is read alike twice, as files are.
@@ -30,7 +35,7 @@ from pondside.llm.common import stored
 WINDOW = 200
 GRAM = 16
 SYMBOL = 2
-# Windows merged at a time, unless one anchor alone has more.
+# Windows merged at a time; an anchor that alone has more is dealt by its windows.
 TOGETHER = 1_000_000
 _PLACE_BITS = 28
 _STRETCH = 1 << 26
@@ -114,6 +119,25 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _cut_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The hash of every window of the pieces wanted of each text."""
+    digest = xxhash.xxh3_64_intdigest
+    for batch in batches:
+        for row in batch.to_pylist():
+            raw = _bytes(row["text"])
+            for w in row["wanted"]:
+                count = w["windows"]
+                block = np.fromiter((digest(raw[a : a + WINDOW]) for a in range(w["first"], w["first"] + count)), np.uint64, count)
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "key": pa.array(np.full(count, w["key"], np.int64)),
+                        "content": pa.array(np.full(count, w["content"], np.int64)),
+                        "number": pa.array(np.arange(count, dtype=np.int32)),
+                        "block": pa.array(block.view(np.int64)),
+                    }
+                )
+
+
 def repeated_windows(pieces: list[bytes], keys: np.ndarray) -> list[np.ndarray]:
     """Numbers of the windows of each piece that occur in another piece of its key as well."""
     text = np.frombuffer(b"".join(pieces), np.uint8)
@@ -203,27 +227,49 @@ def _rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def without_repeats(docs: DataFrame, identity: str, text: str) -> DataFrame:
+def _runs_of_blocks(windows: DataFrame) -> DataFrame:
+    """(`key`, `content`, `runs`) of the windows whose block another class of the anchor shares.
+
+    A class has at most WINDOW - GRAM + 1 windows, so what is collected of one is bounded."""
+    shared = windows.groupBy("key", "block").agg(F.min("content").alias("a"), F.max("content").alias("b")).filter("a != b")
+    found = windows.join(shared.select("key", "block"), ["key", "block"])
+    numbers = found.groupBy("key", "content").agg(F.array_sort(F.collect_list("number")).alias("n"))
+    begins = F.filter("n", lambda x: ~F.array_contains("n", x - 1))
+    ends = F.filter("n", lambda x: ~F.array_contains("n", x + 1))
+    return numbers.select("key", "content", F.arrays_zip(begins, ends).cast("array<struct<a:int,b:int>>").alias("runs"))
+
+
+def without_repeats(docs: DataFrame, identity: str, text: str, together: int = TOGETHER) -> DataFrame:
     """(`id`, `bytes`, `spans`, `kept`): size of each text, its removed runs, and the bytes left."""
     placed = docs.select(F.monotonically_increasing_id().alias("place"), F.col(identity).alias("id"), F.col(text).alias("text"))
     pieces = placed.select("place", "text").mapInArrow(_pieces, "key long, content long, place long, first int, windows int")
     pieces = stored(pieces, "suffix-pieces")
     classes = pieces.groupBy("key", "content").agg(
-        F.count("*").alias("times"), F.min("place").alias("place")
+        F.count("*").alias("times"), F.min("place").alias("place"), F.first("windows").alias("windows")
     )
     classes = stored(classes, "suffix-classes")
-    several = classes.groupBy("key").agg(F.min("content").alias("a"), F.max("content").alias("b")).filter("a != b").select("key")
-    wanted = classes.join(several, "key").select("key", "content", "place")
-    where = pieces.join(wanted, ["key", "content", "place"]).groupBy("key", "content", "place").agg(
+    several = classes.groupBy("key").agg(
+        F.min("content").alias("a"), F.max("content").alias("b"), (F.sum("windows") > together).alias("hot")
+    )
+    several = several.filter("a != b").select("key", "hot")
+    wanted = classes.join(several, "key").select("key", "content", "place", "hot")
+    where = pieces.join(wanted, ["key", "content", "place"]).groupBy("hot", "key", "content", "place").agg(
         F.min("first").alias("first"), F.first("windows").alias("windows")
     )
-    where = where.groupBy("place").agg(F.collect_list(F.struct("key", "content", "first", "windows")).alias("wanted"))
+    where = where.groupBy("hot", "place").agg(F.collect_list(F.struct("key", "content", "first", "windows")).alias("wanted"))
     where = stored(where, "suffix-wanted")
-    cut = placed.select("place", "text").join(where, "place").select("text", "wanted")
-    cut = cut.mapInArrow(_cut_out, "key long, content long, piece binary")
+
+    def texts(hot: bool) -> DataFrame:
+        named = where.filter(F.col("hot") == hot).select("place", "wanted")
+        return placed.select("place", "text").join(named, "place").select("text", "wanted")
+
+    cut = texts(False).mapInArrow(_cut_out, "key long, content long, piece binary")
     runs = cut.repartition("key").sortWithinPartitions("key").mapInArrow(
         _merged, "key long, content long, runs array<struct<a:int,b:int>>"
     )
+    if not where.filter("hot").isEmpty():
+        windows = stored(texts(True).mapInArrow(_cut_windows, "key long, content long, number int, block long"), "suffix-blocks")
+        runs = runs.unionByName(_runs_of_blocks(windows))
     runs = stored(runs, "suffix-runs")
     # A class met twice is repeated from its first window to its last.
     known = classes.join(runs, ["key", "content"], "left").filter("times > 1 or runs is not null")

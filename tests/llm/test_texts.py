@@ -68,14 +68,18 @@ def test_every_single_edit_is_found(documents, edit):
     assert [r[0] for r in kept] == [0]
 
 
-def test_repeated_bytes_equal_plain_count(documents):
+@pytest.mark.parametrize("together", [0, 300, suffixdedup.TOGETHER])
+def test_repeated_bytes_equal_plain_count(documents, together):
+    # One passage among many contexts, some of which agree a little further.
+    around = [(100 + i, f"{PROSE[1]} {i // 3:04d} {PROSE[2]} {i % 4:03d} {PROSE[1][i:]}") for i in range(24)]
+    rows = TEXTS + around
     seen = {}
-    for _, text in TEXTS:
+    for _, text in rows:
         raw = (text or "").encode()
         for i in range(len(raw) - suffixdedup.WINDOW + 1):
             seen[raw[i : i + suffixdedup.WINDOW]] = seen.get(raw[i : i + suffixdedup.WINDOW], 0) + 1
     expected = []
-    for doc, text in TEXTS:
+    for doc, text in rows:
         raw = (text or "").encode()
         gone = set()
         for i in range(len(raw) - suffixdedup.WINDOW + 1):
@@ -83,7 +87,7 @@ def test_repeated_bytes_equal_plain_count(documents):
                 gone.update(range(i, i + suffixdedup.WINDOW))
         spans = sum(i in gone and i - 1 not in gone for i in range(len(raw)))
         expected.append((doc, len(raw), spans, bytes(b for i, b in enumerate(raw) if i not in gone)))
-    found = suffixdedup.without_repeats(documents(TEXTS), "doc_id", "text")
+    found = suffixdedup.without_repeats(documents(rows), "doc_id", "text", together)
     found = [(r["id"], r["bytes"], len(r["spans"]), bytes(r["kept"])) for r in found.collect()]
     assert sorted(map(repr, found)) == sorted(map(repr, expected))
 
