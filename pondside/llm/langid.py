@@ -31,12 +31,21 @@ MAX_LANGS = 256
 LONGEST = 4
 SMOOTH = 0.5
 CACHE = 200_000
+# Texts of a batch turned into Python strings at a time, and entries counted before they are passed on.
+TEXTS, COUNTED = 256, 400_000
 UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
-def words(text: str | None) -> list[str]:
-    return LETTERS.findall(text.lower()) if text else []
+def words(text: str | None) -> Iterator[str]:
+    return map(re.Match.group, LETTERS.finditer(text.lower())) if text else iter(())
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A few rows of each batch at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, TEXTS):
+            yield batch.slice(at, TEXTS)
 
 
 @dataclass
@@ -89,7 +98,7 @@ class Model:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words of each language, summed over a few thousand texts at a time."""
+    """Words of each language, summed until there are COUNTED."""
 
     def flushed() -> Iterator[pa.RecordBatch]:
         for lang, counter in counts.items():
@@ -103,10 +112,10 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts.clear()
 
     counts: dict[str, Counter] = {}
-    for batch in batches:
+    for batch in slices(batches):
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
             counts.setdefault(lang, Counter()).update(words(text))
-        if sum(map(len, counts.values())) > 400_000:
+        if sum(map(len, counts.values())) > COUNTED:
             yield from flushed()
     yield from flushed()
 
@@ -159,7 +168,7 @@ def predict(docs: DataFrame, model: Model, text: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        for batch in batches:
+        for batch in slices(batches):
             made = [model.predict(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64())],
