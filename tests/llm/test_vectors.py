@@ -1,10 +1,12 @@
 """Vector searches against brute force."""
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pondside.llm import crosspolytope, vafile
+from compare import differences
+from pondside.llm import crosspolytope, queries, vafile
 
 SCHEMA = "vec_id long, embedding array<float>, score double, rank int"
 
@@ -53,3 +55,10 @@ def test_empty_tables_give_no_rows(spark):
     frame = spark.createDataFrame([], SCHEMA)
     assert vafile.top_k(frame, "vec_id", "embedding", F.col("vec_id") % 20 == 0, 64, 5).count() == 0
     assert crosspolytope.nearest(frame, "vec_id", "embedding", F.col("vec_id") % 20 == 0, 5).count() == 0
+
+
+def test_exact_search_equals_its_sql(spark):
+    folder = "/root/testdata/sf0.001"
+    with duckdb.connect() as connection:
+        connection.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{folder}/embeddings.parquet'")
+        assert differences(queries.op3_exact_top_k(spark, folder), connection, queries.ORACLE_SQL["op3_exact_top_k"]) is None
