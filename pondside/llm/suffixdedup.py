@@ -37,6 +37,8 @@ GRAM = 16
 SYMBOL = 2
 # Windows merged at a time; an anchor that alone has more is dealt by its windows.
 TOGETHER = 1_000_000
+# A class with a larger share of all pieces is hot, so that at most 100,000 are.
+HOT_SHARE = 1e-5
 _PLACE_BITS = 28
 _STRETCH = 1 << 26
 
@@ -271,12 +273,17 @@ def without_repeats(docs: DataFrame, identity: str, text: str, together: int = T
         windows = stored(texts(True).mapInArrow(_cut_windows, "key long, content long, number int, block long"), "suffix-blocks")
         runs = runs.unionByName(_runs_of_blocks(windows))
     runs = stored(runs, "suffix-runs")
-    # A class met twice is repeated from its first window to its last.
-    known = classes.join(runs, ["key", "content"], "left").filter("times > 1 or runs is not null")
-    found = pieces.join(known.select("key", "content", "times", "runs"), ["key", "content"])
+    # A class met twice is repeated from its first window to its last. Pieces of hot classes stay where they are: each such
+    # class is met twice, and its two numbers are sent to every executor.
+    many = F.greatest(F.lit(1), F.lit(HOT_SHARE) * (classes.agg(F.sum("times")).first()[0] or 0))
+    hot = F.broadcast(classes.filter(F.col("times") > many).select("key", "content"))
+    known = classes.join(runs, ["key", "content"], "left").filter("times > 1 or runs is not null").filter(F.col("times") <= many)
+    others = pieces.join(hot, ["key", "content"], "left_anti").join(known.select("key", "content", "times", "runs"), ["key", "content"])
     whole = F.array(F.struct(F.lit(0).alias("a"), (F.col("windows") - 1).alias("b")))
+    copied = pieces.join(hot, ["key", "content"]).select("place", "first", whole[0].alias("run"))
     run = F.explode(F.when(F.col("times") > 1, whole).otherwise(F.col("runs")))
-    found = found.select("place", "first", run.alias("run")).select(
+    found = others.select("place", "first", run.alias("run")).unionByName(copied)
+    found = found.select(
         "place",
         F.struct((F.col("first") + F.col("run.a")).alias("begin"), (F.col("first") + F.col("run.b") + WINDOW).alias("end")).alias("run"),
     )
