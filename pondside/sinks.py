@@ -72,14 +72,13 @@ def write_feed(db: Survey, module_code: str, path: str, replace: bool = False) -
         raise ValueError(f"feed {path}: keys that are NULL or doubled: {[tuple(row) for row in broken]}")
 
 
-def store_tables(db: Survey, database: str) -> None:
+def store_tables(db: Survey, database: str, buckets: int | None = None) -> None:
     """Keep the relations as Parquet tables, those of `BUCKET_KEYS` bucketed.
 
-    There are as many buckets as shuffle partitions, so that shuffled rows meet buckets where they
-    land. Rows are moved to their bucket first, so a bucket is one file.
+    There are as many buckets as shuffle partitions unless `buckets` says otherwise: for large relations give their size over
+    what one task should write. Rows are moved to their bucket first, so a bucket is one file.
     """
-    settings = db["visits"].sparkSession.conf
-    buckets = int(settings.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or int(db["visits"].sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for name in RELATIONS:
         key = BUCKET_KEYS.get(name)
         if key is None:
