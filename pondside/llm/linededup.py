@@ -1,7 +1,8 @@
 """Line dedup by a deletion-neighbourhood join, on DataFrame functions alone.
 
 A line goes if an earlier one, in the order of document id and line number, is within one edit of it: one
-character inserted, removed or replaced, blanks at both ends aside. Lines of fewer than LEAST_CHARS characters stay.
+character inserted, removed or replaced, blanks at both ends aside. Every line of LEAST_CHARS characters or more takes part, that is
+every one that is not blank; blank lines stay.
 
 Neighbourhoods come in steps, so that a line of any length has few keys. First every quarter of the line is deleted: the hash of what is left is a key, and so is what is left with one character
 more gone. Two lines within one edit share such a key whose deleted run holds the edit. Lines that share a key with
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pondside.llm.common import stored
 
 PARTS, SHORTEST = 4, 6
-LEAST_CHARS = 40
+LEAST_CHARS = 1
 EDITS = 1
 # Up to so many rows of two or three numbers (some 24 MB) are sent to every executor.
 SENT_ROWS = 1_000_000
@@ -58,12 +59,13 @@ def _left(within: list[Column], text: Column, size: Column, run: Column, shift:
             F.xxhash64(*within, size - shift, j, *kept).alias("key"), (j * run + 1).alias("begin"), (run + shift).alias("length")
         )
 
-    return F.transform(F.sequence(F.lit(0), F.ceil((size - shift) / run).cast("int") - 1), key)
+    last = F.greatest(F.lit(0), F.ceil((size - shift) / run).cast("int") - 1)
+    return F.transform(F.sequence(F.lit(0), last), key)
 
 
-def _keyed(rows: DataFrame, text: Column, run, within: list[Column]) -> DataFrame:
+def _keyed(rows: DataFrame, text: Column, run, within: list[Column], shortest: int) -> DataFrame:
     """`rows` with `keys`: of every run, alone and with one character more. `run` gives a run's length from a size."""
-    length = [F.greatest(F.lit(SHORTEST), F.ceil(run(F.col("size") - shift))).cast("int") for shift in (0, EDITS)]
+    length = [F.greatest(F.lit(shortest), F.ceil(run(F.col("size") - shift))).cast("int") for shift in (0, EDITS)]
     rows = rows.withColumn("size", F.length(text)).withColumns({"run0": length[0], "run1": length[1]})
     keys = [_left(within, text, F.col("size"), F.col(f"run{shift}"), shift) for shift in (0, EDITS)]
     return rows.withColumn("keys", F.concat(*keys)).drop("size", "run0", "run1")
@@ -102,7 +104,7 @@ def removed_lines(numbered: DataFrame) -> DataFrame:
     """(`place`, `number`) of every line that goes."""
     lines = _lines(numbered)
     identity = [F.xxhash64("line").alias("one"), F.xxhash64(F.lit(EDITS), "line").alias("other")]
-    shaped = _keyed(lines.select("*", *identity), F.col("line"), lambda size: size / PARTS, []).drop("line")
+    shaped = _keyed(lines.select("*", *identity), F.col("line"), lambda size: size / PARTS, [], 1).drop("line")
     shaped = stored(shaped, "line-shapes")
     at = F.struct("id", "place", "number")
     classes = shaped.groupBy("one", "other").agg(F.min(at).alias("first"), F.count("*").alias("lines"))
@@ -115,7 +117,7 @@ def removed_lines(numbered: DataFrame) -> DataFrame:
     run_text = F.col("line").substr(F.col("begin"), F.col("length"))
     once = near.select("key", "one", "other", "begin", "length").distinct().join(texts, ["one", "other"])
     inner = once.select("one", "other", F.col("key").alias("outer"), run_text.alias("text"))
-    inner = stored(_keyed(inner, F.col("text"), F.sqrt, [F.col("outer")]), "line-runs")
+    inner = stored(_keyed(inner, F.col("text"), F.sqrt, [F.col("outer")], SHORTEST), "line-runs")
     inner = _sharing(inner).select("key", "one", "other", F.col("text").substr(F.col("begin"), F.col("length")).alias("run_text"))
     inner = stored(inner.distinct().join(classes, ["one", "other"]), "line-inner")
     found = stored(_earlier(inner), "line-earlier")

@@ -68,6 +68,26 @@ def test_every_single_edit_is_found(documents, edit):
     assert [r[0] for r in kept] == [0]
 
 
+def test_short_lines_take_part(documents):
+    draw = random.Random(8)
+    short = ["a", "b", "ab", "abc", "Les.", "Les", "Of, edti oner.", "Of, edti onerr.", "Erreth was ofretihaou the that edouhe.", "  \t"]
+    short += ["".join(draw.choices("pqrst. ", k=draw.randrange(1, 40))) for _ in range(120)]
+    short += [x[:k] + draw.choice(["", "#", x[k : k + 1] + "#"]) + x[k + 1 :] for x in short[10:] for k in [draw.randrange(len(x))]]
+    rows = [(i, "\n".join(draw.choices(short, k=9))) for i in range(60)]
+    seen, expected = [], []
+    for doc, text in rows:
+        kept = []
+        for raw in text.split("\n"):
+            line = raw.strip(" \t\n\x0b\x0c\r")
+            if not line or not any(one_edit(line, s) for s in seen):
+                kept.append(raw)
+            if line:
+                seen.append(line)
+        expected.append((doc, "\n".join(kept)))
+    found = linededup.deduped(documents(rows), "doc_id", "text").select("row.doc_id", "kept").collect()
+    assert sorted(map(tuple, found)) == expected
+
+
 @pytest.mark.parametrize("together", [0, 300, suffixdedup.TOGETHER])
 def test_repeated_bytes_equal_plain_count(documents, together):
     # One passage among many contexts, some of which agree a little further.
