@@ -3,8 +3,11 @@
 A vector is put on the unit sphere and turned by three rounds of random signs and a fast Hadamard transform;
 its bucket is the signed axis nearest to it. Each of TABLES tables has turns of its own. A query looks
 into the PROBES buckets of each table whose axes are nearest to it, and everything found there is ranked by the exact
-inner product. Largest inner product is made nearest angle by one more component, which brings all vectors to the
-longest one's length; where all have unit length it is zero.
+inner product. Largest inner product is made nearest angle by one more component, which brings vectors to one length. So
+that it stays small, vectors are cut into ranges of lengths, each RATIO times as long as the next, and brought to the longest
+of their own range; where all have unit length it is zero. A query's buckets are the same in all ranges. The longest ranges
+that together hold up to WHOLE rows are not hashed but looked at by every query, and so are tables of that size. A query
+that finds fewer than k while there are more looks at everything.
 
 The buckets of a table are twice the padded length, whatever the number of rows; a bucket of more than PIECE rows is cut into
 pieces that its queries all visit, so a task holds one piece. Recall against brute force at 64 components, 12 tables, 16
@@ -23,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pondside.llm.common import stored
 from pondside.llm.vectors import best, usable
 
 TABLES = 12
@@ -30,6 +34,8 @@ PROBES = 16
 PIECE = 16_384
 ROUNDS = 3
 SEED = 7
+RATIO = 2**0.25
+WHOLE = 2048
 HELD = 2_000_000
 
 
@@ -51,8 +57,9 @@ def turned(x: np.ndarray, table: int) -> np.ndarray:
     return np.concatenate([x, -x], axis=1)
 
 
-def on_sphere(x: np.ndarray, longest: float, queries: bool) -> np.ndarray:
-    """Rows padded to a power of two above their length; the first added component holds what lacks to `longest`."""
+def on_sphere(x: np.ndarray, longest: float | np.ndarray, queries: bool) -> np.ndarray:
+    """Rows padded to a power of two above their length; the first added component holds what lacks to `longest`, one for all
+    rows or a column with one for each."""
     wide = np.zeros((len(x), 1 << x.shape[1].bit_length()))
     wide[:, : x.shape[1]] = x / longest
     if queries:
@@ -61,16 +68,18 @@ def on_sphere(x: np.ndarray, longest: float, queries: bool) -> np.ndarray:
     return wide
 
 
-def _hashed(longest: dict[int, float], probes: int):
-    """Rows for each bucket: the one of every table for data, `probes` of each for queries."""
+def _hashed(longest: dict[tuple[int, int], float], probes: int):
+    """Rows for each bucket: the one of every table for data, `probes` of each for queries. `longest` is by length and range."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("vector").to_pylist()
             dims = np.array([len(v) for v in lists])
+            ranges = batch.column("range").to_numpy()
             for dim in np.unique(dims):
                 at = np.flatnonzero(dims == dim)
-                x = on_sphere(np.array([lists[i] for i in at], float), longest[int(dim)], probes > 1)
+                own = np.array([[longest[int(dim), int(n)]] for n in ranges[at]])
+                x = on_sphere(np.array([lists[i] for i in at], float), own, probes > 1)
                 for table in range(TABLES):
                     near = turned(x, table)
                     picked = near.argmax(axis=1)[:, None]
@@ -140,6 +149,8 @@ def _ranked(k: int):
                 mine, real = np.repeat(np.arange(len(rows)), top.shape[1]), np.isfinite(got.ravel())
                 chosen = top.ravel()[real]
                 mine = mine[real]
+                if not len(mine):
+                    continue
                 found.append((rows[mine], ids[mine], rows_in[chosen], ids_in[chosen], got.ravel()[real]))
                 held += len(mine)
                 if held > HELD:
@@ -164,11 +175,42 @@ def nearest(frame: DataFrame, identity: str, vector: str, query: Column, k: int)
     rows = usable(frame, identity, vector, query, F.transform(vector, lambda x: x.cast("double")))
     length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda n, x: n + x * x))
     rows = rows.withColumns({"dim": F.size("vector"), "length": length}).filter("length > 0")
-    longest = {r["dim"]: r["longest"] for r in rows.groupBy("dim").agg(F.max("length").alias("longest")).collect()}
-    kind = "table int, bucket int, row_id long, vec_id long, dim int, vector array<double>"
-    columns = ["row_id", "vec_id", "dim", "vector"]
-    data = rows.select(columns).mapInArrow(_hashed(longest, 1), kind)
-    asks = rows.filter("asks").select(columns).mapInArrow(_hashed(longest, PROBES), kind)
+    # One row for each number of components.
+    tops = rows.groupBy("dim").agg(F.max("length").alias("top"), (F.count("*") - 1).alias("others"))
+    steps = F.log(F.col("top") / F.col("length")) / float(np.log(RATIO))
+    rows = rows.join(F.broadcast(tops), "dim").withColumn("range", F.floor(steps + 1e-9).cast("int"))
+    ranges = rows.groupBy("dim", "range").agg(F.max("length").alias("longest"), F.count("*").alias("rows")).collect()
+    longest, whole, held = {}, [], {}
+    for r in sorted(ranges, key=lambda r: r["range"]):
+        longest[r["dim"], r["range"]] = r["longest"]
+        held[r["dim"]] = held.get(r["dim"], 0) + r["rows"]
+        if held[r["dim"]] <= WHOLE:
+            whole.append((r["dim"], r["range"]))
+    looked = F.broadcast(rows.sparkSession.createDataFrame(whole, "dim int, range int"))
+    kind = "table int, bucket int, row_id long, vec_id long, dim int, range int, vector array<double>"
+    columns = ["row_id", "vec_id", "dim", "range", "vector"]
+    hashed = rows.join(looked, ["dim", "range"], "left_anti").select(columns)
+    data = hashed.mapInArrow(_hashed(longest, 1), kind).unionByName(_everywhere(rows.join(looked, ["dim", "range"], "left_semi")))
+    asking = rows.filter("asks")
+    asks = asking.select(columns).mapInArrow(_hashed(longest, PROBES), kind).unionByName(_everywhere(asking))
+    once = stored(_searched(data, asks, k), "nearest")
+    counts = once.groupBy("query_row").agg(F.count("*").alias("found"))
+    short = asking.join(counts, asking["row_id"] == counts["query_row"], "left")
+    short = stored(short.filter(F.coalesce("found", F.lit(0)) < F.least(F.lit(k), "others")).select(columns), "nearest-short")
+    if not short.isEmpty():
+        more = _searched(_everywhere(rows), _everywhere(short), k)
+        once = once.join(short.select(F.col("row_id").alias("query_row")), "query_row", "left_anti").unionByName(more)
+    return best(once, k, "double")
+
+
+def _everywhere(rows: DataFrame) -> DataFrame:
+    """Rows in the one bucket that all queries visit."""
+    place = [F.lit(-1).alias("table"), F.lit(-1).alias("bucket")]
+    return rows.select(*place, "row_id", "vec_id", "dim", "range", "vector")
+
+
+def _searched(data: DataFrame, asks: DataFrame, k: int) -> DataFrame:
+    """(`query_row`, `query_id`, `row_id`, `vec_id`, `score`): the best of each bucket that a query visits, each row once."""
     shelf = ["dim", "table", "bucket"]
     # At most TABLES buckets for each signed axis of a length.
     pieces = data.groupBy(*shelf).agg(F.ceil(F.count("*") / PIECE).alias("pieces"))
@@ -178,7 +220,6 @@ def nearest(frame: DataFrame, identity: str, vector: str, query: Column, k: int)
     both = data.withColumn("asks", F.lit(0)).select(named).unionByName(asks.withColumn("asks", F.lit(1)).select(named))
     laid = both.repartition(*shelf, "piece").sortWithinPartitions(*shelf, "piece", "asks")
     found = laid.mapInArrow(_ranked(k), "query_row long, query_id long, row_id long, vec_id long, score double")
-    once = found.groupBy("query_row", "row_id").agg(
+    return found.groupBy("query_row", "row_id").agg(
         F.first("query_id").alias("query_id"), F.first("vec_id").alias("vec_id"), F.first("score").alias("score")
-    )
-    return best(once, k, "double")
+    ).select("query_row", "query_id", "row_id", "vec_id", "score")

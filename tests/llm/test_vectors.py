@@ -51,6 +51,39 @@ def test_recall_of_cross_polytopes(spark, monkeypatch, rows, piece):
     assert all(abs(r["score"] - by_id[r["query_id"]] @ by_id[r["vec_id"]]) < 1e-12 for r in found)
 
 
+LENGTHS = {
+    "one ten times as long": lambda draw, n: np.where(np.arange(n) == 7, 10.0, 1.0),
+    "one a hundred times as long": lambda draw, n: np.where(np.arange(n) == 7, 100.0, 1.0),
+    "over many orders": lambda draw, n: np.exp(2 * draw.normal(size=n)),
+}
+
+
+@pytest.mark.parametrize("whole", [0, 300, crosspolytope.WHOLE])
+@pytest.mark.parametrize("kind", LENGTHS)
+def test_recall_with_unequal_lengths(spark, monkeypatch, kind, whole):
+    monkeypatch.setattr(crosspolytope, "WHOLE", whole)
+    draw = np.random.default_rng(11)
+    x = draw.normal(size=(3000, 24))
+    x *= (LENGTHS[kind](draw, len(x)) / np.linalg.norm(x, axis=1))[:, None]
+    rows = [(i, v.astype(np.float32).tolist()) for i, v in enumerate(x)]
+    frame = spark.createDataFrame([(*r, 0.0, 0) for r in rows], SCHEMA)
+    found = crosspolytope.nearest(frame, "vec_id", "embedding", F.col("vec_id") % 20 == 0, 20).collect()
+    wanted = {(a, c) for a, _, c, _ in expected(rows, None, 20)}
+    got = {(r["query_id"], r["vec_id"]) for r in found}
+    assert len(got) == len(wanted)
+    assert len(wanted & got) >= (0.9 if whole or kind != "over many orders" else 0.7) * len(wanted)
+
+
+@pytest.mark.parametrize("whole", [0, crosspolytope.WHOLE])
+def test_small_tables_give_all_there_is(spark, monkeypatch, whole):
+    monkeypatch.setattr(crosspolytope, "WHOLE", whole)
+    draw = np.random.default_rng(12)
+    rows = [(i, (draw.normal(size=24) * 10.0 ** (i % 5)).astype(np.float32).tolist()) for i in range(21)]
+    frame = spark.createDataFrame([(*r, 0.0, 0) for r in rows], SCHEMA)
+    found = crosspolytope.nearest(frame, "vec_id", "embedding", F.col("vec_id") % 20 == 0, 20).collect()
+    assert sorted((r[0], r[1], r[2]) for r in found) == [r[:3] for r in expected(rows, None, 20)]
+
+
 def test_empty_tables_give_no_rows(spark):
     frame = spark.createDataFrame([], SCHEMA)
     assert vafile.top_k(frame, "vec_id", "embedding", F.col("vec_id") % 20 == 0, 64, 5).count() == 0
