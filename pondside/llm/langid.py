@@ -4,8 +4,9 @@ A word of the model scores its log frequency in each language. A word not in it
 longest n-gram known at a place scores its own log frequency, and the next place follows one letter on. A text's scores are the
 sums over its words; the prediction is the largest, the score its share after softmax.
 
-Counts cover all documents learned from. The model keeps the MAX_WORDS most frequent words and the MAX_GRAMS most
-frequent n-grams of each length, over at most MAX_LANGS languages, so its size is bounded whatever the input's.
+Counts cover all documents learned from, every word, n-gram and language of them. They are stored tables, to which the words of
+the texts are joined. The up to CACHED most frequent words are sent to every executor besides, so that only rarer ones take
+part in the join; results do not depend on it. Log frequencies are counted in units of 1 / UNIT, so that sums come out alike in any order.
 
 Defined results: a NULL text or one without a letter is `und` with score 0; rows without a language teach
 nothing; ties go to the language with more words learned, then by name; with nothing to learn from all are `und`;
@@ -14,10 +15,11 @@ an empty table gives no rows. Only the columns asked for are read.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -25,12 +27,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from pondside.llm.common import stored
 
-MAX_WORDS = 100_000
-MAX_GRAMS = 30_000
-MAX_LANGS = 256
 LONGEST = 4
 SMOOTH = 0.5
-CACHE = 200_000
+UNIT = 1 << 32
+# Words sent to every executor, fewer where there are so many languages that they would be more than CELLS numbers.
+CACHED, CELLS = 200_000, 12_000_000
+# Up to so many n-grams are sent to every executor; words of the texts that are too common for a join's task.
+SENT_GRAMS, COMMON = 200_000, 1000
 # Texts of a batch turned into Python strings at a time, and entries counted before they are passed on.
 TEXTS, COUNTED = 256, 400_000
 UNKNOWN = "und"
@@ -50,51 +53,16 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Model:
-    """Log frequencies by row and language: words first, then n-grams of each length."""
+    """What is added to a language's score by each word (`words`) or n-gram (`grams`) it has is a table of (`k`, `x`) entries: the
+    language's place in `langs`, and units above what an unseen one adds. That is in `base`, by kind: words, then n-grams of each
+    length; entries with k = -1 - kind say how often it counts. `cached` holds the rows of frequent words in `table`."""
 
     langs: list[str]
-    words: dict[str, int]
-    grams: dict[str, int]
-    table: np.ndarray
-    unseen: dict[str, list[int]] = field(default_factory=dict)
-
-    def backoff(self, word: str) -> list[int]:
-        """At each place the row of the longest n-gram known there."""
-        found = self.unseen.get(word)
-        if found is None:
-            padded, found, row_of = f" {word} ", [], self.grams.get
-            for at in range(len(padded) - 1):
-                gram = padded[at : at + LONGEST]
-                row = row_of(gram)
-                while row is None and len(gram) > 1:
-                    gram = gram[:-1]
-                    row = row_of(gram)
-                if row is not None:
-                    found.append(row)
-            if len(self.unseen) >= CACHE:
-                self.unseen.clear()
-            self.unseen[word] = found
-        return found
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        counted = Counter(words(text))
-        if not self.langs or not any(c.isalpha() for w in counted for c in w):
-            return UNKNOWN, 0.0
-        rows, weights = [], []
-        known = self.words
-        for word, n in counted.items():
-            row = known.get(word)
-            if row is not None:
-                rows.append(row)
-                weights.append(n)
-            elif found := self.backoff(word):
-                # Counts as one word: the mean of its places.
-                rows += found
-                weights += [n / len(found)] * len(found)
-        total = np.array(weights, float) @ self.table[np.array(rows, np.int64)]
-        share = np.exp(total - total.max())
-        best = int(total.argmax())
-        return self.langs[best], float(share[best] / share.sum())
+    words: DataFrame | None = None
+    grams: DataFrame | None = None
+    base: np.ndarray | None = None
+    cached: dict[str, int] | None = None
+    table: np.ndarray | None = None
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,60 +88,156 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flushed()
 
 
-def _top(counts: DataFrame, unit: str, most: int, langs: list[str], totals: list[int]) -> tuple[list[str], np.ndarray]:
-    """The `most` most frequent units and their log frequencies."""
-    per_lang = [F.coalesce(F.sum(F.when(F.col("lang") == x, F.col("n"))), F.lit(0)) for x in langs]
-    rows = (
-        counts.groupBy(unit)
-        .agg(F.sum("n").alias("total"), F.array(*per_lang).alias("by"))
-        .orderBy(F.col("total").desc(), unit)
-        .limit(most)
-        .toArrow()
-    )
-    by = rows.column("by").combine_chunks().flatten().to_numpy().reshape(rows.num_rows, len(langs))
-    base = np.log(np.array(totals) + SMOOTH * max(1, rows.num_rows))
-    return rows.column(unit).to_pylist(), (np.log(by + SMOOTH) - base).astype(np.float32)
+def _entries(counts: DataFrame, unit: str, langs: DataFrame) -> DataFrame:
+    """(`unit`, `total`, `entries`) of (`unit`, `lang`, `n`)."""
+    above = F.round((F.log(F.col("n") + SMOOTH) - math.log(SMOOTH)) * UNIT).cast("long")
+    entry = F.struct("k", above.alias("x"))
+    return counts.join(F.broadcast(langs), "lang").groupBy(unit).agg(F.sum("n").alias("total"), F.collect_list(entry).alias("entries"))
 
 
 def train(docs: DataFrame, text: str, lang: str) -> Model:
-    """A model of the documents that have a language."""
+    """A model of the documents that have a language. One row for each language passes the driver, and the cached words."""
     rows = docs.filter(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     counts = rows.mapInArrow(_counted, "lang string, word string, n long")
     counts = stored(counts.groupBy("lang", "word").agg(F.sum("n").alias("n")), "langid-words")
     sizes = range(1, LONGEST + 1)
     room = [F.sum(F.col("n") * F.greatest(F.length("word") + 3 - size, F.lit(0))).alias(f"g{size}") for size in sizes]
-    per_lang = counts.groupBy("lang").agg(F.sum("n").alias("n"), *room).orderBy(F.col("n").desc(), "lang")
-    totals = per_lang.limit(MAX_LANGS).collect()
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("n"), *room).orderBy(F.col("n").desc(), "lang").collect()
     langs = [r["lang"] for r in totals]
     if not langs:
-        return Model([], {}, {}, np.zeros((0, 0), np.float32))
-    counts = counts.filter(F.col("lang").isin(langs))
-    found = [_top(counts, "word", MAX_WORDS, langs, [r["n"] for r in totals])]
+        return Model([])
+    places = docs.sparkSession.createDataFrame(list(enumerate(langs)), "k int, lang string")
+    units = stored(_entries(counts, "word", places), "langid-vectors")
+    padded = F.concat(F.lit(" "), "word", F.lit(" "))
+
+    def cut(size):
+        # The function takes one argument: a second one would be given the place in the array.
+        every = F.transform(F.sequence(F.lit(1), F.length("word") + 3 - size), lambda i: padded.substr(i, F.lit(size)))
+        return F.when(F.length("word") + 2 >= size, every).otherwise(F.array().cast("array<string>"))
+
+    grams = counts.select("lang", "n", F.explode(F.concat(*map(cut, sizes))).alias("gram")).groupBy("gram", "lang").agg(F.sum("n").alias("n"))
+    grams = stored(_entries(grams, "gram", places), "langid-grams")
+    known = {r["size"]: r["count"] for r in grams.groupBy(F.length("gram").alias("size")).count().collect()}
+    known[0] = units.count()
+    room = np.array([[r["n"], *(r[f"g{size}"] for size in sizes)] for r in totals], float).T
+    many = np.array([[max(1, known.get(kind, 0))] for kind in range(LONGEST + 1)])
+    base = math.log(SMOOTH) - np.log(room + SMOOTH * many)
+    often = units.orderBy(F.col("total").desc(), "word").limit(min(CACHED, CELLS // len(langs)))
+    often = often.select("word", "entries").toArrow()
+    entries = often.column("entries").combine_chunks()
+    table = np.zeros((often.num_rows, len(langs)))
+    if often.num_rows:
+        flat, size = entries.flatten(), np.diff(entries.offsets.to_numpy())
+        table[np.repeat(np.arange(often.num_rows), size), flat.field("k").to_numpy()] = flat.field("x").to_numpy()
+    cached = {word: k for k, word in enumerate(often.column("word").to_pylist())}
+    return Model(langs, units, grams, base, cached, table)
+
+
+def _backed_off(unseen: DataFrame, grams: DataFrame) -> DataFrame:
+    """(`word`, `entries`): the mean over the places of each word, of the longest n-gram known at each."""
+    grams = F.broadcast(grams) if grams.count() <= SENT_GRAMS else grams
     padded = F.concat(F.lit(" "), "word", F.lit(" "))
-    for size in sizes:
-        cut = F.transform(F.sequence(F.lit(1), F.length("word") + 3 - size), lambda i, size=size: padded.substr(i, F.lit(size)))
-        gram = counts.filter(F.length("word") + 2 >= size).select("lang", "n", F.explode(cut).alias("gram"))
-        found.append(_top(gram, "gram", MAX_GRAMS, langs, [r[f"g{size}"] for r in totals]))
-    starts = np.cumsum([0, *(len(units) for units, _ in found)])
-    rows_of = [{u: int(at) + k for k, u in enumerate(units)} for (units, _), at in zip(found, starts[:-1], strict=True)]
-    grams = {gram: row for rows in rows_of[1:] for gram, row in rows.items()}
-    return Model(langs, rows_of[0], grams, np.concatenate([scores for _, scores in found]))
+    places = unseen.select("word", F.explode(F.sequence(F.lit(1), F.length("word") + 1)).alias("at"))
+    sizes = F.sequence(F.lit(1), F.least(F.lit(LONGEST), F.length("word") + 3 - F.col("at")))
+    tried = places.select("word", "at", F.explode(sizes).alias("size"))
+    tried = tried.withColumn("gram", padded.substr(F.col("at"), F.col("size")))
+    longest = tried.join(grams.select("gram"), "gram", "left_semi").groupBy("word", "at").agg(F.max("size").alias("size"))
+    found = longest.withColumn("gram", padded.substr(F.col("at"), F.col("size"))).join(grams, "gram")
+    counted = F.array(F.struct((-1 - F.col("size")).alias("k"), F.lit(UNIT).alias("x")))
+    sums = found.select("word", F.inline(F.concat(counted, "entries"))).groupBy("word", "k").agg(F.sum("x").alias("x"))
+    sums = sums.groupBy("word").agg(
+        F.collect_list(F.struct("k", "x")).alias("entries"), F.sum(F.when(F.col("k") < 0, F.col("x"))).alias("places")
+    )
+    # Counts as one word.
+    mean = F.transform("entries", lambda e: F.struct(e["k"].alias("k"), F.round(e["x"] / (F.col("places") / UNIT)).cast("long").alias("x")))
+    return sums.select("word", mean.alias("entries"))
+
+
+def _looked_up(first: DataFrame, model: Model) -> DataFrame:
+    """(`place`, `entries`): the sums over the words of each text that are not cached."""
+    pairs = first.select("place", F.inline("rare"))
+    wanted = pairs.groupBy("word").agg(F.count("*").alias("texts"))
+    wanted = stored(wanted.join(model.words.select("word", "entries"), "word", "left"), "langid-wanted")
+    counted = F.array(F.struct(F.lit(-1).alias("k"), F.lit(UNIT).alias("x")))
+    seen = wanted.filter("entries IS NOT NULL").select("word", F.concat(counted, "entries").alias("entries"))
+    unseen = wanted.filter("entries IS NULL")
+    vectors = stored(seen.unionByName(_backed_off(unseen, model.grams)), "langid-found")
+    # A word that is common in the texts, though not where it was learned, does not go to one task.
+    common = wanted.orderBy(F.col("texts").desc(), "word").limit(COMMON).select("word")
+    common = F.broadcast(stored(common, "langid-common"))
+    near = pairs.join(F.broadcast(vectors.join(common, "word")), "word")
+    far = pairs.join(common, "word", "left_anti").join(vectors, "word")
+    both = near.unionByName(far).select("place", "n", F.inline("entries"))
+    sums = both.select("place", "k", (F.col("n") * F.col("x")).alias("x")).repartition("place")
+    return sums.groupBy("place", "k").agg(F.sum("x").alias("x")).groupBy("place").agg(F.collect_list(F.struct("k", "x")).alias("entries"))
 
 
 def predict(docs: DataFrame, model: Model, text: str) -> DataFrame:
     """All columns of `docs` but the text in `row`, with `lang_pred` and `score`."""
     kept = [c for c in docs.columns if c != text]
     kind = docs.select(*kept).schema.simpleString()
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    langs, base = model.langs, model.base
+    rows = docs.select(F.struct(*kept).alias("row"), F.col(text).alias("text"), F.monotonically_increasing_id().alias("place"))
+    if not langs:
+        return rows.select("row", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    sent = docs.sparkSession.sparkContext.broadcast((model.cached, model.table))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
+    def begun(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Units and number of the cached words, none for a text without a letter, and the other words."""
+        known, table = sent.value
+        rare_kind = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))
         for batch in slices(batches):
-            made = [model.predict(t) for t in batch.column("text").to_pylist()]
+            sums, times, rare = [], [], []
+            for t in batch.column("text").to_pylist():
+                counted = Counter(words(t))
+                if not any(c.isalpha() for w in counted for c in w):
+                    sums.append(None)
+                    times.append(0)
+                    rare.append([])
+                    continue
+                at, weights, others = [], [], []
+                for word, n in counted.items():
+                    row = known.get(word)
+                    if row is None:
+                        others.append((word, n))
+                    else:
+                        at.append(row)
+                        weights.append(n)
+                sums.append((np.array(weights, float) @ table[np.array(at, np.int64)]).astype(np.int64).tolist())
+                times.append(sum(weights))
+                rare.append([{"word": w, "n": n} for w, n in others])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), batch.column("place"), pa.array(sums, pa.list_(pa.int64())), pa.array(times, pa.int64()), pa.array(rare, rare_kind)],
+                names=["row", "place", "sums", "times", "rare"],
+            )
+
+    def ended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, scores = [], []
+            columns = (batch.column(c).to_pylist() for c in ("sums", "times", "entries"))
+            for sums, times, entries in zip(*columns, strict=True):
+                if sums is None:
+                    names.append(UNKNOWN)
+                    scores.append(0.0)
+                    continue
+                above, kinds = np.array(sums, float), np.zeros(LONGEST + 1)
+                kinds[0] = times * UNIT
+                for e in entries or []:
+                    if e["k"] < 0:
+                        kinds[-1 - e["k"]] += e["x"]
+                    else:
+                        above[e["k"]] += e["x"]
+                total = (above + kinds @ base) / UNIT
+                share = np.exp(total - total.max())
+                best = int(total.argmax())
+                names.append(langs[best])
+                scores.append(float(share[best] / share.sum()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64())],
+                [batch.column("row"), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                 names=["row", "lang_pred", "score"],
             )
 
-    rows = docs.select(F.struct(*kept).alias("row"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, f"row {kind}, lang_pred string, score double")
+    first = f"row {kind}, place long, sums array<long>, times long, rare array<struct<word:string,n:bigint>>"
+    first = stored(rows.mapInArrow(begun, first), "langid-texts")
+    scored = first.drop("rare").join(_looked_up(first, model), "place", "left")
+    return scored.select("row", "sums", "times", "entries").mapInArrow(ended, f"row {kind}, lang_pred string, score double")

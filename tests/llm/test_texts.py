@@ -1,5 +1,6 @@
 """Operators on texts against plain versions, over NULLs, empty and long texts, ties, repeated rows and empty tables."""
 
+import math
 import random
 import re
 
@@ -205,6 +206,57 @@ def test_language_by_words_then_ngrams(documents):
     assert all(0 <= r["score"] <= 1 for r in found)
 
 
+def plain_scores(taught, text):
+    """Softmax over the languages, from all counts."""
+    langs = sorted({lang for _, lang in taught})
+    units = [{lang: {} for lang in langs} for _ in range(5)]
+    for teach, lang in taught:
+        for word in re.findall(r"[^\W\d_]+", teach.lower()):
+            padded = f" {word} "
+            for size in range(5):
+                for unit in [word] if size == 0 else [padded[i : i + size] for i in range(len(padded) - size + 1)]:
+                    units[size][lang][unit] = units[size][lang].get(unit, 0) + 1
+    every = [set().union(*by.values()) for by in units]
+
+    def log(size, unit, lang):
+        return math.log((units[size][lang].get(unit, 0) + 0.5) / (sum(units[size][lang].values()) + 0.5 * len(every[size])))
+
+    total = dict.fromkeys(langs, 0.0)
+    for word in re.findall(r"[^\W\d_]+", text.lower()):
+        padded = f" {word} "
+        tried = [[padded[at : at + size] for size in (4, 3, 2, 1) if at + size <= len(padded)] for at in range(len(padded) - 1)]
+        found = [g for g in (next((g for g in grams if g in every[len(g)]), None) for grams in tried) if g]
+        for lang in langs:
+            if word in every[0]:
+                total[lang] += log(0, word, lang)
+            elif found:
+                total[lang] += sum(log(len(g), g, lang) for g in found) / len(found)
+    top = max(total.values())
+    return {lang: math.exp(x - top) / sum(math.exp(y - top) for y in total.values()) for lang, x in total.items()}
+
+
+@pytest.mark.parametrize("cached", [0, 5, langid.CACHED])
+def test_language_scores_equal_plain_counts(documents, monkeypatch, cached):
+    monkeypatch.setattr(langid, "CACHED", cached)
+    draw = random.Random(4)
+    bags = {lang: ["".join(draw.choices(letters, k=draw.randrange(1, 7))) for _ in range(60)] for lang, letters in (("en", "abcde"), ("fr", "cdefgé"), ("de", "abfgß"))}
+    rows = [(i, " ".join(draw.choices(bags[lang], k=12)), lang) for i, lang in enumerate(list(bags) * 8)]
+    asked = [(i, " ".join(draw.choices(sum(bags.values(), []), k=5) + ["".join(draw.choices("abcdefgxé", k=4))] * 2)) for i in range(30)]
+    model = langid.train(documents(rows), "text", "lang")
+    found = langid.predict(documents(asked).drop("lang"), model, "text").select("row.doc_id", "lang_pred", "score").collect()
+    assert len(found) == len(asked)
+    for r in found:
+        plain = plain_scores([(t, lang) for _, t, lang in rows], dict(asked)[r["doc_id"]])
+        assert abs(r["score"] - max(plain.values())) < 1e-6 and abs(plain[r["lang_pred"]] - r["score"]) < 1e-6
+
+
+def test_every_language_is_learned(documents):
+    names = [f"{a}{b}{c}" for a in "pqrstuv" for b in "klmnop" for c in "abcdefgh"][:300]
+    model = langid.train(documents([(i, f"{x}x {x}y {x}z", x) for i, x in enumerate(names)]), "text", "lang")
+    found = langid.predict(documents([(i, f"{x}z {x}x") for i, x in enumerate(names)]).drop("lang"), model, "text").select("row.doc_id", "lang_pred")
+    assert {r["doc_id"]: r["lang_pred"] for r in found.collect()} == dict(enumerate(names))
+
+
 def labelled(documents, spark, kind):
     good = [(i, f"{PROSE[1]} {WORDS[i % 36]} number {i}.") for i in range(120)]
     bad = [(i, "#### " * 20 if kind == "quality" else f"{PROSE[1]} you moronic {WORDS[i % 36]}") for i in range(120, 180)]
