@@ -1,6 +1,7 @@
-"""Mixing sources to target weights: equal blocks of words dealt out by highest quotients.
+"""Mixing sources to target weights: blocks of words dealt out by highest quotients.
 
-Sainte-Laguë gives every source a whole number of blocks, and within a source every shard. The
+Sainte-Laguë gives every source a whole number of words, and within a source every shard; a source at its limit gets
+exactly that. The words are taken in blocks of which the last may be short, so that no source is too small for one. The
 documents of a shard lie on a ring in seeded order, cut into blocks of `block` words. A quota over the
 ring's length takes all of it once or twice; the rest is the run of blocks from a seeded one on. As the
 order is seeded too, that run is a random choice of documents.
@@ -72,7 +73,7 @@ def sainte_lague(frame: DataFrame, group: list[str], weight: str, seats: str, ti
 
 
 def targets(sizes: DataFrame) -> DataFrame:
-    """One row per source: `source_size` and `target`.
+    """One row per source: `source_size`, `cap` (the most it can give) and `target`.
 
     The targets share SHARE of all words by weight; none is above LIMIT times its source, and what that
     cuts off goes to the others by weight. In the order of limit per weight the capped sources come first;
@@ -96,6 +97,7 @@ def targets(sizes: DataFrame) -> DataFrame:
         .select(
             *_SOURCE,
             "source_size",
+            "cap",
             F.least("cap", F.coalesce("level", F.lit(0.0)) * F.col("weight")).alias("target"),
         )
     )
@@ -117,12 +119,15 @@ def mix(rows: DataFrame) -> DataFrame:
     """`row` of each document of `sized` with its size, its source's size and target, and what is taken:
     `passes` times the whole, and the words of `spans` (from, to; counted from 0) besides."""
     sources = targets(rows)
-    plan = sainte_lague(
-        sources.withColumns(
-            {"everything": F.lit(0), "blocks": F.round(F.sum("target").over(Window.partitionBy(F.lit(0))) / BLOCK).cast("long")}
-        ),
-        ["everything"], "target", "blocks", [*_SOURCE],
-    ).select(*_SOURCE, "source_size", "target", F.col("quota").alias("blocks"))
+    # Sources at their limit are left out of the deal.
+    everything = Window.partitionBy(F.lit(0))
+    full = F.col("target") >= F.col("cap")
+    left = F.round(F.sum("target").over(everything)) - F.sum(F.when(full, F.floor("cap")).otherwise(0)).over(everything)
+    dealt = sources.withColumns(
+        {"everything": F.lit(0), "open": F.when(full, 0.0).otherwise(F.col("target")), "words": F.greatest(left, F.lit(0)).cast("long")}
+    )
+    plan = sainte_lague(dealt, ["everything"], "open", "words", [*_SOURCE])
+    plan = plan.select(*_SOURCE, "source_size", "target", F.when(full, F.floor("cap")).otherwise(F.col("quota")).cast("long").alias("words"))
     plan = plan.withColumn(
         "shards", F.least(F.lit(MOST_SHARDS), F.greatest(F.lit(1), F.ceil(F.col("source_size") / SHARD_WORDS)))
     )
@@ -131,10 +136,10 @@ def mix(rows: DataFrame) -> DataFrame:
     plan = F.broadcast(plan) if plan.count() <= SENT_SOURCES else plan
     placed = rows.join(plan, [*_SOURCE]).withColumn("shard", F.pmod(F.xxhash64(F.lit(SEED), "draw"), F.col("shards")))
     shards = sainte_lague(
-        placed.groupBy(*_SOURCE, "shard").agg(F.sum("size").alias("shard_size"), F.first("blocks").alias("blocks")),
-        [*_SOURCE], "shard_size", "blocks", ["shard"],
+        placed.groupBy(*_SOURCE, "shard").agg(F.sum("size").alias("shard_size"), F.first("words").alias("words")),
+        [*_SOURCE], "shard_size", "words", ["shard"],
     )
-    fit = F.least(F.col("quota"), F.floor(LIMIT * F.col("shard_size") / BLOCK)) * BLOCK
+    fit = F.least(F.col("quota"), F.floor(LIMIT * F.col("shard_size")).cast("long"))
     ring = F.col("shard_size")
     shards = shards.select(
         *_SOURCE, "shard", "shard_size",
