@@ -1,15 +1,15 @@
-"""Removal of repeated byte strings, by merging Burrows-Wheeler transforms.
+"""Removal of repeated byte strings, by passes over windows as in the merge of Burrows-Wheeler transforms.
 
 Every window of WINDOW bytes belongs to its anchor, the place in it whose GRAM bytes hash lowest (the first of
 several). Consecutive windows of one anchor form a piece. Equal windows have equal anchors at equal places, so
 they meet when pieces are dealt by the anchor's bytes. Equal pieces are one class, counted before anything is
 shuffled; a class met twice is repeated as a whole, and only anchors with several classes need their bytes.
 
-There the classes' windows are merged. The suffixes of a shard are kept in the order of the prefix read so far, with the
-bounds of blocks that share it. Each round reads the transform's next symbol, SYMBOL bytes in front of each suffix, and
-orders by it alone, stably: the interleave of all classes is refined by one symbol without sorting suffixes. A bound
-falls where symbol or former block changes, so its round is the common prefix of its neighbours; suffixes alone in
-their block are settled and leave. Blocks left when WINDOW bytes are read are the repeated intervals.
+There the classes' windows are merged, all at once; no transform of a shard is built or merged with another. Windows are kept in the
+order of what is read so far, with the bounds of blocks that share it. Each round reads the next symbol, SYMBOL bytes further to
+the front from the window's end, and orders by it alone, stably. A bound falls where symbol or former block changes; lengths of
+common prefixes are not kept. Windows alone in their block are settled and leave. Blocks left when WINDOW bytes are read are
+the repeated intervals.
 
 An anchor at the edge of a passage that very many texts hold has as many classes as contexts, more windows than one
 task should merge. Beyond `together` windows its rounds are not run one by one: the block of a window is the hash of all
