@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pondside.llm import bpe, crosspolytope, langid, linededup, mixing, quality, simhash, suffixdedup, toxicity, vafile
+from pondside.llm import (
+    bond,
+    bpe,
+    collocations,
+    crosspolytope,
+    langid,
+    linededup,
+    minhash,
+    mixing,
+    quality,
+    simhash,
+    suffixdedup,
+    toxicity,
+    vafile,
+)
 from pondside.llm.common import fold, stored, table
 
 GOOD, TOXIC = 0.3, 0.7
@@ -110,6 +124,29 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), "text", "lang")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings")
+    return bond.hard_negatives(rows, "vec_id", "embedding", label, F.col("vec_id") % 100 == 0, 256)
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.compared(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.col("chars").alias("n_chars"),
+        "edited_sha256",
+        minhash.shown(F.col("print")).alias("fingerprint"),
+        minhash.shown(F.col("edited_print")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -121,6 +158,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_langid": op9_langid,
     "op10_bpe": op10_bpe,
+    "op11_collocations": op11_collocations,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_fingerprints": op13_fingerprints,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -142,4 +182,74 @@ ORACLE_SQL: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= {NEAREST}
     """,
+    "op11_collocations": r"""
+        WITH pieces AS (
+            SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS w
+            FROM (SELECT coalesce(lang, 'und') AS lang,
+                    unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                        'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n-\r]')) AS piece
+                FROM documents) cut
+        ),
+        totals AS (SELECT lang, sum(len(w)) AS n FROM pieces GROUP BY lang),
+        known AS (
+            SELECT lang, phrase, size, count(*) AS a
+            FROM (SELECT lang, size, unnest([array_to_string(w[i : i + size - 1], ' ') FOR i IN range(1, len(w) - size + 2)]) AS phrase
+                FROM pieces, range(1, 6) sizes(size)) runs
+            GROUP BY lang, phrase, size HAVING count(*) >= 100
+        ),
+        cuts AS (
+            SELECT p.lang, p.phrase, p.size, p.a, k,
+                array_to_string(string_split(p.phrase, ' ')[1 : k], ' ') AS head,
+                array_to_string(string_split(p.phrase, ' ')[k + 1 :], ' ') AS rest
+            FROM known p, range(1, 5) places(k) WHERE k < p.size
+        ),
+        scored AS (
+            SELECT c.*, x.a AS l, y.a AS r, t.n,
+                CAST((1000 * CAST(c.a AS HUGEINT) * CAST(t.n AS HUGEINT)) // (CAST(x.a AS HUGEINT) * CAST(y.a AS HUGEINT)) AS BIGINT) AS score
+            FROM cuts c JOIN totals t ON t.lang = c.lang
+            JOIN known x ON x.lang = c.lang AND x.phrase = c.head
+            JOIN known y ON y.lang = c.lang AND y.phrase = c.rest
+        ),
+        lowest AS (
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+        ),
+        kept AS (
+            SELECT * FROM lowest c WHERE NOT EXISTS (
+                SELECT 1 FROM known o WHERE o.lang = c.lang AND o.size > c.size AND 100 * o.a >= 100 * c.a
+                  AND contains(concat(' ', o.phrase, ' '), concat(' ', c.phrase, ' ')))
+        ),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept
+        )
+        SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM ranked WHERE rank <= 2000
+    """,
+    "op12_hard_negatives": """
+        WITH usable AS (
+            SELECT row_number() OVER () AS row_id, vec_id, len(embedding) AS dim,
+                CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+        ),
+        scored AS (
+            SELECT a.row_id AS anchor, a.vec_id AS anchor_id, c.row_id, c.vec_id, a.label = c.label AS alike,
+                CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+            FROM usable a JOIN usable c ON c.dim = a.dim AND c.row_id <> a.row_id
+            WHERE a.vec_id % 100 = 0
+        ),
+        positives AS (
+            SELECT anchor, anchor_id, row_id AS positive, vec_id AS positive_id, score AS positive_score
+            FROM scored WHERE alike
+            QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, row_id) <= 5
+        ),
+        ranked AS (
+            SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+                CAST(row_number() OVER (PARTITION BY p.anchor, p.positive ORDER BY s.score DESC, s.vec_id, s.row_id) AS INTEGER)
+                    AS rank
+            FROM positives p JOIN scored s ON s.anchor = p.anchor
+            WHERE NOT s.alike AND 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score
+        )
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5
+    """,
 }
