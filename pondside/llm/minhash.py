@@ -120,7 +120,7 @@ def _ones() -> int:
 
 
 def _followers(rows: DataFrame) -> DataFrame:
-    """(`place`, `next`) in ascending order of `id`, then of the texts' hashes; after the last comes the first. `rows` is narrow.
+    """(`place`, `id`, `chars`, `next`) in ascending order of `id`, then of the texts' hashes; after the last comes the first. `rows` is narrow.
 
     Ranges of the order are windows of their own; one row for each range links its last row to the first of the next one."""
     order = ["id", "hash", "place"]
@@ -131,7 +131,8 @@ def _followers(rows: DataFrame) -> DataFrame:
     after = F.coalesce(F.lead("first.place").over(ranges), F.first("first.place").over(ranges))
     firsts = firsts.select("range", after.alias("after"))
     inside = F.lead("place").over(Window.partitionBy("range").orderBy(*order))
-    return ranged.withColumn("inside", inside).join(firsts, "range").select("place", "chars", F.coalesce("inside", "after").alias("next"))
+    linked = ranged.withColumn("inside", inside).join(firsts, "range")
+    return linked.select("place", "id", "chars", F.coalesce("inside", "after").alias("next"))
 
 
 def compared(docs: DataFrame, identity: str, text: str, part: int = 4) -> DataFrame:
@@ -140,15 +141,14 @@ def compared(docs: DataFrame, identity: str, text: str, part: int = 4) -> DataFr
     The edited text has its last floor(chars / `part`) characters replaced by the first as many of the next document, in
     ascending order of id (NULL first; of equal ids by a hash of the text). `docs` must be a table that is read alike twice, as
     files are. Texts are shuffled once, and of each the part that its predecessor takes."""
-    texts = docs.select(
-        F.monotonically_increasing_id().alias("place"), F.col(identity).alias("id"), F.coalesce(text, F.lit("")).alias("text")
-    )
-    narrow = texts.select("place", "id", F.xxhash64("text").alias("hash"), F.char_length("text").alias("chars"))
+    place, text = F.monotonically_increasing_id().alias("place"), F.coalesce(text, F.lit(""))
+    narrow = docs.select(place, F.col(identity).alias("id"), F.xxhash64(text).alias("hash"), F.char_length(text).alias("chars"))
     links = stored(_followers(narrow), "minhash-links")
-    texts = texts.hint("merge")
-    taken = links.select(F.col("place").alias("taker"), F.floor(F.col("chars") / part).cast("int").alias("taken"), F.col("next").alias("place"))
-    heads = taken.join(texts.select("place", "text"), "place")
-    heads = heads.select(F.col("taker").alias("place"), "taken", F.substring("text", F.lit(1), F.col("taken")).alias("head"))
+    # Both joins read the same two columns, so that one shuffle serves both.
+    texts = docs.select(place, text.alias("text")).hint("merge")
+    taken = F.floor(F.col("chars") / part).cast("int").alias("taken")
+    wanted = links.select(F.col("next").alias("place"), F.struct("place", "id", taken).alias("taker"))
+    heads = texts.join(wanted, "place").select("taker.*", F.substring("text", F.lit(1), F.col("taker.taken")).alias("head"))
     whole = texts.join(heads.hint("merge"), "place")
     size = F.char_length("text")
     kept = F.substring("text", F.lit(1), size - F.col("taken"))
