@@ -257,27 +257,38 @@ def dq_allowed_codes(db: Survey) -> DataFrame:
     )
 
 
-def _mistyped(frame: DataFrame, entity: str, key: str, fields: Mapping[str, str]) -> DataFrame:
-    """Fields with a value in the document that the typed reading does not accept.
+def _unreadable() -> Column:
+    """Whether a document is there but is no JSON object, or names a key twice."""
+    kind = F.coalesce(F.schema_of_variant("document"), F.lit(""))
+    return F.col("data").isNotNull() & ~F.startswith(kind, F.lit("OBJECT<"))
 
-    Only documents with a field that reads as NULL are parsed a second time.
-    """
-    typed = F.from_json("data", ", ".join(f"{name} {kind}" for name, kind in fields.items()))
-    plain = F.from_json("data", ", ".join(f"{name} VARIANT" for name in fields))
-    suspect = F.greatest(*[F.col(f"typed.{name}").isNull() for name in fields])
-    parsed = frame.select(key, "data", typed.alias("typed"))
-    both = parsed.select(key, "typed", F.when(suspect, plain).alias("plain"))
-    broken = {
-        name: F.col(f"plain.{name}").isNotNull()
-        & ~F.is_variant_null(F.col(f"plain.{name}"))
-        & F.col(f"typed.{name}").isNull()
-        for name in fields
-    }
-    return _violations(both, "json_type", entity, key, broken)
+
+def _wrong_type(field: str, kind: str) -> Column:
+    """Whether a field has a value that the typed reading does not accept; numbers must be whole and in range."""
+    found = F.schema_of_variant(F.try_variant_get("document", f"$.{field}", "variant"))
+
+    def far(number: Column) -> Column:
+        return ~number.between(-(2**31), 2**31 - 1)
+
+    if kind == "INT":
+        number = F.try_variant_get("document", f"$.{field}", "bigint")
+        return ~found.isin("VOID", "BIGINT") | ((found == "BIGINT") & far(number))
+    numbers = F.try_variant_get("document", f"$.{field}", "array<bigint>")
+    return ~found.isin("VOID", "ARRAY<VOID>", "ARRAY<BIGINT>") | F.exists(numbers, far)
+
+
+def _mistyped(frame: DataFrame, entity: str, key: str, fields: Mapping[str, str]) -> DataFrame:
+    """Documents that cannot be read, as field `data`, and fields that are read as NULL for their type; one parse for all."""
+    parsed = frame.select(key, "data", F.try_parse_json("data").alias("document"))
+    broken = {name: _wrong_type(name, kind) for name, kind in fields.items()}
+    return _violations(parsed, "json_type", entity, key, {"data": _unreadable(), **broken})
 
 
 def dq_json_type(db: Survey) -> DataFrame:
-    """Values of the wrong JSON type, which the exports show as NULL."""
+    """Documents that cannot be read and values of the wrong JSON type; the exports show them as NULL.
+
+    A document that names a key twice is reported too; the exports show the key's last value.
+    """
     visit_fields = {**dict.fromkeys(VISIT_VOCABULARY, "INT"), METHODS_FIELD: "ARRAY<INT>"}
     observation_fields = dict.fromkeys([*OBSERVATION_VOCABULARY, *COUNT_FIELDS], "INT")
     return _union(
@@ -304,6 +315,54 @@ def dq_counts(db: Survey) -> DataFrame:
     return _violations(complements, "counts", "observation", "id_observation", bounds)
 
 
+# Entity -> key, relation of its core rows, of its complements, and others that refer to it.
+KEYED = {
+    "sites_group": ("id_sites_group", "sites_groups", None, ("site_complements", "group_communes")),
+    "site": ("id_base_site", "sites", "site_complements", ("visits", "site_areas")),
+    "visit": ("id_base_visit", "visits", "visit_complements", ("observations", "visit_observers")),
+    "observation": ("id_observation", "observations", "observation_complements", ()),
+}
+# Entity -> a column of its core rows whose values no two keys share.
+OWN = {"visit": "uuid_base_visit", "observation": "uuid_observation"}
+
+
+def _shared(db: Survey, entity: str) -> DataFrame:
+    """Values that several keys of an entity hold: one row each, with the smallest of the keys."""
+    key, core, *_ = KEYED[entity]
+    own = OWN[entity]
+    held = db[core].where(F.col(own).isNotNull()).select(own, F.col(key).cast("string").alias("id"))
+    counted = held.groupBy(own).agg(F.min("id").alias("id"), F.max("id").alias("last"), F.count(F.lit(1)).alias("rows"))
+    named = counted.where("id != last").withColumns({"entity": F.lit(entity), "field": F.lit(f"{own}: shared")})
+    return named.select(F.lit("keys").alias("rule"), "entity", "id", "field", "rows")
+
+
+def _audit(db: Survey, entity: str) -> DataFrame:
+    """Broken keys of an entity from one tagged union of the relations that hold it: rows are counted before the shuffle, and
+    nothing is joined."""
+    key, core, complement, others = KEYED[entity]
+    held = [name for name in (core, complement, *others) if name]
+    tagged = _union([db[name].select(F.col(key).alias("key"), F.lit(name).alias("relation")) for name in held])
+    counts = [F.count_if(F.col("relation") == name).alias(name) for name in held]
+    counted = tagged.groupBy("key").agg(*counts)
+    known = F.col("key").isNotNull()
+    broken = {(core, "missing"): ~known & (F.col(core) > 0)}
+    broken |= {(name, "doubled"): known & (F.col(name) > 1) for name in (core, complement) if name}
+    broken |= {(name, "orphan"): known & (F.col(core) == 0) & (F.col(name) > 0) for name in held[1:]}
+    rows = [
+        F.when(condition, F.struct(F.lit(f"{name}: {fault}").alias("field"), F.col(name).alias("rows")))
+        for (name, fault), condition in broken.items()
+    ]
+    kept = [F.lit("keys").alias("rule"), F.lit(entity).alias("entity"), F.col("key").cast("string").alias("id")]
+    found = one_each(counted, kept, F.array_compact(F.array(*rows)), "found")
+    return found.select("rule", "entity", "id", "found.field", "found.rows")
+
+
+def dq_keys(db: Survey) -> DataFrame:
+    """Keys that the exports rely on: core rows and complements have one row per key, no record lacks its core row, and an identifier
+    belongs to one record. `rows` is how many rows of the relation hold a broken key."""
+    return _union([_audit(db, entity) for entity in KEYED] + [_shared(db, entity) for entity in OWN])
+
+
 def dq_vocabulary_integrity(documents: DataFrame) -> DataFrame:
     """Entries with a doubled code, an undeclared type, or a code that does not start with it."""
     codes = vocabulary_entries(documents).groupBy("type", "code").agg(

@@ -1,16 +1,15 @@
 """Where results go: CSV files, named views and tables, the stored feed, and relations kept as tables."""
 
-from pyspark.sql import DataFrame, functions as F
+import uuid
 
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from pondside.plans import merge
 from pondside.plans.exports import export
 from pondside.plans.synthesis import synthesis_feed
 from pondside.schemas import BUCKET_KEYS, RELATIONS
 from pondside.sources.tables import Survey
 
-FEED_KEY = ("id_source", "entity_source_pk_value")
-# So many broken keys are named in an error.
-SHOWN_KEYS = 5
-
 
 def write_csv(frame: DataFrame, path: str) -> None:
     """CSV part files with a header; quotes are doubled, and NULL differs from empty text."""
@@ -52,24 +51,43 @@ def save_feed(db: Survey, module_code: str, database: str) -> str:
     return _save(synthesis_feed(db, module_code), database, f"v_synthese_{module_code}")
 
 
-def broken_feed_keys(feed: DataFrame) -> DataFrame:
-    """Keys of a feed that are NULL or stand in several rows, with the number of `rows`."""
-    counted = feed.groupBy(*FEED_KEY).agg(F.count(F.lit(1)).alias("rows"))
-    missing = F.col(FEED_KEY[0]).isNull() | F.col(FEED_KEY[1]).isNull()
-    return counted.where(missing | (F.col("rows") > 1))
-
-
 def write_feed(db: Survey, module_code: str, path: str, replace: bool = False) -> None:
     """Write the feed as Parquet by year, for a store that merges on source and observation.
 
-    `replace` writes over an earlier feed. The keys are checked on what was written, two narrow columns; a key that
-    is NULL or doubled is an error, and the files stay for inspection.
+    It is written beside and its keys are checked there; a key that is NULL or doubled is an error, and those files stay for
+    inspection. Only then do they take their place, with `replace` that of an earlier feed, which stays whole until then.
     """
     feed = synthesis_feed(db, module_code).withColumn("year", F.year("date_min"))
-    feed.write.mode("overwrite" if replace else "error").partitionBy("year").parquet(path)
-    broken = broken_feed_keys(feed.sparkSession.read.schema(feed.schema).parquet(path)).limit(SHOWN_KEYS).collect()
-    if broken:
-        raise ValueError(f"feed {path}: keys that are NULL or doubled: {[tuple(row) for row in broken]}")
+    spark = feed.sparkSession
+    fs, target = _file_system(spark, path)
+    if fs.exists(target) and not replace:
+        raise FileExistsError(path)
+    staged, earlier = (f"{path.rstrip('/')}.{state}-{uuid.uuid4().hex}" for state in ("staged", "earlier"))
+    feed.write.partitionBy("year").parquet(staged)
+    merge.check_keys(spark.read.schema(feed.schema).parquet(staged), staged)
+    if fs.exists(target):
+        _move(fs, spark, path, earlier)
+    _move(fs, spark, staged, path)
+    fs.delete(_path(spark, earlier), True)
+
+
+def _path(spark: SparkSession, name: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(name)
+
+
+def _file_system(spark: SparkSession, name: str):
+    path = _path(spark, name)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def _move(fs, spark: SparkSession, name: str, to: str) -> None:
+    if not fs.rename(_path(spark, name), _path(spark, to)):
+        raise OSError(f"{name} could not be moved to {to}")
+
+
+def merge_feed(db: Survey, module_code: str, database: str, name: str = "synthese") -> dict[str, int]:
+    """Bring the store's table up to date with the module's feed; the number of rows inserted, changed and deleted."""
+    return merge.merge_feed(db, module_code, f"{database}.{name}")
 
 
 def store_tables(db: Survey, database: str, buckets: int | None = None) -> None:

@@ -7,7 +7,9 @@ without a group) are made on purpose by changing keys. `$name` stands for a tabl
 text serves Spark and the SQL checks.
 """
 
+from collections.abc import Mapping
 from string import Template
+from types import MappingProxyType
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -104,7 +106,8 @@ DERIVED = {
     "site_complements": """
         SELECT c_custkey AS id_base_site,
             CASE WHEN c_custkey % 20 = 0 THEN NULL ELSE c_nationkey END AS id_sites_group,
-            concat('{"milieu_aquatique":', CAST(c_custkey % 13 AS STRING),
+            concat(CASE WHEN c_custkey % 131 = 0 THEN '["' ELSE '' END,
+                '{"milieu_aquatique":', CAST(c_custkey % 13 AS STRING),
                 CASE WHEN c_custkey % 7 = 0 THEN ',"variation_eau":null'
                     ELSE concat(',"variation_eau":', CAST(13 + c_custkey % 4 AS STRING)) END,
                 CASE WHEN c_custkey % 5 = 0 THEN ''
@@ -125,7 +128,8 @@ DERIVED = {
     "visit_complements": """
         SELECT CASE WHEN o_orderkey % 97 = 0 THEN -1 - o_orderkey ELSE o_orderkey END
                 AS id_base_visit,
-            concat('{"num_passage":"',
+            concat(CASE WHEN o_orderkey % 109 = 0 THEN '[{"vent":1},' ELSE '' END,
+                '{"num_passage":"',
                 CASE WHEN o_orderkey % 101 = 0 THEN '4eme' WHEN o_orderkey % 3 = 0 THEN '1er'
                     WHEN o_orderkey % 3 = 1 THEN '2eme' ELSE '3eme' END,
                 ' passage","accessibility":"',
@@ -135,6 +139,9 @@ DERIVED = {
                 CASE WHEN o_orderkey % 8 = 0 THEN ',"pluviosite":null'
                     ELSE concat(',"pluviosite":',
                         CASE WHEN o_orderkey % 103 = 0 THEN '"n/a"'
+                            WHEN o_orderkey % 179 = 0 THEN '"21"'
+                            WHEN o_orderkey % 181 = 0 THEN '21.5'
+                            WHEN o_orderkey % 191 = 0 THEN '99999999999'
                             ELSE CAST(20 + o_orderkey % 4 AS STRING) END,
                         ',"couverture_nuageuse":', CAST(24 + o_orderkey % 4 AS STRING),
                         CASE WHEN o_orderkey % 13 = 0 THEN ''
@@ -153,7 +160,10 @@ DERIVED = {
                     ELSE concat(',"methode_de_prospection":[',
                         CAST(40 + o_orderkey % 5 AS STRING), ',',
                         CAST(40 + (o_orderkey + 2) % 5 AS STRING), ']') END,
-                '}') AS data
+                CASE WHEN o_orderkey % 113 <> 0 THEN '' WHEN o_orderkey % 8 = 0 THEN ',"accessibility":"Non"'
+                    ELSE ',"accessibility":"Oui"' END,
+                CASE WHEN o_orderkey % 107 = 0 THEN '' WHEN o_orderkey % 109 = 0 THEN '}]'
+                    ELSE '}' END) AS data
         FROM $orders""",
     "observations": f"""
         SELECT {_OBSERVATION_KEY} AS id_observation,
@@ -165,7 +175,8 @@ DERIVED = {
     "observation_complements": f"""
         SELECT concat(CASE WHEN l_quantity = 50 THEN 'x' ELSE '' END, {_OBSERVATION_KEY})
                 AS id_observation,
-            concat('{{"count_min":',
+            concat(CASE WHEN l_linenumber = 7 AND l_orderkey % 16 = 0 THEN 'illisible' ELSE '' END,
+                '{{"count_min":',
                 CASE WHEN l_linenumber = 5 THEN 'null'
                     ELSE CAST(CAST(l_quantity AS INT) AS STRING) END,
                 CASE WHEN l_linenumber = 4 THEN ''
@@ -177,6 +188,27 @@ DERIVED = {
                 CASE WHEN l_linenumber = 6 THEN 'null'
                     ELSE CAST(72 + l_linenumber % 2 AS STRING) END, '}}') AS data
         FROM $lineitem""",
+    # Variants of relations: visits and complements given twice, and an earlier state of the observations.
+    "visits_twice": """
+        SELECT id_base_visit, CASE WHEN id_base_visit % 211 = 0 THEN 'V1' ELSE uuid_base_visit END
+                AS uuid_base_visit, id_base_site, id_module, id_dataset, id_digitiser, visit_date_min, comments
+        FROM ($visits) given
+        UNION ALL
+        SELECT * FROM ($visits) again WHERE id_base_visit % 223 = 0""",
+    "visit_complements_twice": """
+        SELECT * FROM ($visit_complements) given
+        UNION ALL
+        SELECT * FROM ($visit_complements) again WHERE id_base_visit % 227 IN (0, 1)
+        UNION ALL
+        SELECT * FROM ($visit_complements) thrice WHERE id_base_visit % 227 = 0""",
+    "observations_before": f"""
+        SELECT {_OBSERVATION_KEY} AS id_observation,
+            concat('O', {_OBSERVATION_KEY}) AS uuid_observation, l_orderkey AS id_base_visit,
+            CASE WHEN l_partkey % 50 = 0 OR l_orderkey % 5 = 0 AND l_linenumber = 2 THEN NULL
+                ELSE l_partkey END AS cd_nom,
+            CASE WHEN l_orderkey % 7 = 0 THEN concat(l_returnflag, '?') ELSE l_returnflag END
+                AS comments
+        FROM $lineitem""",
     "taxref": """
         SELECT p_partkey AS cd_nom, p_partkey - p_partkey % 4 AS cd_ref, p_name AS lb_nom,
             CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE p_brand END AS nom_vern,
@@ -239,9 +271,21 @@ DERIVED = {
 }
 
 
+# Relations read from a variant of theirs, for rules and merges that the plain ones have no case for.
+DOUBLED = {"visits": "visits_twice", "visit_complements": "visit_complements_twice"}
+BEFORE = {"observations": "observations_before"}
+
+
 def relation_sql(name: str, tables: dict[str, str]) -> str:
     """Query text of a derived relation over the given table expressions."""
-    return Template(DERIVED[name]).substitute(tables)
+    return Template(_whole(name)).substitute(tables)
+
+
+def _whole(name: str) -> str:
+    """The text of a relation, with that of others it names in place of their names."""
+    text = DERIVED[name]
+    used = [other for other in Template(text).get_identifiers() if other in DERIVED]
+    return Template(text).safe_substitute({other: DERIVED[other] for other in used})
 
 
 def _read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -253,15 +297,15 @@ def _read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 def _derive(spark: SparkSession, tables: dict[str, DataFrame], name: str) -> DataFrame:
     # Braces of the JSON texts are doubled: the session fills in `{table}` only.
-    text = DERIVED[name].replace("{", "{{").replace("}", "}}")
+    text = _whole(name).replace("{", "{{").replace("}", "}}")
     used = {table: frame for table, frame in tables.items() if f"${table}" in text}
     return spark.sql(Template(text).substitute({t: f"{{{t}}}" for t in used}), **used)
 
 
-def derive_survey(spark: SparkSession, root: str) -> Survey:
-    """The relations over the tables below `root`; nothing is read until a plan asks for it."""
+def derive_survey(spark: SparkSession, root: str, variants: Mapping[str, str] = MappingProxyType({})) -> Survey:
+    """The relations over the tables below `root`, some from a variant; nothing is read until a plan asks for it."""
     tables = _read_tables(spark, root)
-    return Survey(lambda name: _derive(spark, tables, name), GRID)
+    return Survey(lambda name: _derive(spark, tables, variants.get(name, name)), GRID)
 
 
 def derive_documents(spark: SparkSession, root: str) -> DataFrame:

@@ -4,10 +4,10 @@ import csv
 import glob
 
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from pondside import sinks
+from pondside.plans import merge
 from pondside.plans.synthesis import synthesis_feed
 from pondside.schemas import RELATIONS, STANDARD_COLUMNS
 from pondside.sources.star import GRID
@@ -46,7 +46,7 @@ def test_stored_feed_has_one_row_per_source_and_observation(spark, db, tmp_path)
     assert keys.distinct().count() == keys.count() == 4
     sinks.write_feed(db, "mares", path, replace=True)
     assert spark.read.parquet(path).count() == 4
-    with pytest.raises(AnalysisException):
+    with pytest.raises(FileExistsError):
         sinks.write_feed(db, "mares", path)
 
 
@@ -55,11 +55,16 @@ def test_feed_with_doubled_or_missing_keys_is_refused(spark, tmp_path):
     load = db._load
     twice = lambda name: load(name).unionAll(load(name)) if name == "observations" else load(name)
     db._load = twice
+    path = str(tmp_path / "feed")
+    with pytest.raises(ValueError, match="doubled"):
+        sinks.write_feed(db, "mares", path)
+    sinks.write_feed(small_survey(spark), "mares", path)
     with pytest.raises(ValueError, match="doubled"):
-        sinks.write_feed(db, "mares", str(tmp_path / "feed"))
+        sinks.write_feed(db, "mares", path, replace=True)
+    assert spark.read.parquet(path).count() == 4
     kind = "id_source int, entity_source_pk_value string"
     feed = spark.createDataFrame([(1, "a"), (1, "b"), (1, "b"), (None, "c"), (2, "b")], kind)
-    rows = {tuple(r) for r in sinks.broken_feed_keys(feed).collect()}
+    rows = {tuple(r) for r in merge.broken_keys(feed).collect()}
     assert rows == {(1, "b", 2), (None, "c", 1)}
 
 
