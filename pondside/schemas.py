@@ -127,6 +127,13 @@ VISIT_IDS_PAYLOAD = f"{ints(VISIT_VOCABULARY)}, {METHODS_FIELD} ARRAY<INT>"
 VISIT_PAYLOAD = f"{', '.join(f'{f} VARIANT' for f in VISIT_TEXT_FIELDS)}, {ints(VISIT_VOCABULARY)}"
 METHODS_PAYLOAD = f"{METHODS_FIELD} ARRAY<INT>"
 OBSERVATION_PAYLOAD = ints([*OBSERVATION_VOCABULARY, *COUNT_FIELDS])
+# What stored complements keep of their document in typed columns: all fields that the exports and the feed read.
+KEPT_PAYLOADS = {
+    "site_complements": SITE_PAYLOAD,
+    "visit_complements": f"{VISIT_PAYLOAD}, {METHODS_PAYLOAD}",
+    "observation_complements": OBSERVATION_PAYLOAD,
+}
+PAYLOAD = "payload"
 # The form rules ask whether a field is filled, whatever its type: they read text.
 VISIT_FORM_PAYLOAD = texts([*VISIT_TEXT_FIELDS, *VISIT_VOCABULARY, METHODS_FIELD])
 OBSERVATION_FORM_PAYLOAD = texts(OBSERVATION_VOCABULARY)

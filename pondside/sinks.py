@@ -4,10 +4,11 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from pondside.functions.payload import kept_payload
 from pondside.plans import merge
 from pondside.plans.exports import export
 from pondside.plans.synthesis import synthesis_feed
-from pondside.schemas import BUCKET_KEYS, RELATIONS
+from pondside.schemas import BUCKET_KEYS, KEPT_PAYLOADS, RELATIONS
 from pondside.sources.tables import Survey
 
 
@@ -91,7 +92,9 @@ def merge_feed(db: Survey, module_code: str, database: str, name: str = "synthes
 
 
 def store_tables(db: Survey, database: str, buckets: int | None = None) -> None:
-    """Keep the relations as Parquet tables, those of `BUCKET_KEYS` bucketed.
+    """Keep the relations as Parquet tables, those of `BUCKET_KEYS` bucketed; documents are parsed here, once for all plans.
+
+    The fields that the exports and the feed read are kept in typed columns beside the document, which the record rules read.
 
     There are as many buckets as shuffle partitions unless `buckets` says otherwise: for large relations give their size over
     what one task should write. Rows are moved to their bucket first, so a bucket is one file.
@@ -99,8 +102,11 @@ def store_tables(db: Survey, database: str, buckets: int | None = None) -> None:
     buckets = buckets or int(db["visits"].sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for name in RELATIONS:
         key = BUCKET_KEYS.get(name)
+        frame = db[name]
+        if name in KEPT_PAYLOADS:
+            frame = kept_payload(frame, KEPT_PAYLOADS[name])
         if key is None:
-            writer = db[name].write
+            writer = frame.write
         else:
-            writer = db[name].repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+            writer = frame.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
         writer.format("parquet").saveAsTable(f"{database}.{name}")

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pondside.operators.joins import hot_keys, measure
-from pondside.schemas import RELATIONS
+from pondside.schemas import KEPT_PAYLOADS, PAYLOAD, RELATIONS
 
 
 @dataclass(frozen=True)
@@ -85,7 +85,8 @@ def _holds(column: str, kind: str, found: str | None) -> bool:
 
 
 def checked(name: str, frame: DataFrame) -> DataFrame:
-    """The contract columns of a relation, narrower types widened; an error names the columns that break it."""
+    """The contract columns of a relation, narrower types widened, and the typed fields stored complements keep; an error
+    names the columns that break it."""
     found = dict(frame.dtypes)
     wrong = {
         column: (kind, found.get(column))
@@ -95,6 +96,7 @@ def checked(name: str, frame: DataFrame) -> DataFrame:
     if wrong:
         raise ValueError(f"relation {name}: expected and found types differ: {wrong}")
     kinds = RELATIONS[name].items()
+    kept = [PAYLOAD] if name in KEPT_PAYLOADS and found.get(PAYLOAD, "").startswith("struct<") else []
     return frame.select(
-        *(F.col(c) if found[c] == kind else F.col(c).cast(kind).alias(c) for c, kind in kinds)
+        *(F.col(c) if found[c] == kind else F.col(c).cast(kind).alias(c) for c, kind in kinds), *kept
     )

@@ -79,6 +79,57 @@ def test_json_type(db):
     ]
 
 
+def test_unreadable_documents_are_reported(spark):
+    documents = {
+        1: '{"vent":2',
+        2: "illisible",
+        3: "[1]",
+        4: '{"vent":2,"vent":2}',
+        5: "{'vent':2}",
+        6: "",
+        7: None,
+        8: ' {"vent":2.0,"rives":99999999999,"turbidite":"3","methode_de_prospection":[1,"x"]} ',
+        9: '{"methode_de_prospection":[99999999999],"vent":null}',
+        10: '{"methode_de_prospection":[null,3],"vent":-2147483648}',
+    }
+    db = small_survey(spark, visit_complements=list(documents.items()))
+    visits = {(row[1], row[2]) for row in found(quality.dq_json_type(db)) if row[0] == "visit"}
+    assert visits == {(str(id_), "data") for id_ in (1, 2, 3, 4, 5, 6)} | {
+        *[("8", field) for field in ("vent", "rives", "turbidite", "methode_de_prospection")],
+        ("9", "methode_de_prospection"),
+    }
+
+
+def test_documents_are_parsed_once_for_their_types(db, capsys):
+    capsys.readouterr()
+    quality.dq_json_type(db).explain()
+    text = capsys.readouterr().out
+    assert "from_json" not in text and text.count("parseJson(") == 3
+
+
+def test_keys(spark):
+    from small import ROWS
+
+    visits = [*ROWS["visits"], ROWS["visits"][0], (None, "v9", *ROWS["visits"][0][2:]), (11, "v2", *ROWS["visits"][0][2:])]
+    complements = [*ROWS["visit_complements"], ROWS["visit_complements"][2], (40, "{}")]
+    db = small_survey(spark, visits=visits, visit_complements=complements, visit_observers=[(1, 100), (50, 100), (50, 101), (None, 7)])
+    rows = {(r["entity"], r["id"], r["field"], r["rows"]) for r in as_dicts(quality.dq_keys(db))}
+    assert rows == {
+        ("visit", "1", "visits: doubled", 2),
+        ("visit", None, "visits: missing", 1),
+        ("visit", "3", "visit_complements: doubled", 2),
+        ("visit", "40", "visit_complements: orphan", 1),
+        ("visit", "50", "visit_observers: orphan", 2),
+        ("visit", "11", "uuid_base_visit: shared", 2),
+    }
+
+
+def test_the_key_audit_joins_nothing(db, capsys):
+    capsys.readouterr()
+    quality.dq_keys(db).explain()
+    assert "Join" not in capsys.readouterr().out
+
+
 def test_counts(db):
     # b: minimum missing, maximum given. c: maximum too small. d: maximum left out.
     # e: minimum 1 needs no maximum. f: unreadable counts are missing. h: minimum 0.

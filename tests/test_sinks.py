@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pondside import sinks
+from pondside.operators import quality
 from pondside.plans import merge
 from pondside.plans.synthesis import synthesis_feed
 from pondside.schemas import RELATIONS, STANDARD_COLUMNS
@@ -116,6 +117,29 @@ def test_bucketed_tables_join_without_a_shuffle(spark, db, tmp_path, capsys):
     finally:
         spark.sql("DROP DATABASE kept CASCADE")
     assert rows == sorted(map(repr, synthesis_feed(small_survey(spark), "mares").collect()))
+    assert "from_json" not in text
     assert "Exchange hashpartitioning(id_observation" not in text
     # Observations and observers move to the visits, which lie by their key already.
     assert text.count("Exchange hashpartitioning(id_base_visit") == 2
+
+
+def test_exports_of_stored_tables_parse_no_document(spark, db, tmp_path, capsys):
+    spark.sql(f"CREATE DATABASE typed LOCATION '{tmp_path}'")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        sinks.store_tables(db, "typed")
+        kept = read_tables(spark, "typed", GRID)
+        for method in ("standard", "analyses"):
+            capsys.readouterr()
+            frame = sinks.export(kept, method, "mares")
+            frame.explain()
+            text = capsys.readouterr().out
+            assert "from_json" not in text and "data:string" not in text
+            expected = sorted(map(repr, sinks.export(small_survey(spark), method, "mares").collect()))
+            assert sorted(map(repr, frame.collect())) == expected
+        # The rules look at the documents themselves.
+        expected = sorted(map(repr, quality.dq_json_type(small_survey(spark)).collect()))
+        assert sorted(map(repr, quality.dq_json_type(kept).collect())) == expected
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+        spark.sql("DROP DATABASE typed CASCADE")
