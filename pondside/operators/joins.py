@@ -1,6 +1,7 @@
 """Joins to lookup tables that stay whole and balanced when one key holds much of the data."""
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -21,20 +22,37 @@ MERGERS = 256
 MOST_PIECES = 1000
 
 
-def measure(frames: Mapping[str, DataFrame]) -> dict[str, bool]:
-    """One job that counts rows and bytes of each frame, and tells which fit a broadcast."""
-    sizes = [
+@dataclass(frozen=True)
+class Size:
+    """Rows and bytes of a frame, and the bytes of its widest row."""
+
+    rows: int
+    total: int
+    widest: int
+
+    def fits(self, more: int = 0) -> bool:
+        """Whether the frame, and so many bytes besides, can be broadcast."""
+        return self.rows <= BROADCAST_ROWS and self.total + more <= BROADCAST_BYTES
+
+
+def sizes(frames: Mapping[str, DataFrame]) -> dict[str, Size]:
+    """One job that counts rows and bytes of each frame."""
+    counted = [
         frame.agg(
             F.lit(name).alias("name"),
-            F.count(F.lit(1)).alias("n_rows"),
-            F.coalesce(F.sum(_row_bytes(frame)), F.lit(0)).alias("n_bytes"),
+            F.count(F.lit(1)).alias("rows"),
+            F.coalesce(F.sum(_row_bytes(frame)), F.lit(0)).alias("total"),
+            F.coalesce(F.max(_row_bytes(frame)), F.lit(0)).alias("widest"),
         )
         for name, frame in frames.items()
     ]
-    return {
-        row["name"]: row["n_rows"] <= BROADCAST_ROWS and row["n_bytes"] <= BROADCAST_BYTES
-        for row in reduce(DataFrame.unionAll, sizes).collect()
-    }
+    rows = reduce(DataFrame.unionAll, counted).collect()
+    return {row["name"]: Size(row["rows"], row["total"], row["widest"]) for row in rows}
+
+
+def measure(frames: Mapping[str, DataFrame]) -> dict[str, bool]:
+    """Which frames fit a broadcast, found in one job."""
+    return {name: size.fits() for name, size in sizes(frames).items()}
 
 
 def _row_bytes(frame: DataFrame) -> Column:

@@ -5,7 +5,8 @@ from functools import partial
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pondside.operators.joins import hot_keys, join_dimension
+from pondside.functions.payload import one_each
+from pondside.operators.joins import fact_join, hot_keys, join_dimension, spread_join
 from pondside.schemas import FEED_CONSTANTS
 from pondside.sources.tables import Survey
 
@@ -26,13 +27,16 @@ def few_visits(db: Survey, module_code: str) -> bool:
     return db.frame_fits(f"visits of {module_code}", lambda: module_filter(db, module_code))
 
 
-def for_module(db: Survey, frame: DataFrame, module_code: str | None) -> DataFrame:
+def for_module(
+    db: Survey, frame: DataFrame, module_code: str | None, joined: bool = False
+) -> DataFrame:
     """Rows by visit, cut down to a module, or all without one.
 
     A small module among much data is cut out of a table while it is read; the visits of a
-    large one are merged with it. The rows are the same either way.
+    large one are merged with it. The rows are the same either way. `joined` says that a join to the
+    module's visits follows: it cuts the same rows, so those of a large module are left to it.
     """
-    if module_code is None:
+    if module_code is None or (joined and not few_visits(db, module_code)):
         return frame
     visits = module_filter(db, module_code)
     visits = F.broadcast(visits) if few_visits(db, module_code) else visits.hint("merge")
@@ -75,16 +79,47 @@ def constant_struct(
     return constant_codes(db, codes).select(F.struct(*codes)).scalar()
 
 
+def label_list(db: Survey) -> Column:
+    """All labels of a vocabulary with few ids, each at the position of its id; a scalar subquery."""
+    entries = db["nomenclature"].where(F.col("id_nomenclature").isNotNull())
+    entries = entries.groupBy("id_nomenclature").agg(F.max("label_fr").alias("label"))
+    known = F.map_from_entries(F.collect_list(F.struct("id_nomenclature", "label")))
+    whole = entries.agg(known.alias("known"), F.max("id_nomenclature").alias("last"))
+    every = F.transform(F.sequence(F.lit(0), F.col("last")), lambda i: F.try_element_at("known", i))
+    return whole.select(every).scalar()
+
+
+def _all_labels(db: Survey, fields: Mapping[str, str], row_id: str, ids: DataFrame) -> DataFrame:
+    """The labels of all id columns, by row: ids one below the other, one join, and back beside each other."""
+    held = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("id")) for f in fields])
+    rows = one_each(ids, [row_id], held, "held").select(row_id, "held.field", F.col("held.id").alias("id"))
+    rows = rows.where(F.col("id").isNotNull())
+    labels = db["nomenclature"].select(F.col("id_nomenclature").alias("id"), "label_fr")
+    found = spread_join(rows, labels, "id", [row_id, "field"], hot_keys(rows, "id"))
+    own = [F.max(F.when(F.col("field") == f, F.col("label_fr"))).alias(label) for f, label in fields.items()]
+    return found.groupBy(row_id).agg(*own)
+
+
 def with_labels(
     db: Survey, frame: DataFrame, fields: Mapping[str, str], row_id: Sequence[str], ids: DataFrame
 ) -> DataFrame:
     """Replace id columns by labels: `fields` maps id column -> label column.
 
-    An id that is NULL or unknown gives a NULL label. `ids` holds the same id columns and is
-    cheap to read; it is looked at only if the vocabulary is too large to broadcast.
+    An id that is NULL or unknown gives a NULL label. Labels of a vocabulary with few ids are looked up
+    by position, those of one that fits a broadcast are joined. `ids` holds the same id columns and the
+    row's id, is cheap to read, and is looked at only if the vocabulary is too large for that: then one join
+    serves all columns.
     """
+    kept = [name for name in frame.columns if name not in fields]
+    if db.dense("nomenclature", "id_nomenclature"):
+        labels = label_list(db)
+        found = [F.get(labels, F.col(field)).alias(label) for field, label in fields.items()]
+        return frame.select(*kept, *found)
     entries = db["nomenclature"]
     fits = db.fits("nomenclature")
+    if not fits and len(fields) > 1:
+        labels = _all_labels(db, fields, row_id[0], ids)
+        return fact_join(frame.select(*kept), labels, row_id[0], "left")
     for field in fields:
         labels = entries.select(
             F.col("id_nomenclature").alias(field), F.col("label_fr").alias(f"_label_{field}")
@@ -92,7 +127,6 @@ def with_labels(
         frame = join_dimension(
             frame, labels, field, row_id, fits, how="left", hot=partial(hot_keys, ids, field)
         )
-    kept = [name for name in frame.columns if name not in fields and not name.startswith("_label_")]
     return frame.select(
         *kept, *[F.col(f"_label_{field}").alias(label) for field, label in fields.items()]
     )

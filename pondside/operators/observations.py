@@ -11,9 +11,9 @@ from pondside.schemas import COUNT_FIELDS, OBSERVATION_PAYLOAD, OBSERVATION_VOCA
 from pondside.sources.tables import Survey
 
 
-def _records(db: Survey, module_code: str | None) -> tuple[DataFrame, DataFrame]:
+def _records(db: Survey, module_code: str | None, joined: bool) -> tuple[DataFrame, DataFrame]:
     """Observations of a module and, where they are few, their complements alone; the rest of these joins nothing."""
-    observations = for_module(db, db["observations"], module_code)
+    observations = for_module(db, db["observations"], module_code, joined)
     complements = db["observation_complements"]
     if module_code is None or not few_visits(db, module_code):
         return observations, complements
@@ -23,14 +23,17 @@ def _records(db: Survey, module_code: str | None) -> tuple[DataFrame, DataFrame]
     return observations, complements
 
 
-def visit_summary(db: Survey, module_code: str | None = None) -> DataFrame:
+def visit_summary(
+    db: Survey, module_code: str | None = None, joined: bool = False
+) -> DataFrame:
     """Diversity, taxon names and summed counts of each visit with an observation.
 
     Observations without a complement or a known taxon still count. Rows are first reduced to
     one per visit and taxon, so a visit or taxon holding much of the data is summed before it
-    is looked up and gathered. With a module, only its visits have a row.
+    is looked up and gathered. With a module, only its visits have a row; where a join to them
+    follows (`joined`), others may have one too.
     """
-    records, complements = _records(db, module_code)
+    records, complements = _records(db, module_code, joined)
     observations = records.select("id_observation", "id_base_visit", "cd_nom")
     counts = with_payload(complements, ints(COUNT_FIELDS))
     per_taxon = (
@@ -56,12 +59,14 @@ def visit_summary(db: Survey, module_code: str | None = None) -> DataFrame:
     )
 
 
-def known_observations(db: Survey, module_code: str | None = None) -> DataFrame:
+def known_observations(
+    db: Survey, module_code: str | None = None, joined: bool = False
+) -> DataFrame:
     """Observations with a complement and a known taxon; vocabulary columns still hold ids.
 
-    With a module, only those of its visits.
+    With a module, only those of its visits; others too where a join to these follows (`joined`).
     """
-    records, complements = _records(db, module_code)
+    records, complements = _records(db, module_code, joined)
     observations = records.withColumnRenamed("comments", "commentaire_obs")
     described = fact_join(
         observations, with_payload(complements, OBSERVATION_PAYLOAD), "id_observation"
@@ -84,7 +89,7 @@ def with_visit(db: Survey, visits: DataFrame, module_code: str) -> DataFrame:
     their key.
     """
     hot = db.hot_keys("observations", "id_base_visit")
-    known = known_observations(db, module_code)
+    known = known_observations(db, module_code, joined=True)
     return spread_join(known, visits, "id_base_visit", ["id_observation"], hot)
 
 

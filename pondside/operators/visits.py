@@ -3,13 +3,14 @@
 from pyspark.sql import DataFrame, functions as F
 
 from pondside.functions.payload import json_text, one_each, unquoted, with_payload
-from pondside.functions.text import full_name, joined_distinct
+from pondside.functions.text import full_name, joined as joined_text, joined_distinct
 from pondside.operators.joins import fact_join, join_dimension
-from pondside.operators.lookups import for_module, of_module, with_labels
+from pondside.operators.lookups import for_module, label_list, of_module, with_labels
 from pondside.operators.sites import site_areas, site_dim
 from pondside.schemas import (
     METHODS_FIELD,
     METHODS_PAYLOAD,
+    SITE_VOCABULARY,
     VISIT_PAYLOAD,
     VISIT_VOCABULARY,
     ints,
@@ -43,10 +44,12 @@ def visit_dataset(db: Survey) -> DataFrame:
     return visits.select("id_base_visit", "id_dataset", "jeu_de_donnees")
 
 
-def visit_observers(db: Survey, module_code: str | None = None) -> DataFrame:
+def visit_observers(
+    db: Survey, module_code: str | None = None, joined: bool = False
+) -> DataFrame:
     """Observers of each visit that has one, in the order of their ids, and their organisations.
 
-    With a module, only those of its visits.
+    With a module, only those of its visits; others too where a join to these follows (`joined`).
     """
     db.measure("roles", "organisations")
     members = join_dimension(
@@ -61,13 +64,13 @@ def visit_observers(db: Survey, module_code: str | None = None) -> DataFrame:
     people = members.select(
         "id_role", full_name("nom_role", "prenom_role").alias("name"), "nom_organisme"
     )
-    bridge = for_module(db, db["visit_observers"], module_code)
+    bridge = for_module(db, db["visit_observers"], module_code, joined)
     listed = join_dimension(
         bridge,
         people,
         "id_role",
         ["id_base_visit", "id_role"],
-        db.fits("roles"),
+        db.fits("roles", db.widened("roles", "organisations")),
         hot=lambda: db.hot_keys("visit_observers", "id_role"),
     )
     grouped = listed.groupBy("id_base_visit").agg(
@@ -83,8 +86,8 @@ def visit_observers(db: Survey, module_code: str | None = None) -> DataFrame:
 
 
 def _method_labels(db: Survey, module_code: str | None = None) -> DataFrame:
-    """Labels of the methods of each visit that names one."""
-    complements = for_module(db, db["visit_complements"], module_code)
+    """Labels of the methods of each visit that names one, for a vocabulary that has to be joined."""
+    complements = for_module(db, db["visit_complements"], module_code, joined=True)
     documents = with_payload(complements, METHODS_PAYLOAD)
     methods = one_each(documents, ["id_base_visit"], F.col(METHODS_FIELD), "method")
     row_id = ["id_base_visit", "method"]
@@ -94,8 +97,18 @@ def _method_labels(db: Survey, module_code: str | None = None) -> DataFrame:
     )
 
 
+def _with_method_text(db: Survey, visits: DataFrame) -> DataFrame:
+    """Replace the ids of the methods by the text of their labels, looked up by position."""
+    listed = visits.withColumn("_labels", label_list(db))
+    labels = F.transform(METHODS_FIELD, lambda entry: F.get("_labels", entry))
+    text = joined_text(F.array_sort(F.array_distinct(F.array_compact(labels))), " ; ")
+    return listed.withColumn("methodes_prospection", text).drop("_labels", METHODS_FIELD)
+
+
 def visit_methods(db: Survey) -> DataFrame:
     """Methods of each visit with a complement, as text; NULL when it names none."""
+    if db.dense("nomenclature", "id_nomenclature"):
+        return _with_method_text(db, with_payload(db["visit_complements"], METHODS_PAYLOAD))
     visits = db["visit_complements"].select("id_base_visit")
     return fact_join(visits, _method_labels(db), "id_base_visit", "left")
 
@@ -119,20 +132,24 @@ def json_raw_text(db: Survey) -> DataFrame:
     )
 
 
-def visit_core(db: Survey, module_code: str, with_areas: bool = False) -> DataFrame:
+def visit_core(
+    db: Survey, module_code: str, with_areas: bool = False, with_methods: bool = False
+) -> DataFrame:
     """Kept visits of a module with their site; condition columns still hold vocabulary ids.
 
     A visit is kept when it has a complement and its site has a complement and a group.
     The site comes first, while visit rows are narrow; everything after that is joined on
     `id_base_visit`, so the wide rows move once. There is one row per site, and its areas come
-    from the bridge, so the sizes of these two tables bound what is broadcast.
+    from the bridge; rows of these tables times the widest rows they take bound what is broadcast.
+    Methods, if asked for, are still ids.
     """
     db.measure(*CORE_DIMENSIONS)
     sites = site_dim(db)
-    few_sites = db.fits("sites")
+    gained = db.widened("sites", "sites_groups", "altitude_cells", *["nomenclature"] * len(SITE_VOCABULARY))
     if with_areas:
         sites = fact_join(sites, site_areas(db), "id_base_site", "left")
-        few_sites = few_sites and db.fits("site_areas")
+        gained += db.widened("site_areas", "areas", "area_types")
+    few_sites = db.fits("sites", gained) and (not with_areas or db.fits("site_areas"))
     visits = _with_dataset(db, of_module(db, db["visits"], module_code))
     placed = join_dimension(
         visits,
@@ -142,9 +159,9 @@ def visit_core(db: Survey, module_code: str, with_areas: bool = False) -> DataFr
         few_sites,
         hot=lambda: db.hot_keys("visits", "id_base_site"),
     )
-    documents = for_module(db, db["visit_complements"], module_code)
-    complements = _with_texts(with_payload(documents, VISIT_PAYLOAD))
-    return fact_join(placed, complements, "id_base_visit")
+    documents = for_module(db, db["visit_complements"], module_code, joined=True)
+    payload = f"{VISIT_PAYLOAD}, {METHODS_PAYLOAD}" if with_methods else VISIT_PAYLOAD
+    return fact_join(placed, _with_texts(with_payload(documents, payload)), "id_base_visit")
 
 
 def with_conditions(db: Survey, visits: DataFrame) -> DataFrame:
@@ -155,9 +172,13 @@ def with_conditions(db: Survey, visits: DataFrame) -> DataFrame:
 
 
 def with_people_and_methods(db: Survey, visits: DataFrame, module_code: str) -> DataFrame:
-    """Add observers, organisations and methods to the visits of a module."""
-    observed = fact_join(visits, visit_observers(db, module_code), "id_base_visit", "left")
-    return fact_join(observed, _method_labels(db, module_code), "id_base_visit", "left")
+    """Add observers and organisations to the visits of a module, and the text of their methods."""
+    people = visit_observers(db, module_code, joined=True)
+    observed = fact_join(visits, people, "id_base_visit", "left")
+    if db.dense("nomenclature", "id_nomenclature"):
+        return _with_method_text(db, observed)
+    methods = _method_labels(db, module_code)
+    return fact_join(observed.drop(METHODS_FIELD), methods, "id_base_visit", "left")
 
 
 def visit_flow(db: Survey, module_code: str) -> DataFrame:

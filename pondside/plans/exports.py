@@ -33,7 +33,7 @@ def _export_visits(db: Survey, module_code: str) -> DataFrame:
     """Kept visits with all the exports show of them, areas still as arrays."""
     db.measure(*DIMENSIONS)
     visits = with_people_and_methods(
-        db, visit_core(db, module_code, with_areas=True), module_code
+        db, visit_core(db, module_code, with_areas=True, with_methods=True), module_code
     )
     return with_conditions(db, visits).select(
         "*",
@@ -64,7 +64,7 @@ def export_standard(db: Survey, module_code: str) -> DataFrame:
 
 def export_analyses(db: Survey, module_code: str) -> DataFrame:
     """One row per kept visit, commune, department and protected area, with or without observation."""
-    summary = visit_summary(db, module_code).withColumnsRenamed(
+    summary = visit_summary(db, module_code, joined=True).withColumnsRenamed(
         {"count_min": "abondance_total_min", "count_max": "abondance_total_max"}
     )
     visits = _export_visits(db, module_code).select(

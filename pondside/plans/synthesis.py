@@ -34,7 +34,7 @@ def additional_data(db: Survey, module_code: str) -> DataFrame:
 def synthesis_feed(db: Survey, module_code: str) -> DataFrame:
     """One row per kept observation, keyed by source and observation id."""
     db.measure(*CORE_DIMENSIONS, "roles", "taxref")
-    people = visit_observers(db, module_code).drop("organismes_rattaches")
+    people = visit_observers(db, module_code, joined=True).drop("organismes_rattaches")
     visits = fact_join(visit_core(db, module_code), people, "id_base_visit", "left")
     described = with_conditions(db, visits).withColumn("additional_data", _additional_data())
     needed = described.select(

@@ -5,10 +5,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pondside.operators.joins import hot_keys, measure
+from pondside.operators.joins import Size, hot_keys, sizes
 from pondside.schemas import KEPT_PAYLOADS, PAYLOAD, RELATIONS
 
 
+# Rows of a small relation are looked up by position if all ids are below this.
+DENSE_IDS = 10_000
+
+
 @dataclass(frozen=True)
 class Grid:
     """Raster of the altitude cells: a cell covers [x0, x0 + width) by [y0, y0 + height)."""
@@ -26,7 +30,8 @@ class Survey:
         self._load = load
         self.grid = grid
         self._tables: dict[str, DataFrame] = {}
-        self._fits: dict[str, bool] = {}
+        self._sizes: dict[str, Size] = {}
+        self._dense: dict[tuple[str, str], bool] = {}
         self._hot: dict[tuple[str, str], list] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -36,20 +41,32 @@ class Survey:
 
     def frame_fits(self, name: str, build: Callable[[], DataFrame]) -> bool:
         """The same for a frame derived from the relations, sized once under the name given."""
-        if name not in self._fits:
-            self._fits.update(measure({name: build()}))
-        return self._fits[name]
+        if name not in self._sizes:
+            self._sizes.update(sizes({name: build()}))
+        return self._sizes[name].fits()
 
     def measure(self, *names: str) -> None:
         """Size several relations in one job, ahead of the joins that ask for them."""
-        todo = {name: self[name] for name in names if name not in self._fits}
+        todo = {name: self[name] for name in names if name not in self._sizes}
         if todo:
-            self._fits.update(measure(todo))
+            self._sizes.update(sizes(todo))
 
-    def fits(self, name: str) -> bool:
-        """Whether the relation, as measured, is small enough to broadcast."""
+    def fits(self, name: str, more: int = 0) -> bool:
+        """Whether the relation, as measured, and so many bytes besides are small enough to broadcast."""
         self.measure(name)
-        return self._fits[name]
+        return self._sizes[name].fits(more)
+
+    def widened(self, name: str, *others: str) -> int:
+        """Bytes that rows of a relation gain at most when each takes a row of every other relation named."""
+        self.measure(name, *others)
+        return self._sizes[name].rows * sum(self._sizes[other].widest for other in others)
+
+    def dense(self, name: str, key: str) -> bool:
+        """Whether a small relation's ids are few enough from 0 on to look its rows up by position."""
+        if (name, key) not in self._dense:
+            ends = self[name].agg(F.min(key), F.max(key)).first()
+            self._dense[name, key] = ends[0] is None or (ends[0] >= 0 and ends[1] < DENSE_IDS)
+        return self.fits(name) and self._dense[name, key]
 
     def hot_keys(self, name: str, key: str) -> list:
         """The few values of `key` that hold much of the relation."""
