@@ -19,13 +19,16 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
 PIECE = 32_768
 WINDOW = 8
-CACHE = 300_000
+CACHE = 200_000
+# Bytes of text whose tokens are held at a time.
+SLICE = 1_000_000
 # Fixed values of the byte-level scheme: its splitting pattern, and the bytes that stand for themselves.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Characters that every version of Unicode's tables puts into the same class, as far as the pattern tells them apart.
@@ -60,6 +63,8 @@ class Codec:
         self.special_cut = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         self.pattern, self.settled = regex.compile(SPLIT), regex.compile(SETTLED)
         self.known: dict[str, tuple[int, ...]] = {}
+        # One object for each number, shared by all words that are remembered.
+        self.numbers = {number: number for number in self.bytes_of}
 
     def split(self, text: str) -> list[str]:
         """The words of a text; where tables may differ, as the library itself cuts them."""
@@ -87,7 +92,7 @@ class Codec:
                     if len(word) < 64:
                         if len(known) >= CACHE:
                             known.clear()
-                        known[word] = found
+                        known[word] = tuple(map(self.numbers.__getitem__, found))
                 ids += found
         return ids
 
@@ -145,12 +150,14 @@ def pieces(codec: Codec, text: str, size: int = PIECE) -> Iterator[tuple[str, bo
                 yield part, False
                 continue
             kept: list[str] = []
+            held = 0
             for word in codec.split(part):
-                if kept and sum(map(len, kept)) + len(word) > size:
+                if kept and held + len(word) > size:
                     yield from _apart(kept)
-                    kept = []
+                    kept, held = [], 0
                 if len(word) <= size:
                     kept.append(word)
+                    held += len(word)
                     continue
                 short = halves(word, size)
                 for k, half in enumerate(short):
@@ -177,18 +184,23 @@ def _lists(values: list[list[int]]) -> pa.ListArray:
     return pa.ListArray.from_arrays(ends, flat)
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch, so that the tokens of few texts are held at a time."""
-    for at in range(0, batch.num_rows, 256):
-        yield batch.slice(at, 256)
+def _slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of up to SLICE bytes of text, so that the tokens of few texts are held at a time; a longer text alone."""
+    sizes = np.cumsum(pc.binary_length(batch.column(text)).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        before = sizes[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(sizes, before + SLICE, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
 
 
 def _whole(spec) -> Callable:
     def run(batches):
         c = codec(spec.value)
         for batch in batches:
-            for part in _slices(batch):
-                ids = [c.encode(t or "") for t in part.column("text").to_pylist()]
+            for part in _slices(batch, "text"):
+                ids = [c.encode(t) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("key"), _lists(ids), pa.array([c.decode(i) for i in ids], pa.string())],
                     names=["key", "ids", "decoded"],
@@ -201,7 +213,8 @@ def _cut(spec, size: int) -> Callable:
     def run(batches):
         c = codec(spec.value)
         for batch in batches:
-            for key, row, text in zip(*(batch.column(n).to_pylist() for n in ("key", "row_id", "text")), strict=True):
+            for at in range(batch.num_rows):
+                key, row, text = (batch.column(n)[at].as_py() for n in ("key", "row_id", "text"))
                 made = list(pieces(c, text, size))
                 yield pa.RecordBatch.from_pydict(
                     {
@@ -220,10 +233,11 @@ def _encode_pieces(spec) -> Callable:
     def run(batches):
         c = codec(spec.value)
         for batch in batches:
-            texts, on = batch.column("piece").to_pylist(), batch.column("goes_on").to_pylist()
-            ids = [c.merge(t.encode()) if g else c.encode(t) for t, g in zip(texts, on, strict=True)]
-            kept = [batch.column(n) for n in ("key", "row_id", "seq", "goes_on")]
-            yield pa.RecordBatch.from_arrays([*kept, _lists(ids)], names=["key", "row_id", "seq", "goes_on", "ids"])
+            for part in _slices(batch, "piece"):
+                texts, on = part.column("piece").to_pylist(), part.column("goes_on").to_pylist()
+                ids = [c.merge(t.encode()) if g else c.encode(t) for t, g in zip(texts, on, strict=True)]
+                kept = [part.column(n) for n in ("key", "row_id", "seq", "goes_on")]
+                yield pa.RecordBatch.from_arrays([*kept, _lists(ids)], names=["key", "row_id", "seq", "goes_on", "ids"])
 
     return run
 
