@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -27,14 +28,28 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def stored(frame: DataFrame, name: str) -> DataFrame:
+def stored(frame: DataFrame, name: str, **options: str) -> DataFrame:
     """The rows of `frame`, written as a table in the shared folder and read from there, so that
-    they are computed once and outlive any executor."""
+    they are computed once and outlive any executor. `options` are those of the Parquet writer."""
     path = f"{shared_folder(frame.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
+    frame.write.options(**options).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def removed(frame: DataFrame) -> None:
+    """Removes the files of a `stored` table that nothing reads any more."""
+    spark = frame.sparkSession
+    folders = {name.rpartition("/")[0] for name in frame.inputFiles()}
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is computed once, however often `use` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def words_of(text: Column) -> Column:
     """Number of words; 0 for NULL."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -11,7 +11,7 @@ characters from that run. Lines with equal remains (of the same place, or one a
 one edit; each remain passes on its earliest line only, so no pairs of a group are listed. The edit distance to
 that line is verified on the texts.
 
-Defined results: NULL texts are empty, with one empty line; rows without id come before all others; equal rows are
+Defined results: texts of any length and number of lines are taken whole, in time that grows with them; NULL texts are empty, with one empty line; rows without id come before all others; equal rows are
 told apart by their place in the table, the first of them is the earliest; an empty table gives no rows. Other
 columns are carried along untouched. `docs` must be a table that is read alike twice, as files are.
 """
@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pondside.llm.common import stored
+from pondside.llm.common import let, stored
 
 PARTS, SHORTEST = 4, 6
 LEAST_CHARS = 1
@@ -141,7 +141,8 @@ def deduped(docs: DataFrame, identity: str, text: str) -> DataFrame:
     split = F.split("text", "\n")
     marked = numbered.join(F.broadcast(gone) if few else gone, "place", "left")
     left = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("gone"))
-    kept = F.array_join(F.transform(left, lambda i: F.element_at(split, i + 1)), "\n")
+    # The text is split once, whatever the number of lines.
+    kept = F.array_join(let(split, lambda lines: F.transform(left, lambda i: F.element_at(lines, i + 1))), "\n")
     return marked.select(
         "row",
         F.size(split).alias("lines"),

@@ -15,11 +15,9 @@ fingerprints. The cost of a text grows with its length and the sort of its hashe
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pondside.llm.common import stored
+from pondside.llm.common import let, stored
 
 WORDS = 5
 BINS, BITS = 256, 4
@@ -31,11 +29,6 @@ _ONES = sum(1 << BITS * lane for lane in range(_LANES))
 _TOP = 64 - (BINS.bit_length() - 1)
 
 
-def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """`use` of a value that is computed once, however often `use` names it."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _hashes(text: Column) -> Column:
     """The hash of every shingle, ascending; NULL for a text without a word."""
     blanks = F.lit(BLANKS)
