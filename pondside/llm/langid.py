@@ -10,7 +10,8 @@ part in the join; results do not depend on it. Log frequencies are counted in un
 
 Defined results: a NULL text or one without a letter is `und` with score 0; rows without a language teach
 nothing; ties go to the language with more words learned, then by name; with nothing to learn from all are `und`;
-an empty table gives no rows. Only the columns asked for are read.
+an empty table gives no rows; texts and words of any length are read whole, in time that grows with them; equal rows get equal
+results. Only the columns asked for are read.
 """
 
 from __future__ import annotations
@@ -23,11 +24,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from pondside.llm.common import stored
+from pondside.llm.common import let, removed, stored
 
 LONGEST = 4
+# Letters of a word whose n-grams are made together; longer words are cut, and a hash stands for them.
+CHUNK = 256
 SMOOTH = 0.5
 UNIT = 1 << 32
 # Words sent to every executor, fewer where there are so many languages that they would be more than CELLS numbers.
@@ -99,7 +102,7 @@ def train(docs: DataFrame, text: str, lang: str) -> Model:
     """A model of the documents that have a language. One row for each language passes the driver, and the cached words."""
     rows = docs.filter(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     counts = rows.mapInArrow(_counted, "lang string, word string, n long")
-    counts = stored(counts.groupBy("lang", "word").agg(F.sum("n").alias("n")), "langid-words")
+    counts = stored(counts.groupBy("lang", "word").agg(F.sum("n").alias("n")), "langid-words", compression="zstd")
     sizes = range(1, LONGEST + 1)
     room = [F.sum(F.col("n") * F.greatest(F.length("word") + 3 - size, F.lit(0))).alias(f"g{size}") for size in sizes]
     totals = counts.groupBy("lang").agg(F.sum("n").alias("n"), *room).orderBy(F.col("n").desc(), "lang").collect()
@@ -107,16 +110,18 @@ def train(docs: DataFrame, text: str, lang: str) -> Model:
     if not langs:
         return Model([])
     places = docs.sparkSession.createDataFrame(list(enumerate(langs)), "k int, lang string")
-    units = stored(_entries(counts, "word", places), "langid-vectors")
-    padded = F.concat(F.lit(" "), "word", F.lit(" "))
+    units = stored(_entries(counts, "word", places), "langid-vectors", compression="zstd")
+    parts = counts.select("lang", "n", F.explode(_chunks(F.col("word"))).alias("chunk"))
 
     def cut(size):
         # The function takes one argument: a second one would be given the place in the array.
-        every = F.transform(F.sequence(F.lit(1), F.length("word") + 3 - size), lambda i: padded.substr(i, F.lit(size)))
-        return F.when(F.length("word") + 2 >= size, every).otherwise(F.array().cast("array<string>"))
+        last = F.least(F.lit(CHUNK), F.length("chunk") + 1 - size)
+        every = F.transform(F.sequence(F.lit(1), last), lambda i: F.col("chunk").substr(i, F.lit(size)))
+        return F.when(last >= 1, every).otherwise(F.array().cast("array<string>"))
 
-    grams = counts.select("lang", "n", F.explode(F.concat(*map(cut, sizes))).alias("gram")).groupBy("gram", "lang").agg(F.sum("n").alias("n"))
-    grams = stored(_entries(grams, "gram", places), "langid-grams")
+    grams = parts.select("lang", "n", F.explode(F.concat(*map(cut, sizes))).alias("gram")).groupBy("gram", "lang").agg(F.sum("n").alias("n"))
+    grams = stored(_entries(grams, "gram", places), "langid-grams", compression="zstd")
+    removed(counts)
     known = {r["size"]: r["count"] for r in grams.groupBy(F.length("gram").alias("size")).count().collect()}
     known[0] = units.count()
     room = np.array([[r["n"], *(r[f"g{size}"] for size in sizes)] for r in totals], float).T
@@ -133,43 +138,70 @@ def train(docs: DataFrame, text: str, lang: str) -> Model:
     return Model(langs, units, grams, base, cached, table)
 
 
+def _chunks(word: Column) -> Column:
+    """The word between two blanks, cut into parts of CHUNK letters; each has the letters behind it that an n-gram may reach to."""
+    starts = F.sequence(F.lit(1), F.length(word) + 2, F.lit(CHUNK))
+    return let(
+        F.concat(F.lit(" "), word, F.lit(" ")),
+        lambda padded: F.transform(starts, lambda at: padded.substr(at, F.lit(CHUNK + LONGEST - 1))),
+    )
+
+
+def _key(word: Column) -> Column:
+    """What stands for a word in joins and groups: itself, or a hash of a very long one."""
+    return F.when(F.length(word) > CHUNK, F.concat(F.lit("#"), F.sha2(word, 256))).otherwise(word)
+
+
 def _backed_off(unseen: DataFrame, grams: DataFrame) -> DataFrame:
-    """(`word`, `entries`): the mean over the places of each word, of the longest n-gram known at each."""
-    grams = F.broadcast(grams) if grams.count() <= SENT_GRAMS else grams
-    padded = F.concat(F.lit(" "), "word", F.lit(" "))
-    places = unseen.select("word", F.explode(F.sequence(F.lit(1), F.length("word") + 1)).alias("at"))
-    sizes = F.sequence(F.lit(1), F.least(F.lit(LONGEST), F.length("word") + 3 - F.col("at")))
-    tried = places.select("word", "at", F.explode(sizes).alias("size"))
-    tried = tried.withColumn("gram", padded.substr(F.col("at"), F.col("size")))
-    longest = tried.join(grams.select("gram"), "gram", "left_semi").groupBy("word", "at").agg(F.max("size").alias("size"))
-    found = longest.withColumn("gram", padded.substr(F.col("at"), F.col("size"))).join(grams, "gram")
+    """(`key`, `entries`): the mean over the places of each word, of the longest n-gram known at each."""
+    few = grams.count() <= SENT_GRAMS
+    grams = F.broadcast(grams) if few else grams
+    parts = unseen.select(_key(F.col("word")).alias("key"), F.posexplode(_chunks(F.col("word"))).alias("part", "chunk"))
+    # The blank behind a word is no place of its own; it ends the last part, which is less than a full one.
+    last = F.least(F.lit(CHUNK), F.length("chunk") - F.when(F.length("chunk") < CHUNK + LONGEST - 1, 1).otherwise(0))
+    places = parts.filter(last >= 1).select("key", "part", "chunk", F.explode(F.sequence(F.lit(1), last)).alias("at"))
+    sizes = F.sequence(F.lit(1), F.least(F.lit(LONGEST), F.length("chunk") + 1 - F.col("at")))
+    tried = places.select("key", "part", "chunk", "at", F.explode(sizes).alias("size"))
+    gram = F.col("chunk").substr(F.col("at"), F.col("size"))
+    own = ["key", "part", "chunk", "at"]
+    longest = tried.withColumn("gram", gram).join(grams.select("gram"), "gram", "left_semi").groupBy(own).agg(F.max("size").alias("size"))
+    longest = longest.select("key", "size", gram.alias("gram"))
+    # Where n-grams are sent, the places of a word meet before they take a row for each language.
+    found = (longest.repartition("key") if few else longest).join(grams, "gram")
     counted = F.array(F.struct((-1 - F.col("size")).alias("k"), F.lit(UNIT).alias("x")))
-    sums = found.select("word", F.inline(F.concat(counted, "entries"))).groupBy("word", "k").agg(F.sum("x").alias("x"))
-    sums = sums.groupBy("word").agg(
+    sums = found.select("key", F.inline(F.concat(counted, "entries"))).groupBy("key", "k").agg(F.sum("x").alias("x"))
+    sums = sums.groupBy("key").agg(
         F.collect_list(F.struct("k", "x")).alias("entries"), F.sum(F.when(F.col("k") < 0, F.col("x"))).alias("places")
     )
     # Counts as one word.
     mean = F.transform("entries", lambda e: F.struct(e["k"].alias("k"), F.round(e["x"] / (F.col("places") / UNIT)).cast("long").alias("x")))
-    return sums.select("word", mean.alias("entries"))
+    return sums.select("key", mean.alias("entries"))
 
 
 def _looked_up(first: DataFrame, model: Model) -> DataFrame:
     """(`place`, `entries`): the sums over the words of each text that are not cached."""
     pairs = first.select("place", F.inline("rare"))
     wanted = pairs.groupBy("word").agg(F.count("*").alias("texts"))
-    wanted = stored(wanted.join(model.words.select("word", "entries"), "word", "left"), "langid-wanted")
+    wanted = stored(wanted.join(model.words.select("word", "entries"), "word", "left"), "langid-wanted", compression="zstd")
     counted = F.array(F.struct(F.lit(-1).alias("k"), F.lit(UNIT).alias("x")))
-    seen = wanted.filter("entries IS NOT NULL").select("word", F.concat(counted, "entries").alias("entries"))
+    key = _key(F.col("word")).alias("key")
+    seen = wanted.filter("entries IS NOT NULL").select(key, F.concat(counted, "entries").alias("entries"))
     unseen = wanted.filter("entries IS NULL")
-    vectors = stored(seen.unionByName(_backed_off(unseen, model.grams)), "langid-found")
+    vectors = seen.unionByName(_backed_off(unseen, model.grams))
+    # Two lists of numbers move in less room than one of pairs.
+    vectors = stored(vectors.select("key", F.col("entries.k").alias("ks"), F.col("entries.x").alias("xs")), "langid-found", compression="zstd")
     # A word that is common in the texts, though not where it was learned, does not go to one task.
-    common = wanted.orderBy(F.col("texts").desc(), "word").limit(COMMON).select("word")
+    common = wanted.orderBy(F.col("texts").desc(), "word").limit(COMMON).select(key)
     common = F.broadcast(stored(common, "langid-common"))
-    near = pairs.join(F.broadcast(vectors.join(common, "word")), "word")
-    far = pairs.join(common, "word", "left_anti").join(vectors, "word")
-    both = near.unionByName(far).select("place", "n", F.inline("entries"))
-    sums = both.select("place", "k", (F.col("n") * F.col("x")).alias("x")).repartition("place")
-    return sums.groupBy("place", "k").agg(F.sum("x").alias("x")).groupBy("place").agg(F.collect_list(F.struct("k", "x")).alias("entries"))
+    removed(wanted)
+    pairs = pairs.select("place", key, "n")
+    near = pairs.join(F.broadcast(vectors.join(common, "key")), "key")
+    far = pairs.join(common, "key", "left_anti").join(vectors, "key")
+    moved = near.unionByName(far).select("place", "n", "ks", "xs").repartition("place")
+    # A row for each language only after the move.
+    each = moved.select("place", "n", F.inline(F.arrays_zip("ks", "xs")))
+    sums = each.groupBy("place", F.col("ks").alias("k")).agg(F.sum(F.col("n") * F.col("xs")).alias("x"))
+    return sums.groupBy("place").agg(F.collect_list(F.struct("k", "x")).alias("entries"))
 
 
 def predict(docs: DataFrame, model: Model, text: str) -> DataFrame:
@@ -238,6 +270,6 @@ def predict(docs: DataFrame, model: Model, text: str) -> DataFrame:
             )
 
     first = f"row {kind}, place long, sums array<long>, times long, rare array<struct<word:string,n:bigint>>"
-    first = stored(rows.mapInArrow(begun, first), "langid-texts")
+    first = stored(rows.mapInArrow(begun, first), "langid-texts", compression="zstd")
     scored = first.drop("rare").join(_looked_up(first, model), "place", "left")
     return scored.select("row", "sums", "times", "entries").mapInArrow(ended, f"row {kind}, lang_pred string, score double")
