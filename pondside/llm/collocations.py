@@ -37,7 +37,7 @@ from pondside.operators.joins import hot_keys, spread_join
 LONGEST = 5
 FILTER = 1 << 26
 # Bytes of text looked at together, and runs a task holds before it sums them and passes them on, ROWS in a batch.
-SLICE, HELD, ROWS = 500_000, 500_000, 50_000
+SLICE, HELD, ROWS = 250_000, 250_000, 50_000
 # What ends a piece, and words; the blanks between them are space and tab.
 MARKS, WORDS = "[.,;:!?\n-\r]+", r"[^\x20\x09.,;:!?\x0A-\x0D]+"
 UNKNOWN = "und"

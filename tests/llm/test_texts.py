@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 
 import pytest
 import xxhash
@@ -306,3 +307,50 @@ def test_empty_tables_give_no_rows(documents, spark):
     assert langid.predict(docs, langid.train(docs, "text", "lang"), "text").count() == 0
     assert quality.scored(docs, quality.train(docs, labels, "doc_id", "text", "label"), "text").count() == 0
     assert toxicity.scored(docs, toxicity.train(docs, labels, "doc_id", "text", "label"), "text").count() == 0
+
+
+def test_line_dedup_of_one_text_of_many_lines(documents):
+    lines = [f"{i:07d} " + "ligne" * (i % 9) for i in range(40_000)]
+    lines = [x for line in lines for x in (line, "la même ligne partout")]
+    start = time.monotonic()
+    row = linededup.deduped(documents([(1, "\n".join(lines))]), "doc_id", "text").first()
+    assert time.monotonic() - start < 60
+    kept = row["kept"].split("\n")
+    assert kept[:2] == lines[:2] and kept.count(lines[1]) == 1 and len(row["removed"]) + len(kept) == len(lines)
+
+
+def test_language_of_very_long_words(documents):
+    draw = random.Random(5)
+    long = {lang: "".join(draw.choices(letters, k=300_000)) for lang, letters in (("xa", "abcde"), ("xb", "defgh"))}
+    start = time.monotonic()
+    model = langid.train(documents([(i, text, lang) for i, (lang, text) in enumerate(long.items())]), "text", "lang")
+    asked = [(1, "".join(draw.choices("abcd", k=200_000))), (2, "".join(draw.choices("efgh", k=langid.CHUNK * 3 + 1)) + " fgh"), (3, "z" * 300)]
+    found = langid.predict(documents(asked).drop("lang"), model, "text").select("row.doc_id", "lang_pred").collect()
+    assert time.monotonic() - start < 90
+    assert {(r["doc_id"], r["lang_pred"]) for r in found} >= {(1, "xa"), (2, "xb")}
+
+
+@pytest.mark.parametrize("chunk", [3, 5, 1000])
+def test_cutting_long_words_changes_no_language(documents, monkeypatch, chunk):
+    draw = random.Random(6)
+    rows = [(i, " ".join("".join(draw.choices(letters, k=draw.randrange(1, 14))) for _ in range(30)), lang) for i in range(8) for lang, letters in (("xa", "abcdefg"), ("xb", "cdefghi"))]
+    asked = [(i, " ".join("".join(draw.choices("abcdefghi", k=draw.randrange(1, 14))) for _ in range(6))) for i in range(40)]
+
+    def found():
+        model = langid.train(documents(rows), "text", "lang")
+        scored = langid.predict(documents(asked).drop("lang"), model, "text")
+        return sorted((r["doc_id"], r["lang_pred"], round(r["score"], 12)) for r in scored.select("row.doc_id", "lang_pred", "score").collect())
+
+    expected = found()
+    monkeypatch.setattr(langid, "CHUNK", chunk)
+    monkeypatch.setattr(langid, "SENT_GRAMS", 0)
+    assert found() == expected
+
+
+def test_bpe_of_a_long_text_without_blanks():
+    codec = bpe.codec(tokenizer_spec())
+    text = "".join(random.Random(7).choices("ABCDEFGHabcdefgh0123456789+/", k=2_000_000))
+    start = time.monotonic()
+    parts = list(bpe.pieces(codec, text))
+    assert time.monotonic() - start < 30
+    assert "".join(p for p, _ in parts) == text and max(len(p) for p, _ in parts) <= bpe.PIECE
