@@ -261,7 +261,7 @@ def _mistyped(frame: DataFrame, entity: str, key: str, fields: Mapping[str, str]
     """Documents that cannot be read, as field `data`, and fields with a value that the typed reading does not accept.
 
     The document is read twice, as the exports do and as it is; what it holds in a field is looked up only where the
-    typed reading has nothing. A key named twice makes it unreadable.
+    typed reading has nothing. A key named twice makes it unreadable, and an unreadable one has no rows by field.
     """
     typed = F.from_json("data", ", ".join(f"{name} {kind}" for name, kind in fields.items()))
     parsed = frame.select(key, "data", typed.alias("typed"), F.try_parse_json("data").alias("document"))
