@@ -15,6 +15,11 @@ def rollup_site(db: Survey) -> DataFrame:
     visits = db["visits"].groupBy("id_base_site").agg(
         F.count(F.lit(1)).alias("nb_visits"), F.max("visit_date_min").alias("last_visit")
     )
+    return site_counts(db, visits)
+
+
+def site_counts(db: Survey, visits: DataFrame) -> DataFrame:
+    """All sites with their counted visits."""
     sites = db["sites"].select("id_base_site")
     return fact_join(sites, visits, "id_base_site", "left").select(
         "id_base_site", _zero("nb_visits"), "last_visit"
@@ -23,8 +28,13 @@ def rollup_site(db: Survey) -> DataFrame:
 
 def rollup_group(db: Survey) -> DataFrame:
     """Sites and visits of each group; visits are counted per site first."""
+    return group_counts(db, db["visits"].groupBy("id_base_site").agg(F.count(F.lit(1)).alias("nb_visits")))
+
+
+def group_counts(db: Survey, visits: DataFrame) -> DataFrame:
+    """All groups with their counted sites and the counted visits of these."""
     sites = db["site_complements"].select("id_base_site", "id_sites_group")
-    visits = db["visits"].groupBy("id_base_site").agg(F.count(F.lit(1)).alias("visits"))
+    visits = visits.select("id_base_site", F.col("nb_visits").alias("visits"))
     counts = (
         fact_join(sites, visits, "id_base_site", "left")
         .groupBy("id_sites_group")
@@ -38,10 +48,14 @@ def rollup_group(db: Survey) -> DataFrame:
 
 def rollup_visit(db: Survey) -> DataFrame:
     """Observations of each visit."""
-    counts = db["observations"].groupBy("id_base_visit").agg(
-        F.count(F.lit(1)).alias("nb_observations")
+    return visit_counts(
+        db, db["observations"].groupBy("id_base_visit").agg(F.count(F.lit(1)).alias("nb_observations"))
     )
+
+
+def visit_counts(db: Survey, observations: DataFrame) -> DataFrame:
+    """All visits with their counted observations."""
     visits = db["visits"].select("id_base_visit")
-    return fact_join(visits, counts, "id_base_visit", "left").select(
+    return fact_join(visits, observations, "id_base_visit", "left").select(
         "id_base_visit", _zero("nb_observations")
     )

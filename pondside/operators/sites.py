@@ -1,5 +1,7 @@
 """Sites: coordinates, altitude, areas, and the one-row-per-site frame the plans join."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from pondside.functions.payload import with_payload
@@ -20,23 +22,41 @@ def site_coordinates(db: Survey) -> DataFrame:
     )
 
 
-def _with_cell(frame: DataFrame, grid: Grid, x: str, y: str) -> DataFrame:
-    """Add the key of the grid cell a point lies in: column number above, row number below."""
-    column = F.floor((F.col(x) - grid.x) / grid.width)
-    row = F.floor((F.col(y) - grid.y) / grid.height)
+def _with_cell(frame: DataFrame, grid: Grid, x: str, y: str, level: int = 0) -> DataFrame:
+    """Add the key of the grid cell of a level a point lies in: column number above, row number below."""
+    column = F.floor((F.col(x) - grid.x) / (grid.width / 2**level))
+    row = F.floor((F.col(y) - grid.y) / (grid.height / 2**level))
     return frame.withColumn("_cell", F.shiftleft(column, 32) + row)
 
 
-def _with_altitude(db: Survey, sites: DataFrame) -> DataFrame:
-    """Add the lowest and highest altitude at (x, y); NULL outside the cells."""
-    cells = (
-        _with_cell(db["altitude_cells"], db.grid, "x0", "y0")
-        .groupBy("_cell")
-        .agg(F.min("val").alias("altitude_min"), F.max("val").alias("altitude_max"))
+def _cells(db: Survey, level: int) -> DataFrame:
+    """Lowest and highest altitude of each cell of a level."""
+    tiles = db["altitude_cells"]
+    if "level" in tiles.columns:
+        tiles = tiles.where(F.coalesce("level", F.lit(0)) == level)
+    return _with_cell(tiles, db.grid, "x0", "y0", level).groupBy("_cell").agg(
+        F.min("val").alias("altitude_min"), F.max("val").alias("altitude_max")
     )
+
+
+def _with_altitude(db: Survey, sites: DataFrame) -> DataFrame:
+    """Add the lowest and highest altitude at (x, y) over the cells of all levels that cover it; NULL outside the cells."""
     fits = db.fits("altitude_cells")
-    keyed = _with_cell(sites, db.grid, "x", "y")
-    return join_dimension(keyed, cells, "_cell", ["id_base_site"], fits, how="left").drop("_cell")
+    levels = db.altitude_levels()
+    if levels == [0]:
+        keyed = _with_cell(sites, db.grid, "x", "y")
+        return join_dimension(keyed, _cells(db, 0), "_cell", ["id_base_site"], fits, how="left").drop("_cell")
+    # The sites' keys alone go through the levels; a level's join is one on equal cells, as there is but one level.
+    points = sites.select("id_base_site", "x", "y")
+    found = [
+        join_dimension(_with_cell(points, db.grid, "x", "y", level), _cells(db, level), "_cell", ["id_base_site"], fits)
+        .select("id_base_site", "altitude_min", "altitude_max")
+        for level in levels
+    ]
+    heights = reduce(DataFrame.unionAll, found).groupBy("id_base_site").agg(
+        F.min("altitude_min").alias("altitude_min"), F.max("altitude_max").alias("altitude_max")
+    )
+    return fact_join(sites, heights, "id_base_site", "left")
 
 
 def site_altitude(db: Survey) -> DataFrame:

@@ -91,7 +91,8 @@ def _stored(now: DataFrame, table: str) -> DataFrame:
 
 
 @contextmanager
-def _dynamic(spark: SparkSession) -> Iterator[None]:
+def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Writes replace only the partitions they have rows of."""
     before = spark.conf.get(_MODE)
     spark.conf.set(_MODE, "dynamic")
     try:
@@ -136,7 +137,7 @@ def _replace(spark: SparkSession, now: DataFrame, table: str, places: list[tuple
     """Write the partitions given anew from a feed; drop those it has no row of."""
     wanted = spark.createDataFrame(places, "id_source int, year int, part int")
     rows = now.join(F.broadcast(wanted), list(PARTITION), "left_semi").select(spark.table(table).columns)
-    with _dynamic(spark):
+    with dynamic_overwrite(spark):
         rows.write.mode("overwrite").insertInto(table)
     left = {tuple(row) for row in now.select(*PARTITION).distinct().collect()}
     for source, year, part in sorted(set(places) - left):

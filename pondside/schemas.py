@@ -67,6 +67,9 @@ RELATIONS = {
     "altitude_cells": {"x0": "double", "y0": "double", "val": "int"},
 }
 
+# Columns that a relation may have besides.
+OPTIONAL = {"altitude_cells": {"level": "int"}}
+
 # Relations that are joined on a key of their own rows. Bucketed by it they join without a shuffle,
 # and as the key is unique no bucket is larger than the others.
 BUCKET_KEYS = {

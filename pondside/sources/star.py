@@ -209,6 +209,33 @@ DERIVED = {
             CASE WHEN l_orderkey % 7 = 0 THEN concat(l_returnflag, '?') ELSE l_returnflag END
                 AS comments
         FROM $lineitem""",
+    # An earlier state of the visits: some at another site or day, some not there yet, some gone since.
+    "visits_before": """
+        SELECT id_base_visit, uuid_base_visit,
+            CASE WHEN id_base_visit % 13 = 0 THEN id_base_site + 1 ELSE id_base_site END AS id_base_site,
+            id_module, id_dataset, id_digitiser,
+            CASE WHEN id_base_visit % 19 = 0 THEN CAST('2049-05-01' AS DATE) ELSE visit_date_min END
+                AS visit_date_min, comments
+        FROM ($visits) given WHERE id_base_visit % 17 <> 0
+        UNION ALL
+        SELECT -id_base_visit, uuid_base_visit, id_base_site, id_module, id_dataset, id_digitiser,
+            CAST('2050-01-01' AS DATE), comments
+        FROM ($visits) again WHERE id_base_visit % 23 = 0""",
+    # Tiles of three levels: some split in four, some of these with finer ones in one corner.
+    "altitude_cells_mixed": """
+        SELECT x0, y0, val, 0 AS level FROM ($altitude_cells) whole WHERE val % 3 <> 0
+        UNION ALL
+        SELECT x0, y0, val, 1 FROM ($altitude_cells) a WHERE val % 3 = 0
+        UNION ALL
+        SELECT x0, y0 + 25000, val - 20, 1 FROM ($altitude_cells) b WHERE val % 3 = 0
+        UNION ALL
+        SELECT x0 + 27500, y0, val + 10, 1 FROM ($altitude_cells) c WHERE val % 3 = 0
+        UNION ALL
+        SELECT x0 + 27500, y0 + 25000, val - 10, 1 FROM ($altitude_cells) d WHERE val % 6 = 0
+        UNION ALL
+        SELECT x0, y0 + 12500, val, 2 FROM ($altitude_cells) e WHERE val % 5 = 0
+        UNION ALL
+        SELECT x0 + 13750, y0 + 12500, val - 100, 2 FROM ($altitude_cells) f WHERE val % 5 = 0""",
     "taxref": """
         SELECT p_partkey AS cd_nom, p_partkey - p_partkey % 4 AS cd_ref, p_name AS lb_nom,
             CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE p_brand END AS nom_vern,
@@ -274,6 +301,8 @@ DERIVED = {
 # Relations read from a variant of theirs, for rules and merges that the plain ones have no case for.
 DOUBLED = {"visits": "visits_twice", "visit_complements": "visit_complements_twice"}
 BEFORE = {"observations": "observations_before"}
+EARLIER = BEFORE | {"visits": "visits_before"}
+MIXED = {"altitude_cells": "altitude_cells_mixed"}
 
 
 def relation_sql(name: str, tables: dict[str, str]) -> str:

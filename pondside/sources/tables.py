@@ -6,16 +6,22 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pondside.operators.joins import Size, hot_keys, sizes
-from pondside.schemas import KEPT_PAYLOADS, PAYLOAD, RELATIONS
+from pondside.schemas import KEPT_PAYLOADS, OPTIONAL, PAYLOAD, RELATIONS
 
 
 # Rows of a small relation are looked up by position if all ids are below this.
 DENSE_IDS = 10_000
 
+# Levels of altitude cells, each half as wide as the one before.
+MOST_LEVELS = 16
+
 
 @dataclass(frozen=True)
 class Grid:
-    """Raster of the altitude cells: a cell covers [x0, x0 + width) by [y0, y0 + height)."""
+    """Raster of the altitude cells: a cell covers [x0, x0 + width) by [y0, y0 + height).
+
+    Where cells have a `level`, one of level n is 2^n times as narrow and low; its corner lies on the raster of its level.
+    """
 
     width: float = 25.0
     height: float = 25.0
@@ -33,6 +39,7 @@ class Survey:
         self._sizes: dict[str, Size] = {}
         self._dense: dict[tuple[str, str], bool] = {}
         self._hot: dict[tuple[str, str], list] = {}
+        self._levels: list[int] | None = None
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._tables:
@@ -68,6 +75,19 @@ class Survey:
             self._dense[name, key] = ends[0] is None or (ends[0] >= 0 and ends[1] < DENSE_IDS)
         return self.fits(name) and self._dense[name, key]
 
+    def altitude_levels(self) -> list[int]:
+        """The levels altitude cells have, at most MOST_LEVELS; 0 alone where they have no such column, or none there is."""
+        if self._levels is None:
+            cells = self["altitude_cells"]
+            levels = [0]
+            if "level" in cells.columns:
+                found = cells.select(F.coalesce("level", F.lit(0)).alias("level")).distinct()
+                levels = sorted(r["level"] for r in found.limit(MOST_LEVELS + 1).collect()) or [0]
+            if levels[0] < 0 or levels[-1] >= MOST_LEVELS:
+                raise ValueError(f"levels of altitude cells must be 0 to {MOST_LEVELS - 1}: {levels}")
+            self._levels = levels
+        return self._levels
+
     def hot_keys(self, name: str, key: str) -> list:
         """The few values of `key` that hold much of the relation."""
         if (name, key) not in self._hot:
@@ -113,7 +133,8 @@ def checked(name: str, frame: DataFrame) -> DataFrame:
     if wrong:
         raise ValueError(f"relation {name}: expected and found types differ: {wrong}")
     kinds = RELATIONS[name].items()
+    more = [F.col(c).cast(kind).alias(c) for c, kind in OPTIONAL.get(name, {}).items() if _holds(c, kind, found.get(c))]
     kept = [PAYLOAD] if name in KEPT_PAYLOADS and found.get(PAYLOAD, "").startswith("struct<") else []
     return frame.select(
-        *(F.col(c) if found[c] == kind else F.col(c).cast(kind).alias(c) for c, kind in kinds), *kept
+        *(F.col(c) if found[c] == kind else F.col(c).cast(kind).alias(c) for c, kind in kinds), *more, *kept
     )
