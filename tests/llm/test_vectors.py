@@ -32,8 +32,9 @@ def expected(rows, scale, k):
     return sorted(out)
 
 
-def test_exact_search_equals_brute_force(spark, monkeypatch, rows):
-    monkeypatch.setattr(vafile, "BLOCK", 150)
+@pytest.mark.parametrize("block", [20, 150, vafile.BLOCK])
+def test_exact_search_equals_brute_force(spark, monkeypatch, rows, block):
+    monkeypatch.setattr(vafile, "BLOCK", block)
     frame = spark.createDataFrame([(*r, 0.0, 0) for r in rows], SCHEMA)
     found = vafile.top_k(frame, "vec_id", "embedding", F.col("vec_id") % 20 == 0, 64, 5).collect()
     assert sorted((r[0], r[1], r[2], float(r[3])) for r in found) == expected(rows, 64, 5)
