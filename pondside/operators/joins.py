@@ -57,7 +57,7 @@ def measure(frames: Mapping[str, DataFrame]) -> dict[str, bool]:
 
 def _row_bytes(frame: DataFrame) -> Column:
     widths = [
-        F.coalesce(F.octet_length(name), F.lit(0)) if kind == "string" else F.lit(8)
+        F.coalesce(F.octet_length(name), F.lit(0)) if kind in ("string", "binary") else F.lit(8)
         for name, kind in frame.dtypes
     ]
     return sum(widths[1:], widths[0]).cast("bigint")

@@ -27,20 +27,39 @@ def few_visits(db: Survey, module_code: str) -> bool:
     return db.frame_fits(f"visits of {module_code}", lambda: module_filter(db, module_code))
 
 
+def _visit_bits(db: Survey, module_code: str) -> DataFrame:
+    """The keys of a module's visits as bitmaps, one of 4 KB for each 32,768 ids in a row that hold any."""
+    visits = module_filter(db, module_code).where(F.col("id_base_visit").isNotNull())
+    bucket = F.bitmap_bucket_number("id_base_visit").alias("_bucket")
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position("id_base_visit")).alias("_bits")
+    return visits.groupBy(bucket).agg(bits)
+
+
+def _in_bits(frame: DataFrame, bits: DataFrame) -> DataFrame:
+    """The rows whose visit is in the bitmaps."""
+    place = F.bitmap_bit_position("id_base_visit")
+    byte = F.substring("_bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))
+    held = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (place % 8).cast("int")) == 1
+    same = F.bitmap_bucket_number("id_base_visit") == F.col("_bucket")
+    return frame.join(F.broadcast(bits), same & held, "left_semi")
+
+
 def for_module(
     db: Survey, frame: DataFrame, module_code: str | None, joined: bool = False
 ) -> DataFrame:
     """Rows by visit, cut down to a module, or all without one.
 
-    A small module among much data is cut out of a table while it is read; the visits of a
-    large one are merged with it. The rows are the same either way. `joined` says that a join to the
-    module's visits follows: it cuts the same rows, so those of a large module are left to it.
+    A module whose keys fit a broadcast, as they are or as bitmaps, is cut out of a table while it is read;
+    the visits of another are merged with it. The rows are the same either way. `joined` says that a join to
+    the module's visits follows: it cuts the same rows, so those of the last kind are left to it.
     """
-    if module_code is None or (joined and not few_visits(db, module_code)):
+    if module_code is None:
         return frame
-    visits = module_filter(db, module_code)
-    visits = F.broadcast(visits) if few_visits(db, module_code) else visits.hint("merge")
-    return frame.join(visits, "id_base_visit", "left_semi")
+    if few_visits(db, module_code):
+        return frame.join(F.broadcast(module_filter(db, module_code)), "id_base_visit", "left_semi")
+    if db.frame_fits(f"visit bits of {module_code}", lambda: _visit_bits(db, module_code)):
+        return _in_bits(frame, _visit_bits(db, module_code))
+    return frame if joined else frame.join(module_filter(db, module_code).hint("merge"), "id_base_visit", "left_semi")
 
 
 def source_id(db: Survey, module_code: str) -> Column:

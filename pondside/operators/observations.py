@@ -10,11 +10,19 @@ from pondside.operators.visits import visit_core
 from pondside.schemas import COUNT_FIELDS, OBSERVATION_PAYLOAD, OBSERVATION_VOCABULARY, ints
 from pondside.sources.tables import Survey
 
+TAXON_NAMES = ("lb_nom", "nom_vern", "nom_complet")
 
-def _records(db: Survey, module_code: str | None, joined: bool) -> tuple[DataFrame, DataFrame]:
-    """Observations of a module and, where they are few, their complements alone; the rest of these joins nothing."""
-    observations = for_module(db, db["observations"], module_code, joined)
+
+def _records(
+    db: Survey, module_code: str | None, joined: bool, given: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Observations of a module and, where they are few, their complements alone; the rest of these joins nothing.
+
+    Observations `given` stand for those of the relation and are taken as they are."""
     complements = db["observation_complements"]
+    if given is not None:
+        return given, complements
+    observations = for_module(db, db["observations"], module_code, joined)
     if module_code is None or not few_visits(db, module_code):
         return observations, complements
     ids = observations.select("id_observation")
@@ -59,22 +67,23 @@ def visit_summary(
     )
 
 
+def _described(records: DataFrame, complements: DataFrame) -> DataFrame:
+    """Observations beside the fields of their complement."""
+    observations = records.withColumnRenamed("comments", "commentaire_obs")
+    return fact_join(observations, with_payload(complements, OBSERVATION_PAYLOAD), "id_observation")
+
+
 def known_observations(
-    db: Survey, module_code: str | None = None, joined: bool = False
+    db: Survey, module_code: str | None = None, joined: bool = False, given: DataFrame | None = None
 ) -> DataFrame:
     """Observations with a complement and a known taxon; vocabulary columns still hold ids.
 
     With a module, only those of its visits; others too where a join to these follows (`joined`).
     """
-    records, complements = _records(db, module_code, joined)
-    observations = records.withColumnRenamed("comments", "commentaire_obs")
-    described = fact_join(
-        observations, with_payload(complements, OBSERVATION_PAYLOAD), "id_observation"
-    )
-    taxa = db["taxref"].select("cd_nom", "lb_nom", "nom_vern", "nom_complet")
+    records, complements = _records(db, module_code, joined, given)
     return join_dimension(
-        described,
-        taxa,
+        _described(records, complements),
+        db["taxref"].select("cd_nom", *TAXON_NAMES),
         "cd_nom",
         ["id_observation"],
         db.fits("taxref"),
@@ -82,14 +91,19 @@ def known_observations(
     )
 
 
-def with_visit(db: Survey, visits: DataFrame, module_code: str) -> DataFrame:
-    """Known observations joined to visits of a module, which carry all that is known of them.
+def with_visit(
+    db: Survey,
+    visits: DataFrame,
+    module_code: str,
+    given: DataFrame | None = None,
+) -> DataFrame:
+    """Known observations, or those `given`, joined to visits of a module, which carry all that is known of them.
 
     This comes last: the observation rows move while narrow, and the visits already lie by
     their key.
     """
     hot = db.hot_keys("observations", "id_base_visit")
-    known = known_observations(db, module_code, joined=True)
+    known = known_observations(db, module_code, joined=True, given=given)
     return spread_join(known, visits, "id_base_visit", ["id_observation"], hot)
 
 

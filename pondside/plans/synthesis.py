@@ -1,5 +1,7 @@
 """The feed of the central observation store."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pondside.operators.joins import fact_join
@@ -31,8 +33,13 @@ def additional_data(db: Survey, module_code: str) -> DataFrame:
     return visits.select("id_base_visit", _additional_data().alias("additional_data"))
 
 
-def synthesis_feed(db: Survey, module_code: str) -> DataFrame:
-    """One row per kept observation, keyed by source and observation id."""
+def synthesis_feed(
+    db: Survey, module_code: str, given: DataFrame | None = None, more: Sequence[str] = ()
+) -> DataFrame:
+    """One row per kept observation, keyed by source and observation id.
+
+    Observations `given` stand for those of the survey; `more` columns of theirs follow those of the feed.
+    """
     db.measure(*CORE_DIMENSIONS, "roles", "taxref")
     people = visit_observers(db, module_code, joined=True).drop("organismes_rattaches")
     visits = fact_join(visit_core(db, module_code), people, "id_base_visit", "left")
@@ -49,7 +56,7 @@ def synthesis_feed(db: Survey, module_code: str) -> DataFrame:
         *["lon", "lat", "x_lambert93", "y_lambert93", "altitude_min", "altitude_max"],
         *["ids_observers", "observers", "additional_data"],
     )
-    rows = with_visit(db, needed, module_code)
+    rows = with_visit(db, needed, module_code, given)
     constants = constant_struct(db)
     point = F.struct(F.col("lon").alias("x"), F.col("lat").alias("y"))
     derived = {
@@ -69,4 +76,4 @@ def synthesis_feed(db: Survey, module_code: str) -> DataFrame:
         "comment_description": F.col("commentaire_obs"),
         **{name: constants[name] for name in FEED_CONSTANTS},
     }
-    return rows.select(*[derived.get(name, F.col(name)).alias(name) for name in FEED_COLUMNS])
+    return rows.select(*[derived.get(name, F.col(name)).alias(name) for name in FEED_COLUMNS], *more)
