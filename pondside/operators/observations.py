@@ -1,6 +1,8 @@
 """Observations: the per-visit summary and the kept observations."""
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window, functions as F
 
 from pondside.functions.payload import with_payload
 from pondside.functions.text import joined_distinct
@@ -91,20 +93,43 @@ def known_observations(
     )
 
 
+def _taxa_by_visit(db: Survey, records: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The visit and taxon of each observation of a known taxon, with the names of all rows that have its id."""
+    listed = F.collect_list(F.struct(*names)).alias("_taxa")
+    return spread_join(
+        records.select("id_base_visit", "cd_nom"),
+        db["taxref"].groupBy("cd_nom").agg(listed),
+        "cd_nom",
+        ["id_base_visit", "cd_nom"],
+        db.hot_keys("observations", "cd_nom"),
+    )
+
+
 def with_visit(
     db: Survey,
     visits: DataFrame,
     module_code: str,
+    names: Sequence[str] = TAXON_NAMES,
     given: DataFrame | None = None,
 ) -> DataFrame:
     """Known observations, or those `given`, joined to visits of a module, which carry all that is known of them.
 
     This comes last: the observation rows move while narrow, and the visits already lie by
-    their key.
+    their key. Where the taxa have to be moved too, they come to the observations by visit: only two ids of each
+    observation go to the taxa, and the `names` asked for come back to where its row moves anyway.
     """
     hot = db.hot_keys("observations", "id_base_visit")
-    known = known_observations(db, module_code, joined=True, given=given)
-    return spread_join(known, visits, "id_base_visit", ["id_observation"], hot)
+    if hot or given is not None or db.fits("taxref"):
+        known = known_observations(db, module_code, joined=True, given=given)
+        return spread_join(known, visits, "id_base_visit", ["id_observation"], hot)
+    records, complements = _records(db, module_code, joined=True)
+    records = records.where(F.col("id_base_visit").isNotNull() & F.col("cd_nom").isNotNull())
+    rows = _described(records, complements).unionByName(_taxa_by_visit(db, records, names), allowMissingColumns=True)
+    taxa = F.first("_taxa", ignorenulls=True).over(Window.partitionBy("id_base_visit", "cd_nom"))
+    named = rows.repartition("id_base_visit").withColumn("_taxa", taxa)
+    known = named.where(F.col("id_observation").isNotNull() & F.col("_taxa").isNotNull())
+    placed = fact_join(known, visits, "id_base_visit")
+    return placed.select("*", F.inline("_taxa")).drop("_taxa")
 
 
 def observation_flow(db: Survey, module_code: str) -> DataFrame:

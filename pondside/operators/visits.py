@@ -65,12 +65,16 @@ def visit_observers(
         "id_role", full_name("nom_role", "prenom_role").alias("name"), "nom_organisme"
     )
     bridge = for_module(db, db["visit_observers"], module_code, joined)
+    few_people = db.fits("roles", db.widened("roles", "organisations"))
+    if few_people:
+        # Two ids move; the names are looked up where the rows of a visit lie.
+        bridge = bridge.repartition("id_base_visit")
     listed = join_dimension(
         bridge,
         people,
         "id_role",
         ["id_base_visit", "id_role"],
-        db.fits("roles", db.widened("roles", "organisations")),
+        few_people,
         hot=lambda: db.hot_keys("visit_observers", "id_role"),
     )
     grouped = listed.groupBy("id_base_visit").agg(

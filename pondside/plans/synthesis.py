@@ -56,7 +56,7 @@ def synthesis_feed(
         *["lon", "lat", "x_lambert93", "y_lambert93", "altitude_min", "altitude_max"],
         *["ids_observers", "observers", "additional_data"],
     )
-    rows = with_visit(db, needed, module_code, given)
+    rows = with_visit(db, needed, module_code, ["nom_complet"], given)
     constants = constant_struct(db)
     point = F.struct(F.col("lon").alias("x"), F.col("lat").alias("y"))
     derived = {
