@@ -118,7 +118,7 @@ def _protected_label(area):
 def protected_text(protected):
     """The distinct `name(type)` texts of an array of areas, ascending."""
     texts = F.array_compact(F.transform(protected, _protected_label))
-    return joined(F.array_sort(F.array_distinct(texts)), ", ")
+    return joined(F.sort_array(F.array_distinct(texts)), ", ")
 
 
 def site_protected_areas(db: Survey, by_name: bool = False) -> DataFrame:
@@ -126,27 +126,56 @@ def site_protected_areas(db: Survey, by_name: bool = False) -> DataFrame:
     areas = site_areas(db).where(F.size("protected") > 0)
     if not by_name:
         return areas.select("id_base_site", protected_text(F.col("protected")).alias("site_protege"))
-    return with_protected_by_name(areas).select("id_base_site", "nom_protege", "site_protege")
+    named = areas.select("id_base_site", protected_names(F.col("protected")).alias("protected_names"))
+    return with_protected_by_name(named).select("id_base_site", "nom_protege", "site_protege")
+
+
+def protected_names(protected):
+    """Each distinct name in an array of areas, with the text of the areas of that name."""
+
+    def named(name):
+        of_name = F.filter(protected, lambda area: area["area_name"] == name)
+        return F.struct(name.alias("nom_protege"), protected_text(of_name).alias("site_protege"))
+
+    return F.transform(F.array_distinct(protected["area_name"]), named)
 
 
 def with_protected_by_name(frame: DataFrame) -> DataFrame:
-    """Repeat each row per distinct name in `protected`; once, with NULLs, when there is none."""
-    names = F.array_distinct(F.col("protected")["area_name"])
-    named = frame.withColumn("nom_protege", F.explode_outer(names))
-    of_name = F.filter("protected", lambda area: area["area_name"] == F.col("nom_protege"))
-    return named.withColumn("site_protege", protected_text(of_name))
+    """Repeat each row per element of `protected_names`; once, with NULLs, when there is none."""
+    rows = frame.withColumn("_protected", F.explode_outer("protected_names"))
+    return rows.select("*", "_protected.*").drop("protected_names", "_protected")
+
+
+def areas_in_text(db: Survey, by_name: bool = False) -> DataFrame:
+    """The `places` of each site and its protected areas as text, made once per site, not for each row of it."""
+    protected = F.col("protected")
+    text = protected_names(protected).alias("protected_names") if by_name else protected_text(protected).alias("site_protege")
+    places = _places(F.col("communes"), F.col("departments")).alias("places")
+    return site_areas(db).select("id_base_site", places, text)
+
+
+def _places(communes, departments):
+    """Each commune beside each department; where there is none of a kind, once with NULLs for it."""
+
+    def one_at_least(areas, kind):
+        return F.when(F.size(areas) > 0, areas).otherwise(F.array(F.lit(None).cast(kind)))
+
+    def beside(commune):
+        return F.transform(
+            one_at_least(departments, "struct<area_name: string, area_code: string>"),
+            lambda department: F.struct(
+                commune["area_name"].alias("commune"),
+                department["area_name"].alias("departement"),
+                department["area_code"].alias("code_dep"),
+            ),
+        )
+
+    return F.flatten(F.transform(one_at_least(communes, "struct<area_name: string>"), beside))
 
 
 def with_places(frame: DataFrame) -> DataFrame:
     """Repeat each row per commune and department of its site, as the exports ask."""
-    return (
-        frame.withColumn("_commune", F.explode_outer("communes"))
-        .withColumn("_department", F.explode_outer("departments"))
-        .withColumn("commune", F.col("_commune.area_name"))
-        .withColumn("departement", F.col("_department.area_name"))
-        .withColumn("code_dep", F.col("_department.area_code"))
-        .drop("communes", "departments", "_commune", "_department")
-    )
+    return frame.select("*", F.inline_outer("places")).drop("places")
 
 
 def site_dim(db: Survey) -> DataFrame:

@@ -6,7 +6,7 @@ from pondside.functions.payload import json_text, one_each, unquoted, with_paylo
 from pondside.functions.text import full_name, joined as joined_text, joined_distinct
 from pondside.operators.joins import fact_join, join_dimension
 from pondside.operators.lookups import for_module, label_list, of_module, with_labels
-from pondside.operators.sites import site_areas, site_dim
+from pondside.operators.sites import site_dim
 from pondside.schemas import (
     METHODS_FIELD,
     METHODS_PAYLOAD,
@@ -78,7 +78,7 @@ def visit_observers(
         hot=lambda: db.hot_keys("visit_observers", "id_role"),
     )
     grouped = listed.groupBy("id_base_visit").agg(
-        F.array_sort(F.collect_list(F.struct("id_role", "name"))).alias("people"),
+        F.sort_array(F.collect_list(F.struct("id_role", "name"))).alias("people"),
         joined_distinct("nom_organisme", ", ").alias("organismes_rattaches"),
     )
     return grouped.select(
@@ -105,7 +105,7 @@ def _with_method_text(db: Survey, visits: DataFrame) -> DataFrame:
     """Replace the ids of the methods by the text of their labels, looked up by position."""
     listed = visits.withColumn("_labels", label_list(db))
     labels = F.transform(METHODS_FIELD, lambda entry: F.get("_labels", entry))
-    text = joined_text(F.array_sort(F.array_distinct(F.array_compact(labels))), " ; ")
+    text = joined_text(F.sort_array(F.array_distinct(F.array_compact(labels))), " ; ")
     return listed.withColumn("methodes_prospection", text).drop("_labels", METHODS_FIELD)
 
 
@@ -137,23 +137,23 @@ def json_raw_text(db: Survey) -> DataFrame:
 
 
 def visit_core(
-    db: Survey, module_code: str, with_areas: bool = False, with_methods: bool = False
+    db: Survey, module_code: str, areas: DataFrame | None = None, with_methods: bool = False
 ) -> DataFrame:
     """Kept visits of a module with their site; condition columns still hold vocabulary ids.
 
     A visit is kept when it has a complement and its site has a complement and a group.
     The site comes first, while visit rows are narrow; everything after that is joined on
-    `id_base_visit`, so the wide rows move once. There is one row per site, and its areas come
+    `id_base_visit`, so the wide rows move once. There is one row per site, and its `areas`, if given, come
     from the bridge; rows of these tables times the widest rows they take bound what is broadcast.
     Methods, if asked for, are still ids.
     """
     db.measure(*CORE_DIMENSIONS)
     sites = site_dim(db)
     gained = db.widened("sites", "sites_groups", "altitude_cells", *["nomenclature"] * len(SITE_VOCABULARY))
-    if with_areas:
-        sites = fact_join(sites, site_areas(db), "id_base_site", "left")
+    if areas is not None:
+        sites = fact_join(sites, areas, "id_base_site", "left")
         gained += db.widened("site_areas", "areas", "area_types")
-    few_sites = db.fits("sites", gained) and (not with_areas or db.fits("site_areas"))
+    few_sites = db.fits("sites", gained) and (areas is None or db.fits("site_areas"))
     visits = _with_dataset(db, of_module(db, db["visits"], module_code))
     placed = join_dimension(
         visits,

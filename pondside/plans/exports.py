@@ -8,7 +8,7 @@ from pondside.functions.payload import with_payload
 from pondside.operators.joins import fact_join
 from pondside.operators.lookups import with_labels
 from pondside.operators.observations import visit_summary, with_visit
-from pondside.operators.sites import protected_text, with_places, with_protected_by_name
+from pondside.operators.sites import areas_in_text, with_places, with_protected_by_name
 from pondside.operators.visits import (
     CORE_DIMENSIONS,
     visit_core,
@@ -29,11 +29,12 @@ DIMENSIONS = (
 )
 
 
-def _export_visits(db: Survey, module_code: str) -> DataFrame:
-    """Kept visits with all the exports show of them, areas still as arrays."""
+def _export_visits(db: Survey, module_code: str, by_name: bool = False) -> DataFrame:
+    """Kept visits with all the exports show of them, places and areas by name still as arrays."""
     db.measure(*DIMENSIONS)
+    areas = areas_in_text(db, by_name)
     visits = with_people_and_methods(
-        db, visit_core(db, module_code, with_areas=True, with_methods=True), module_code
+        db, visit_core(db, module_code, areas=areas, with_methods=True), module_code
     )
     return with_conditions(db, visits).select(
         "*",
@@ -45,7 +46,7 @@ def _export_visits(db: Survey, module_code: str) -> DataFrame:
 
 def export_standard(db: Survey, module_code: str) -> DataFrame:
     """One row per kept observation, commune and department; no visit without observation."""
-    rows = with_visit(db, _export_visits(db, module_code), module_code)
+    rows = with_visit(db, _export_visits(db, module_code), module_code, ["lb_nom", "nom_vern"])
     labels = {
         "id_nomenclature_typ_denbr": "type_denombrement",
         "id_nomenclature_stade": "stade_vie",
@@ -55,7 +56,6 @@ def export_standard(db: Survey, module_code: str) -> DataFrame:
     labelled = with_labels(db, rows, labels, ["id_observation"], ids)
     shown = labelled.select(
         "*",
-        protected_text(F.col("protected")).alias("site_protege"),
         F.col("lb_nom").alias("nom_latin"),
         F.col("nom_vern").alias("nom_francais"),
     )
@@ -67,7 +67,7 @@ def export_analyses(db: Survey, module_code: str) -> DataFrame:
     summary = visit_summary(db, module_code, joined=True).withColumnsRenamed(
         {"count_min": "abondance_total_min", "count_max": "abondance_total_max"}
     )
-    visits = _export_visits(db, module_code).select(
+    visits = _export_visits(db, module_code, by_name=True).select(
         "*",
         F.year("date_visite").alias("annee"),
         F.col("presence").alias("presence_amphibien"),

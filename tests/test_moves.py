@@ -3,6 +3,7 @@
 import pytest
 
 from pondside.operators import joins, lookups, observations, visits
+from pondside.operators.sites import areas_in_text
 from pondside.plans.exports import export
 from pondside.plans.synthesis import synthesis_feed
 from small import ROWS, as_dicts, small_survey
@@ -55,3 +56,11 @@ def test_people_of_few_roles_are_named_after_the_move(spark, capsys):
     moved = [i for i, line in enumerate(lines) if "hashpartitioning(id_base_visit#" in line]
     assert len(moved) == 1
     assert not any("collect_list" in line for line in lines[moved[0]:])
+
+
+def test_texts_of_protected_areas_are_made_once_per_site(spark):
+    db = small_survey(spark)
+    rows = {r["id_base_site"]: r for r in as_dicts(areas_in_text(db), "id_base_site")}
+    assert rows[3]["site_protege"] == "Combe(ZNIEFF1), Marais(ZNIEFF1), Marais(ZPS)" and rows[1]["site_protege"] is None
+    core = visits.visit_core(db, "mares", areas=areas_in_text(db))
+    assert "site_protege" in core.columns and "protected" not in core.columns
