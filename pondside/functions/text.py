@@ -10,7 +10,7 @@ def joined(values: Column, separator: str) -> Column:
 
 def joined_distinct(value: Column | str, separator: str) -> Column:
     """Aggregate: the distinct values in ascending order; NULL when there is none."""
-    return joined(F.array_sort(F.collect_set(value)), separator)
+    return joined(F.sort_array(F.collect_set(value)), separator)
 
 
 def full_name(family: str, first: str) -> Column:

@@ -52,6 +52,9 @@ def visit_summary(
         .agg(*[F.sum(field).alias(field) for field in COUNT_FIELDS])
     )
     taxa = db["taxref"].select("cd_nom", "cd_ref", "lb_nom", "nom_vern")
+    if db.fits("taxref"):
+        # Ids and sums move; the names are looked up where the taxa of a visit lie.
+        per_taxon = per_taxon.repartition("id_base_visit")
     named = join_dimension(
         per_taxon,
         taxa,

@@ -64,3 +64,19 @@ def test_texts_of_protected_areas_are_made_once_per_site(spark):
     assert rows[3]["site_protege"] == "Combe(ZNIEFF1), Marais(ZNIEFF1), Marais(ZPS)" and rows[1]["site_protege"] is None
     core = visits.visit_core(db, "mares", areas=areas_in_text(db))
     assert "site_protege" in core.columns and "protected" not in core.columns
+
+
+def test_texts_by_name_are_made_once_per_site(spark):
+    db = small_survey(spark)
+    rows = {r["id_base_site"]: r for r in as_dicts(areas_in_text(db, by_name=True), "id_base_site")}
+    assert sorted((r["nom_protege"], r["site_protege"]) for r in rows[3]["protected_names"]) == [
+        ("Combe", "Combe(ZNIEFF1)"), ("Marais", "Marais(ZNIEFF1), Marais(ZPS)")
+    ]
+    assert rows[1]["protected_names"] == []
+
+
+def test_summary_names_few_taxa_after_the_move(spark, capsys):
+    lines = text_of(observations.visit_summary(small_survey(spark)), capsys).splitlines()
+    moved = [i for i, line in enumerate(lines) if "hashpartitioning(id_base_visit#" in line and "cd_nom#" not in line]
+    assert len(moved) == 1
+    assert not any("collect_set" in line for line in lines[moved[0]:])
