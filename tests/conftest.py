@@ -2,6 +2,7 @@ import sys
 from pathlib import Path
 
 import pytest
+from pyspark.sql import SparkSession
 
 ROOT = Path(__file__).resolve().parents[1]
 sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
@@ -25,6 +26,16 @@ def spark():
     session.stop()
 
 
+@pytest.fixture(scope="module", autouse=True)
+def no_views_left():
+    """Views that a module's tests publish are gone before the next module lists tables."""
+    yield
+    session = SparkSession.getActiveSession()
+    for table in session.catalog.listTables() if session else ():
+        if table.isTemporary:
+            session.catalog.dropTempView(table.name)
+
+
 @pytest.fixture
 def db(spark):
     """The hand-made survey of `small.py`; a fresh one per test, so sizes are measured anew."""
