@@ -24,6 +24,8 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
+from pondside.llm.common import small_batches
+
 PIECE = 32_768
 WINDOW = 8
 CACHE = 200_000
@@ -268,6 +270,7 @@ def round_trip(docs: DataFrame, key: str, text: str, spec: str, piece: int = PIE
     """(`key`, `ids`, `decoded`) of each row; `spec` is the tokenizer's JSON. A text longer than `piece`
     characters is encoded in pieces, spread over the executors and joined again in one task, which holds the
     tokens of that text alone."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(json.dumps(json.loads(spec), ensure_ascii=False))
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("key"), F.coalesce(text, F.lit("")).alias("text"))

@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # A word is a run of characters other than these six blanks.
 WORD = r"[^\x20\x09-\x0D]+"
+# Spark's bound of what it sends to a Python worker at once, 64 MB if unset, and the bound for texts.
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = "2m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +31,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts go to the Python workers in small batches, of which an executor holds several copies outside its heap.
+    The bound holds for the session, as it is read when a query runs; one that is set already stays."""
+    if spark.conf.get(ARROW_BYTES, None) is None:
+        spark.conf.set(ARROW_BYTES, BATCH_BYTES)
+
+
 def stored(frame: DataFrame, name: str, **options: str) -> DataFrame:
     """The rows of `frame`, written as a table in the shared folder and read from there, so that
     they are computed once and outlive any executor. `options` are those of the Parquet writer."""

@@ -23,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from pondside.llm.common import stored
+from pondside.llm.common import small_batches, stored
 from pondside.llm.components import components
 
 SEED = 42
@@ -48,6 +48,7 @@ def fingerprint(text: str | None, shingle: int) -> int:
 
 def fingerprints(docs: DataFrame, text: str, shingle: int, keep: list[str] | None = None) -> DataFrame:
     """The columns `keep` of `docs` (else all) in `row`, with the fingerprint `fp` as a signed long."""
+    small_batches(docs.sparkSession)
     keep = keep or docs.columns
     kind = docs.select(*keep).schema.simpleString()
 

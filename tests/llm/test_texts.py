@@ -5,12 +5,14 @@ import random
 import re
 import time
 
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from pondside.llm import bpe, langid, linededup, mixing, quality, simhash, suffixdedup, toxicity
+from pondside.llm.common import ARROW_BYTES, small_batches
 from pondside.llm.queries import tokenizer_spec
 
 LONG = "The pond lies north of the old mill and holds water until late in the summer of most years."
@@ -210,6 +212,42 @@ def test_encoding_equals_the_library_and_decodes(documents, piece):
     assert sorted(map(repr, [(r["doc_id"], r["ids"], r["decoded"]) for r in found])) == sorted(map(repr, expected))
 
 
+def test_texts_reach_the_workers_in_small_batches(documents, spark, monkeypatch):
+    def sizes_of(shared):
+        def run(batches):
+            for batch in batches:
+                ids = pa.array([[batch.nbytes]] * batch.num_rows, pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([batch.column("key"), ids, pa.array([""] * batch.num_rows)], names=["key", "ids", "decoded"])
+
+        return run
+
+    monkeypatch.setattr(bpe, "_whole", sizes_of)
+    spark.conf.unset(ARROW_BYTES)
+    docs = documents([(i, "pond " * 4000 + str(i)) for i in range(600)])
+    sizes = [r["ids"][0] for r in bpe.round_trip(docs, "doc_id", "text", tokenizer_spec()).collect()]
+    assert len(sizes) == 600 and max(sizes) < 4_000_000
+    spark.conf.unset(ARROW_BYTES)
+    simhash.fingerprints(docs, "text", 3)
+    assert spark.conf.get(ARROW_BYTES, None)
+    spark.conf.set(ARROW_BYTES, "7m")
+    small_batches(spark)
+    assert spark.conf.get(ARROW_BYTES) == "7m"
+    spark.conf.unset(ARROW_BYTES)
+
+
+def test_results_do_not_depend_on_batches(documents, spark):
+    docs = documents([*TEXTS, (20, "x" * 999 + "'s" + " " * 70 + "\n\ny")])
+
+    def found(bound):
+        spark.conf.set(ARROW_BYTES, bound)
+        coded = bpe.round_trip(docs, "doc_id", "text", tokenizer_spec(), 50).collect()
+        prints = simhash.fingerprints(docs, "text", 3, ["doc_id"]).collect()
+        return sorted(map(repr, coded)), sorted(map(repr, prints))
+
+    assert found("1k") == found("64m")
+    spark.conf.unset(ARROW_BYTES)
+
+
 def test_language_by_words_then_ngrams(documents):
     rows = [(i, "the water and the pond", "en") for i in range(5)] + [(i, "le bassin et la mare", "fr") for i in range(5, 10)]
     model = langid.train(documents([*rows, (10, None, "fr"), (11, "x", None)]), "text", "lang")
