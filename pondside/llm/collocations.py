@@ -31,7 +31,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pondside.llm.common import stored
+from pondside.llm.common import small_batches, stored
 from pondside.operators.joins import hot_keys, spread_join
 
 LONGEST = 5
@@ -256,26 +256,34 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, names=["lang", "words", "phrase", "n"])
 
 
+def _kept(rows: DataFrame, name: str, by: str) -> DataFrame:
+    """Rows that are few beside those they come from, stored in as many files as they fill, not in one for each task that finds some.
+    They are dealt by a column, so a task that is run again deals them alike. Without its native library Hadoop starts a process for
+    each file it makes, and until that is its own program, the memory of the JVM shows twice."""
+    return stored(rows.hint("rebalance", by), name)
+
+
 def phrases(docs: DataFrame, text: str, lang: str, least: int) -> DataFrame:
     """(`lang`, `words`, `phrase`, `n`): all runs of up to LONGEST words that occur `least` times in a language."""
+    small_batches(docs.sparkSession)
     place = F.monotonically_increasing_id().alias("place")
     texts = docs.select(place, F.coalesce(lang, F.lit(UNKNOWN)).alias("lang"), F.coalesce(text, F.lit("")).alias("text"))
     context = docs.sparkSession.sparkContext
 
     def frequent(count: Callable, name: str) -> DataFrame:
         counted = texts.mapInArrow(count, "fp long, check long, n long, place long").groupBy("fp", "check")
-        return stored(counted.agg(F.sum("n").alias("n"), F.min("place").alias("place")).filter(F.col("n") >= least), name)
+        return _kept(counted.agg(F.sum("n").alias("n"), F.min("place").alias("place")).filter(F.col("n") >= least), name, "fp")
 
     short = frequent(_counted(range(1, 3)), "phrase-pairs")
     pairs = context.broadcast(_filter(short, "fp"))
     every = short.unionByName(frequent(_counted(range(3, LONGEST + 1), pairs), "phrase-runs"))
     # A document's list is at most as long as all its runs.
     wanted = every.groupBy("place").agg(F.collect_list(F.struct("fp", "check", "n")).alias("wanted"))
-    wanted = stored(wanted, "phrase-places")
+    wanted = _kept(wanted, "phrase-places", "place")
     places = wanted.select("place").mapInArrow(_mixed_places, "fp long")
     owners = texts.mapInArrow(_pointed_at(context.broadcast(_filter(places, "fp"))), texts.schema)
     held = owners.hint("merge").join(wanted.hint("merge"), "place")
-    return stored(held.mapInArrow(_read, "lang string, words int, phrase string, n long"), "phrase-counts")
+    return _kept(held.mapInArrow(_read, "lang string, words int, phrase string, n long"), "phrase-counts", "phrase")
 
 
 def _mixed_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,7 +312,7 @@ def collocations(docs: DataFrame, text: str, lang: str, least: int = 100, most:
     known = phrases(docs, text, lang, least)
     known = known.select(_key(F.col("phrase")).alias("key"), "lang", "words", "phrase", F.col("n").alias("a"))
     candidates = known.filter("words > 1")
-    cuts = stored(_cuts(candidates), "phrase-cuts")
+    cuts = _kept(_cuts(candidates), "phrase-cuts", "key")
     counted = cuts
     for side, count in (("left", "l"), ("right", "r")):
         parts = known.filter(F.col("words") < LONGEST).select(F.col("key").alias(side), F.col("a").alias(count))

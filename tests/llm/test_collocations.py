@@ -11,6 +11,7 @@ import pytest
 
 from compare import differences
 from pondside.llm import collocations, queries
+from pondside.llm.common import ARROW_BYTES
 
 FOLDER = "/root/testdata/sf0.001"
 DRAW = random.Random(4)
@@ -114,3 +115,59 @@ def test_query_equals_its_sql(spark):
     with duckdb.connect() as connection:
         connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{FOLDER}/documents.parquet'")
         assert differences(queries.op11_collocations(spark, FOLDER), connection, queries.ORACLE_SQL["op11_collocations"]) is None
+
+
+def test_texts_reach_the_workers_in_small_batches(documents, spark, monkeypatch):
+    class Stored(Exception):
+        pass
+
+    def sizes_of(sizes, sent=None):
+        def run(batches):
+            for batch in batches:
+                place = batch.column("place")[0].as_py()
+                yield pa.RecordBatch.from_pydict({"fp": [place], "check": [batch.num_rows], "n": [batch.nbytes], "place": [place]})
+
+        return run
+
+    def stop(rows, name):
+        raise Stored(rows.collect())
+
+    monkeypatch.setattr(collocations, "_counted", sizes_of)
+    monkeypatch.setattr(collocations, "stored", stop)
+    spark.conf.unset(ARROW_BYTES)
+    docs = documents([(i, "pond " * 4000 + str(i), "en") for i in range(600)])
+    try:
+        with pytest.raises(Stored) as found:
+            collocations.phrases(docs, "text", "lang", 1)
+    finally:
+        spark.conf.unset(ARROW_BYTES)
+    rows = found.value.args[0]
+    assert sum(r["check"] for r in rows) == 600 and max(r["n"] for r in rows) < 4_000_000
+
+
+def test_few_rows_are_stored_in_few_files(documents, spark, monkeypatch):
+    files, stored = {}, collocations.stored
+
+    def counted(rows, name):
+        files[name] = len((kept := stored(rows, name)).inputFiles())
+        return kept
+
+    monkeypatch.setattr(collocations, "stored", counted)
+    settings = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.shuffle.partitions": "20",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "2k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        found = collocations.collocations(documents(TEXTS), "text", "lang", 100).collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+        spark.conf.unset(ARROW_BYTES)
+    assert sorted(map(tuple, found)) == expected(TEXTS, 100, 2000)
+    assert len(files) == 5 and max(files.values()) <= 2, files
